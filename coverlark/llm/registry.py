@@ -1,11 +1,15 @@
 """The queries of this folder and the SQL of those that SQL can express."""
 
+from .bpe import op9_bpe
 from .exact_dedup import OP6_SQL, op6_exact_dedup
 from .simhash import op5_simhash
+from .winnow import op1_winnow
 
 QUERIES = {
+    "op1_winnow": op1_winnow,
     "op5_simhash": op5_simhash,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_bpe": op9_bpe,
 }
 ORACLES = {
     "op6_exact_dedup": OP6_SQL,
