@@ -2,6 +2,7 @@
 
 from .bpe import op9_bpe
 from .exact_dedup import OP6_SQL, op6_exact_dedup
+from .secrets import op8_secrets
 from .simhash import op5_simhash
 from .winnow import op1_winnow
 
@@ -9,6 +10,7 @@ QUERIES = {
     "op1_winnow": op1_winnow,
     "op5_simhash": op5_simhash,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_secrets": op8_secrets,
     "op9_bpe": op9_bpe,
 }
 ORACLES = {
