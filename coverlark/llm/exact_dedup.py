@@ -85,9 +85,17 @@ def exact_dedup(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each group of equal texts."""
-    stay = exact_dedup(docs, counters).where("kept").select("doc_id").distinct()
-    return docs.join(stay.withColumnRenamed("doc_id", "_stay"), F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+    """The rows of ``docs`` that stay, one of each group of equal texts.
+
+    The ids to drop are written as a table, so that Spark broadcasts it if it is small and shuffles otherwise. Repeated
+    rows of one document leave one. Rows without a doc_id can't be told apart by it, and all stay.
+    """
+    decided = materialize(exact_dedup(docs, counters), "decided")
+    out = materialize(decided.where("not kept and doc_id is not null").select("doc_id").distinct(), "dropped")
+    twice = materialize(decided.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    stay = docs.join(out, "doc_id", "left_anti").select(docs.columns)
+    once = stay.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    return stay.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(once)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,14 +2,20 @@
 
 from .bpe import op9_bpe
 from .exact_dedup import OP6_SQL, op6_exact_dedup
+from .mixing import op7_mixing
+from .quality import op4_quality
 from .secrets import op8_secrets
 from .simhash import op5_simhash
+from .toxicity import op2_toxicity
 from .winnow import op1_winnow
 
 QUERIES = {
     "op1_winnow": op1_winnow,
+    "op2_toxicity": op2_toxicity,
+    "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
     "op9_bpe": op9_bpe,
 }

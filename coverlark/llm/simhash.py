@@ -97,9 +97,13 @@ def near_groups(docs: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document with the smallest doc_id."""
-    stay = near_groups(docs, list_rows).where("doc_id <=> component_id").select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+    """The rows of ``docs`` that stay: of each component the document with the smallest doc_id.
+
+    The ids to drop are written as a table, so that Spark broadcasts it if it is small and shuffles otherwise. Rows
+    without a doc_id can't be told apart by it, and all stay.
+    """
+    out = near_groups(docs, list_rows).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(materialize(out, "dropped"), "doc_id", "left_anti").select(docs.columns)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
