@@ -6,12 +6,14 @@ from .mixing import op7_mixing
 from .quality import op4_quality
 from .secrets import op8_secrets
 from .simhash import op5_simhash
+from .suffix_dedup import op3_suffix_dedup
 from .toxicity import op2_toxicity
 from .winnow import op1_winnow
 
 QUERIES = {
     "op1_winnow": op1_winnow,
     "op2_toxicity": op2_toxicity,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op6_exact_dedup": op6_exact_dedup,
