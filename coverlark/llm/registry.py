@@ -2,6 +2,7 @@
 
 from .bpe import op9_bpe
 from .exact_dedup import OP6_SQL, op6_exact_dedup
+from .licenses import op10_licenses
 from .mixing import op7_mixing
 from .quality import op4_quality
 from .secrets import op8_secrets
@@ -20,6 +21,7 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
     "op9_bpe": op9_bpe,
+    "op10_licenses": op10_licenses,
 }
 ORACLES = {
     "op6_exact_dedup": OP6_SQL,
