@@ -1 +1 @@
-
+"""Column functions: keys, vectors, DNA strings, prefix sums."""

@@ -1,4 +1,4 @@
 """Every query of the library by name, with its SQL where SQL can express it."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .queries import panels  # noqa: F401
+from .queries.base import ORACLES, QUERIES  # noqa: F401
