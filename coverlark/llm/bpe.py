@@ -27,9 +27,9 @@ from .common import only, table, text_or_empty
 
 SCAN = 128
 #: Entries of a worker's memo of white-space separated chunks and of words; it is emptied when full.
-MEMO = 300_000
+MEMO = 150_000
 #: Characters of text whose new words are merged together.
-BLOCK = 4_000_000
+BLOCK = 1_000_000
 #: Marks a special token among chunks: a character that no chunk can begin with, for it is white space.
 SPECIAL = "\n"
 NONE = 1 << 62

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import only, table, text_or_empty
 
 DICE = 0.8
-MEMO = 300_000
+MEMO = 150_000
 
 #: The licences' own words.
 _WARRANTY = """the software is provided "as is", without warranty of any kind, express or implied, including but not limited to the
