@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .state import keep
+
 BUCKETS = 64
 
 
@@ -20,7 +22,7 @@ def with_bucket(df: DataFrame, by: list[str], value: str, source: DataFrame | No
 
 def running_sum(df: DataFrame, by: list[str], value: str, amount: str, name: str) -> DataFrame:
     """Adds ``name``: the sum of ``amount`` over rows of the same ``by`` with a smaller ``value``. Values are distinct within ``by``."""
-    placed = with_bucket(df, by, value)
+    placed = keep(with_bucket(keep(df), by, value))
     totals = placed.groupBy(*by, "_bucket").agg(F.sum(amount).alias("_total"))
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_offset", F.sum("_total").over(before)).drop("_total")

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.prefix import running_sum, with_bucket
+from ..functions.state import keep
 from .checks import require_clean
 
 WEIGHT = T.DecimalType(38, 36)
@@ -70,11 +71,12 @@ def project(baseline: DataFrame, queries: DataFrame, item: str, group: str, feat
     An observed value has its own percentile; one between two values has all weight below the higher one; below the least
     it is 0 and above the greatest 1. Nothing is interpolated.
     """
-    stairs = steps(baseline, group, features).select(
+    known_steps = keep(steps(baseline, group, features))
+    stairs = known_steps.select(
         "feature", "value", (F.col("below") + F.col("below") + F.col("equal")).cast("double").alias("at"), (F.col("below") + F.col("below") + F.col("equal") + F.col("equal")).cast("double").alias("past"), F.lit(None).cast(queries.schema[item].dataType).alias(item)
     )
     asked = _long(queries, [item], features).select("feature", "value", F.lit(None).cast("double").alias("at"), F.lit(None).cast("double").alias("past"), item)
-    both = with_bucket(stairs.unionByName(asked), ["feature"], "value", source=stairs)
+    both = keep(with_bucket(stairs.unionByName(asked), ["feature"], "value", source=stairs))
     within = Window.partitionBy("feature", "_bucket").orderBy(F.col("value"), F.col("past").isNull()).rowsBetween(Window.unboundedPreceding, 0)
     known = F.when(F.col("past").isNotNull(), F.struct("value", "at", "past"))
     found = both.withColumn("_last", F.last(known, ignorenulls=True).over(within))

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.prefix import running_sum
+from ..functions.state import keep
 from ..functions.vectors import squared_distance
 from .balance import WEIGHT, half_weights
 
@@ -89,6 +90,7 @@ def balanced_quantile(df: DataFrame, group: str, by: str, value: str, q: float,
 
 def coverage_summary(distances: DataFrame, group: str) -> DataFrame:
     """Ten numbers for each panel size, from rows (n, group, distance) that hold every item once for each n."""
+    distances = keep(distances)
     statistics = group_statistics(distances, group)
     disc = lambda q, c, name: F.expr(f"percentile_disc({q}) within group (order by {c})").alias(name)
     by_group = statistics.groupBy("n").agg(

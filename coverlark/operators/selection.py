@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.keys import draw_key, item_key
+from ..functions.state import keep
 from ..functions.vectors import centroid, squared_distance
 
 NAMESPACE = "panel-v1|"
@@ -22,15 +23,6 @@ def representatives(df: DataFrame, item: str, group: str, coords: str = "coords"
     return near.groupBy(group).agg(F.min("x").alias("x")).select(group, f"x.{item}", f"x.{coords}", "x.tie", "x.d2")
 
 
-def _keep(df: DataFrame) -> DataFrame:
-    """The table behind a loop's state, cut from its lineage where a checkpoint folder is set, else cached."""
-    spark = df.sparkSession
-    if folder := spark.conf.get("spark.checkpoint.dir", ""):
-        spark.sparkContext.setCheckpointDir(folder)
-        return df.checkpoint()
-    return df.cache()
-
-
 def _distance(a, b) -> float:
     total = 0.0
     for x, y in zip(a, b, strict=True):
@@ -47,7 +39,7 @@ def maximin_ladder(df: DataFrame, item: str, coords: str = "coords", size: int |
     driver holds; without it the ladder is complete.
     """
     spark = df.sparkSession
-    state = _keep(df.select(item, F.col(coords).alias("coords"), item_key(item, namespace).alias("tie")))
+    state = keep(df.select(item, F.col(coords).alias("coords"), item_key(item, namespace).alias("tie")))
     n = state.count()
     size = n if size is None else min(size, n)
     schema = f"rank int, {item} {df.schema[item].dataType.simpleString()}, score double"
@@ -62,7 +54,7 @@ def maximin_ladder(df: DataFrame, item: str, coords: str = "coords", size: int |
     while len(ladder) < size:
         new = spark.createDataFrame([([list(c) for _, c in chosen], [i for i, _ in chosen])], f"_near array<array<double>>, _ids array<{df.schema[item].dataType.simpleString()}>")
         least = F.aggregate("_near", F.col("d2"), lambda s, c: F.least(s, squared_distance(F.col("coords"), c)))
-        state = _keep(state.join(F.broadcast(new)).where(~F.array_contains("_ids", F.col(item))).select(item, "coords", "tie", least.alias("d2")))
+        state = keep(state.join(F.broadcast(new)).where(~F.array_contains("_ids", F.col(item))).select(item, "coords", "tie", least.alias("d2")))
         top = state.orderBy(F.desc("d2"), "tie").limit(batch + 1).collect()
         bound = (-top[batch]["d2"], top[batch]["tie"]) if len(top) > batch else None
         open_ = [[-r["d2"], r["tie"], r[item], list(r["coords"])] for r in top[:batch]]
@@ -81,7 +73,7 @@ def maximin_ladder(df: DataFrame, item: str, coords: str = "coords", size: int |
 
 def group_ladder(df: DataFrame, item: str, group: str, coords: str = "coords", size: int | None = None, namespace: str = NAMESPACE) -> DataFrame:
     """(rank, item, group, score): a maximin ladder of the groups' representatives, one item a group."""
-    chosen = _keep(representatives(df, item, group, coords, namespace))
+    chosen = keep(representatives(df, item, group, coords, namespace))
     ladder = maximin_ladder(chosen.select(item, F.col(coords).alias("coords")), item, "coords", size, namespace)
     return ladder.join(chosen.select(item, group), item).select("rank", item, group, "score")
 
@@ -94,10 +86,10 @@ def residual_ladder(df: DataFrame, item: str, group: str, coords: str = "coords"
     One pass a pick: partial sums for each group, and the farthest open item of each, reduce before the shuffle.
     """
     spark = df.sparkSession
-    reps = _keep(representatives(df, item, group, coords, namespace))
+    reps = keep(representatives(df, item, group, coords, namespace))
     middle = reps.agg(centroid(coords, _size(reps, coords)).alias("c")).first()["c"]
     first = reps.orderBy(squared_distance(F.col(coords), F.array(*[F.lit(float(x)) for x in middle])), "tie").first()
-    state = _keep(df.select(item, group, F.col(coords).alias("coords"), item_key(item, namespace).alias("tie"), F.lit(float("inf")).alias("d2")))
+    state = keep(df.select(item, group, F.col(coords).alias("coords"), item_key(item, namespace).alias("tie"), F.lit(float("inf")).alias("d2")))
     ladder = [(1, first[item], first[group], 0.0)]
     last = (first[item], first[coords])
     while len(ladder) < size:
@@ -105,7 +97,7 @@ def residual_ladder(df: DataFrame, item: str, group: str, coords: str = "coords"
         d2 = F.when(F.col(item) == F.lit(last[0]), -1.0).when(F.col("d2") < 0, F.col("d2")).otherwise(F.least("d2", squared_distance(F.col("coords"), point)))
         state = state.withColumn("d2", d2)
         if len(ladder) % 8 == 0:
-            state = _keep(state)
+            state = keep(state)
         open_ = F.when(F.col("d2") >= 0, F.struct((-F.col("d2")).alias("minus"), "tie", item, "coords"))
         groups = state.groupBy(group).agg(F.avg(F.sqrt(F.greatest("d2", F.lit(0.0)))).alias("mean"), F.min(open_).alias("far"), F.min(item_key(group, namespace + "group|")).alias("group_tie"))
         best = groups.where("far is not null").orderBy(F.desc("mean"), "group_tie").first()

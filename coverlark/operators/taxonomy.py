@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .selection import _keep
+from ..functions.state import keep
 
 
 def _doubled(pointers: DataFrame, rounds: int) -> DataFrame:
@@ -12,7 +12,7 @@ def _doubled(pointers: DataFrame, rounds: int) -> DataFrame:
     at = pointers.select("id", F.col("next").alias("far"), F.lit(1).cast("long").alias("steps"))
     for _ in range(rounds):
         ahead = at.select(F.col("id").alias("far"), F.col("far").alias("_far"), F.col("steps").alias("_steps"))
-        at = _keep(at.join(ahead, "far", "left").select("id", F.coalesce("_far", "far").alias("far"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps")))
+        at = keep(at.join(ahead, "far", "left").select("id", F.coalesce("_far", "far").alias("far"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps")))
     return at
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.keys import draw_key
 from ..functions.prefix import running_sum
+from ..functions.state import keep
 from ..operators import balance, compare, coverage, selection
 
 
@@ -34,6 +35,7 @@ def ablation(df: DataFrame, item: str, group: str, features: list[str], drops: d
     ``df`` has a percentile column for each feature and coords of all. ``drops`` names sets of features: single ones for
     leave-one-out, groups for a grouped ablation.
     """
+    df = keep(df)
     full = selection.group_ladder(df, item, group, size=size)
     parts = []
     for name, drop in drops.items():
@@ -168,11 +170,12 @@ def holdout_resolution(baseline: DataFrame, queries: DataFrame, item: str, group
 
     Ladders are of baseline items. The scale of the query items is the baseline's, the panel's is its own.
     """
-    own = balance.percentiles(baseline, item, group, features)
+    own = keep(balance.percentiles(baseline, item, group, features))
     asked = balance.project(baseline, queries, item, group, features).groupBy(item).pivot("feature", features).agg(F.first("percentile"))
-    asked = asked.withColumn("coords", F.array(*features)).join(queries.select(item, group), item)
+    asked = keep(asked.withColumn("coords", F.array(*features)).join(queries.select(item, group), item))
     parts = []
     for name, ladder in ladders.items():
-        d = coverage.nearest_panel_distance(asked, ladder, item, sizes, same_universe=False, panel_coords=own).join(asked.select(item, group), item)
+        d = coverage.nearest_panel_distance(asked, ladder, item, sizes, same_universe=False, panel_coords=own)
+        d = keep(d.join(asked.select(item, group), item))
         parts.append(coverage.balanced_quantile(d, group, "n", "distance", 0.95, "weighted_p95").select(F.lit(name).alias("selector"), "n", "weighted_p95"))
     return reduce(DataFrame.unionByName, parts)

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from ..functions.state import keep
 from ..operators import balance, compare, coverage, selection
 from ..plans import sensitivity
 from .base import CUSTOMERS_SQL, FEATURES, PERCENTILES_SQL, VECTORS_SQL, customers, d2_sql, query, table, vectors
@@ -198,7 +199,7 @@ def update_stability(spark, sf_dir):
     before = selection.group_ladder(items.withColumns({c: F.col(c).cast("string") for c in ("item", "grp")}), "item", "grp", size=20)
     parts = []
     for name in sensitivity.SCENARIOS:
-        after = sensitivity.scenario(items, "item", "grp", name, 50)
+        after = keep(sensitivity.scenario(items, "item", "grp", name, 50))
         parts.append(compare.stability(before, selection.group_ladder(after, "item", "grp", size=20), after, "item", [10, 20]).select(F.lit(name).alias("scenario"), "*"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
