@@ -232,6 +232,8 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
         sha = lambda parts: hashlib.sha256(" ".join(parts).encode("utf-8")).hexdigest()
         for pdf in batches:
             rows = [(sum([g[0] for g in got]), sha([g[1] for g in got]), sha([g[2] for g in got])) for got in bpe.encode_texts(pdf["text"].tolist())]
+            if not rows:
+                continue
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             out.insert(0, "doc_id", pdf["doc_id"])
             yield out

@@ -46,7 +46,8 @@ def heavy_digests(hashed: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
     def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = misra_gries(batches, counters)
-        yield pd.DataFrame({"text_sha256": list(held), "low": list(held.values())}, columns=["text_sha256", "low"])
+        if held:
+            yield pd.DataFrame({"text_sha256": list(held), "low": list(held.values())})
 
     return (
         hashed.select("text_sha256")

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .common import materialize, only, table, text_or_empty
 from .hashing import BUCKETS, blocks, word_ids
@@ -178,15 +178,31 @@ def mix(docs: DataFrame, net: Softmax, targets: dict[str, float] = TARGETS, step
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "tokens": pdf["tokens"], "domain": names[p.argmax(1)], "posterior": p.max(1), "rate": replay(p, done, size)[0]})
 
     rated = members.mapInPandas(run, "doc_id long, tokens long, domain string, posterior double, rate double")
+    return rated.withColumn("copies", _copies())
+
+
+def _copies(rate: str = "rate"):
+    """The rate up or down to a whole number, by a hash of the doc_id."""
     part = F.coalesce(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30)), F.lit(1.0))
-    return rated.withColumn("copies", (F.floor("rate") + F.when(part < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("int"))
+    return (F.floor(rate) + F.when(part < F.col(rate) - F.floor(rate), 1).otherwise(0)).cast("int")
+
+
+def mixed(docs: DataFrame, net: Softmax, targets: dict[str, float] = TARGETS, steps: int = STEPS) -> DataFrame:
+    """The rows of ``docs``, each as often as its copies say (see ``mix``). Rows without a doc_id stay once.
+
+    Once the steps are known a rate follows from the text alone, so rows are rated where they are read, and no text is shuffled.
+    """
+    done, size, _ = fit_rates(materialize(memberships(docs, net), "members"), target_shares(net.domains, targets), steps)
+    shared = docs.sparkSession.sparkContext.broadcast(net)  # of a fixed size
 
+    @F.pandas_udf(T.DoubleType())
+    def rate_of(text: pd.Series) -> pd.Series:
+        rates = [replay(shared.value.posteriors(words), done, size)[0] for words, _, _ in blocks(text.tolist())]
+        return pd.Series(np.concatenate(rates) if rates else np.empty(0))
 
-def mixed(docs: DataFrame, net: Softmax, targets: dict[str, float] = TARGETS) -> DataFrame:
-    """The rows of ``docs``, each as often as its copies say. Rows without a doc_id stay once."""
-    copies = mix(docs, net, targets).where("copies <> 1 and doc_id is not null").select("doc_id", "copies").distinct()
-    often = docs.join(materialize(copies.withColumnRenamed("copies", "_copies"), "copies"), "doc_id", "left")
-    return often.withColumn("_n", F.explode(F.expr("array_repeat(0, coalesce(_copies, 1))"))).select(docs.columns)
+    rated = docs.select(*docs.columns, rate_of(text_or_empty()).alias("_rate"))
+    counted = rated.withColumn("_copies", F.when(F.col("doc_id").isNull(), 1).otherwise(_copies("_rate")))
+    return counted.withColumn("_n", F.explode(F.expr("array_repeat(0, _copies)"))).select(docs.columns)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
