@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import only, table, text_or_empty
 
 SCAN = 128
-#: Entries of a worker's memo of white-space separated chunks and of words; it is emptied when full.
+#: Entries of a worker's memo of white-space separated chunks and of words; when full, what the current texts don't use goes.
 MEMO = 150_000
 #: Characters of text whose new words are merged together.
-BLOCK = 1_000_000
+BLOCK = 2_000_000
 #: Marks a special token among chunks: a character that no chunk can begin with, for it is white space.
 SPECIAL = "\n"
 NONE = 1 << 62
@@ -52,6 +52,7 @@ class Bpe:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in self.vocab.items()}
+        self.digits = {i: str(i) for i in self.tokens}
         self.suffix = model["end_of_word_suffix"] or ""
         self.special = regex.compile("|".join(f"({regex.escape(t['content'])})" for t in spec["added_tokens"]) or r"(?!)")
         #: (left id, right id) in one integer -> rank and merged id in one integer, so that a minimum finds both.
@@ -143,14 +144,16 @@ class Bpe:
 
     def _learn(self, chunks: set[str]) -> None:
         """Enter chunks into the memo."""
-        split = {c: [c] if c.isalpha() else self.words.findall(c) for c in chunks }
-        if len(self.word_memo) + len(split) > MEMO:
-            self.word_memo.clear()
-        new = list({w for words in split.values() for w in words} - self.word_memo.keys())
+        split = {c: [c] if c.isalpha() else self.words.findall(c) for c in chunks}
+        words_used = {w for words in split.values() for w in words}
+        new = list(words_used - self.word_memo.keys())
+        if len(self.word_memo) + len(new) > MEMO:
+            self.word_memo = {w: self.word_memo[w] for w in words_used.difference(new)}
         self.word_memo |= zip(new, self.encode_words(new), strict=True)
+        get, digits, tokens = self.word_memo.__getitem__, self.digits, self.tokens
         for chunk, words in split.items():
-            ids = self.word_memo[chunk] if words == [chunk] else [i for w in words for i in self.word_memo[w]]
-            self.memo[chunk] = (len(ids), " ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids]))
+            ids = get(words[0]) if len(words) == 1 else [i for w in words for i in get(w)]
+            self.memo[chunk] = (len(ids), " ".join([digits[i] for i in ids]), " ".join([tokens[i] for i in ids]))
 
     def chunks(self, text: str) -> list[str]:
         """The normalised pieces of a text between white space, none of which a word crosses; special tokens are their own."""
@@ -173,10 +176,10 @@ class Bpe:
             block.append(self.chunks(text))
             size += len(text)
             if size >= BLOCK or k == len(texts) - 1:
-                new = {c for chunks in block for c in chunks} - self.memo.keys()
+                used = {c for chunks in block for c in chunks}
+                new = used - self.memo.keys()
                 if len(self.memo) + len(new) > MEMO:
-                    self.memo.clear()
-                    new = {c for chunks in block for c in chunks}
+                    self.memo = {c: self.memo[c] for c in used - new}
                 for c in [c for c in new if c[0] == SPECIAL]:
                     new.discard(c)
                     self.memo[c] = (1, str(self.vocab[c[1:]]), c[1:])
