@@ -6,15 +6,20 @@ drawn uniformly from that alphabet: chi-squared over four classes of symbols, Wa
 middle, and serial correlation of neighbours. The least p-value counts three times over.
 
 A secret looks random, so it is one of the candidates whose p-value is *not* small. Which p-values suffice is set by the
-false-discovery rate of each stratum (encoding and length): random strings have even p-values, so their number follows
-from those above one half (Storey's estimate), and the threshold is the least at which the share of other strings above
-it is at most ``FALSE_RATE``. Long strata have powerful tests and low thresholds, short ones need more.
+false-discovery rate of each stratum (encoding and length). How the p-values of random strings are spread is measured on
+``DRAWN`` random strings of the stratum. Random strings fill every block of that spread in proportion, so there are no
+more of them than the emptiest of ``BLOCKS`` allows (with its standard error), and the threshold is the least at which
+the share of other strings above it is at most ``FALSE_RATE``. A stratum whose strings are not spread like random ones,
+or are too few to fill each block, gets no threshold. Long strata have powerful tests and low thresholds.
 
 Positions come from the lengths of the pieces between matches; the driver holds one threshold a stratum, a fixed number.
 """
 
 from __future__ import annotations
 
+import math
+import random
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import materialize, only, table, text_or_empty
@@ -43,6 +48,10 @@ LENGTH_BANDS = (24, 32, 40, 48, 64, 96, 128)
 FALSE_RATE = 0.1
 CLASSES = 4
 BINS = 20
+#: First bins of the blocks of p-values that are held against the spread of random strings; the last one ends at 1.
+BLOCKS = (5, 8, 11, 15, 19)
+DRAWN = 4000
+LONGEST = 160
 
 
 def erfc(x: Column) -> Column:
@@ -133,11 +142,11 @@ def _p_value(x: Column) -> dict[str, Column]:
     spread = both * (both - n) / (n * n * (n - 1))
     p_runs = F.when(spread > 0, _normal_p((x["runs"] - both / n - 1) / F.sqrt(spread))).otherwise(0.0)
     p_serial = F.when(x["power"] > 0, _normal_p((x["product"] / x["power"] + 1 / n) * F.sqrt(n))).otherwise(0.0)
-    return {"start": x["start"], "end": x["end"], "id": x["id"], "stratum": x["stratum"], "p": F.least(F.lit(1.0), 3 * F.least(p_chi, p_runs, p_serial))}
+    return {"start": x["start"], "end": x["end"], "id": x["id"], "stratum": x["stratum"], "n": n, "p": F.least(F.lit(1.0), 3 * F.least(p_chi, p_runs, p_serial))}
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, base spans by kind (arrays of start, end, hit) and tested candidates (start, end, id, stratum, p) of every text."""
+    """doc_id, base spans by kind (arrays of start, end, hit) and tested candidates (start, end, id, stratum, n, p) of every text."""
     patterns = {kind: (p, g, n) for kind, (p, g, n) in KINDS.items()} | {"loose": (LOOSE, 0, 20)}
     text = F.col("text")
     rows = only(docs, ["doc_id", "text"]).select("doc_id", text_or_empty().alias("text"))
@@ -153,28 +162,61 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", *[f"{kind}_any" for kind in patterns], *split)
     rows = rows.select("doc_id", *[_spans(kind, least).alias(kind) for kind, (_, _, least) in patterns.items()])
     taken = lambda s: F.exists(F.concat(*[F.col(k) for k in KINDS]), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    loose = F.filter("loose", lambda s: s["hit"].rlike("[0-9].*[0-9]") & ~taken(s))
+    loose = F.filter("loose", lambda s: ~taken(s))
     return rows.select("doc_id", *KINDS, _then(loose, _encoding, _symbols, _values, _counted, _sums, _p_value).alias("tested"))
 
 
+def random_spread(spark: SparkSession, lengths: dict[str, dict[int, int]], drawn: int = DRAWN) -> dict[str, list[int]]:
+    """Of ``drawn`` random strings of each stratum, as long as its own are: how many have their p-value in each bin."""
+    rows = []
+    for stratum, sizes in lengths.items():
+        name, rng = stratum.split("/")[0], random.Random(stratum)
+        order = sorted(sizes)
+        rows += [(stratum, name, "".join(rng.choices(ENCODINGS[name][1], k=n))) for n in rng.choices(order, [sizes[n] for n in order], k=drawn)]
+    made = spark.createDataFrame(rows, "of string, name string, hit string")
+    one = F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), "hit", "name"))
+    found = {stratum: [0] * BINS for stratum in lengths}
+    tested = made.select("of", _then(one, _symbols, _values, _counted, _sums, _p_value)[0]["p"].alias("p"))
+    for stratum, at, n in tested.groupBy("of", _bin("p").alias("bin")).count().collect():
+        found[stratum][at] = n
+    return found
+
+
+def _bin(p: str) -> Column:
+    return F.least(F.floor(F.col(p) * BINS), F.lit(BINS - 1)).cast("int")
+
+
+def threshold(n: list[int], spread: list[int], false_rate: float = FALSE_RATE) -> float | None:
+    """The least p-value at which the share of strings that are not random is small, from a stratum's bins and those of random strings."""
+    drawn, most = sum(spread), float("inf")
+    for low, high in zip(BLOCKS, (*BLOCKS[1:], BINS)):
+        here, of_random = sum(n[low:high]), sum(spread[low:high])
+        if of_random:
+            most = min(most, (here + math.sqrt(here + here * here / of_random)) * drawn / of_random)
+    for at in range(1, BLOCKS[-2] + 1):  # two blocks or more lie above, so that none is judged by itself
+        above = sum(n[at:])
+        if above and 1 - most * sum(spread[at:]) / drawn / above <= false_rate:
+            return at / BINS
+    return None
+
+
 def thresholds(scanned: DataFrame, false_rate: float = FALSE_RATE) -> dict[str, float]:
     """The p-value above which a stratum's candidates are secrets; strata without one are left out.
 
-    A string that occurs often counts once. The driver gets a histogram of at most len(ENCODINGS) * (len(LENGTH_BANDS) + 1) * BINS rows, whatever the input.
+    A string that occurs often counts once. The driver gets a histogram by stratum, length (``LONGEST`` for all above) and bin: a bounded number of rows, whatever the input.
     """
-    p = scanned.select(F.explode("tested").alias("x")).select("x.stratum", "x.id", F.least(F.floor(F.col("x.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).distinct()
+    x = scanned.select(F.explode("tested").alias("x")).select("x.stratum", "x.id", "x.p", F.least("x.n", F.lit(LONGEST)).cast("int").alias("n"))
     counts: dict[str, list[int]] = {}
-    for stratum, at, n in p.groupBy("stratum", "bin").count().collect():
-        counts.setdefault(stratum, [0] * BINS)[at] = n
-    found = {}
-    for stratum, n in counts.items():
-        random = 2 * sum(n[BINS // 2 :])
-        for at in range(1, BINS):
-            above = sum(n[at:])
-            if above and 1 - random * (1 - at / BINS) / above <= false_rate:
-                found[stratum] = at / BINS
-                break
-    return found
+    lengths: dict[str, dict[int, int]] = {}
+    for stratum, size, at, n in x.select("stratum", "id", "n", _bin("p").alias("bin")).distinct().groupBy("stratum", "n", "bin").count().collect():
+        counts.setdefault(stratum, [0] * BINS)[at] += n
+        of = lengths.setdefault(stratum, {})
+        of[size] = of.get(size, 0) + n
+    # Only a stratum that has strings in each block can get a threshold.
+    full = sorted(stratum for stratum, n in counts.items() if all(any(n[low:high]) for low, high in zip(BLOCKS, (*BLOCKS[1:], BINS))))
+    spread = random_spread(scanned.sparkSession, {stratum: lengths[stratum] for stratum in full}) if full else {}
+    found = {stratum: threshold(counts[stratum], spread[stratum], false_rate) for stratum in full}
+    return {stratum: at for stratum, at in found.items() if at is not None}
 
 
 def find_secrets(docs: DataFrame, false_rate: float = FALSE_RATE) -> DataFrame:
@@ -189,16 +231,16 @@ def find_secrets(docs: DataFrame, false_rate: float = FALSE_RATE) -> DataFrame:
     if limit:
         known = F.create_map(*[F.lit(x) for pair in limit.items() for x in pair])
         over = lambda c: c["p"] >= F.coalesce(known[c["stratum"]], F.lit(2.0))
-    random = F.filter("tested", over if limit else lambda c: F.lit(False))
+    drawn = F.filter("tested", over if limit else lambda c: F.lit(False))
     named = lambda array, rank, kind: F.transform(array, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), F.concat_ws(":", F.lit(kind), s["start"].cast("string"), s["end"].cast("string")).alias("said")))
     joined = lambda arrays: F.array_join(F.transform(F.array_sort(F.concat(*arrays)), lambda s: s["said"]), ",")
     base = [named(F.col(kind), k, kind) for k, kind in enumerate(KINDS)]
     return scanned.select(
         "doc_id",
         *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS],
-        F.size(random).cast("long").alias("n_random"),
+        F.size(drawn).cast("long").alias("n_random"),
         F.sha2(joined(base), 256).alias("base_sha256"),
-        joined([*base, named(random, len(KINDS), "random")]).alias("spans"),
+        joined([*base, named(drawn, len(KINDS), "random")]).alias("spans"),
     )
 
 

@@ -67,3 +67,30 @@ def test_even_p_values_for_random_strings(spark):
 def test_empty_table_and_repeats(spark):
     assert S.find_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert S.find_secrets(spark.createDataFrame([(1, "a"), (1, "a"), (None, None)], "doc_id long, text string")).count() == 3
+
+
+def test_strata_without_random_strings_get_no_threshold(spark):
+    rng = random.Random(3)
+    words = ["the", "anti", "tion", "able", "ment", "dis", "ing", "er", "in", "an", "ver", "heit", "qu", "zw"]
+    rows = [(i, "see " + "".join(rng.choices(words, k=9))[:23] + "7z there") for i in range(600)] + [(1000 + i, "see " + "".join(rng.choices(S.LOWER + S.DIGITS, k=25)) + " there") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert S.scan(docs).select(F.explode("tested.p").alias("p")).where("p >= 0.5").count() > 0
+    assert S.thresholds(S.scan(docs)) == {}
+    assert sum(r.n_random for r in S.find_secrets(docs).collect()) == 0
+
+
+def test_threshold_by_the_spread_of_random_strings():
+    spread = [200 - 6 * k for k in range(19)] + [1226]
+    assert S.threshold(spread, spread) == 0.05
+    assert S.threshold([4 * x for x in spread[:-1]] + [5000], spread) == 0.05
+    assert S.threshold([5000, 900, 500, 300, 200, 150, 110, 80, 60, 45, 30, 20, 15, 10, 7, 5, 4, 3, 2, 1], spread) is None
+    assert S.threshold([10, *[0] * 14, 1, *[0] * 4], spread) is None
+
+
+def test_random_keys_keep_low_p_values_and_need_no_digits(spark):
+    rng = random.Random(7)
+    rows = [(i, "key " + "".join(rng.choices(S.UPPER + S.LOWER + S.DIGITS, k=20)) + " x") for i in range(800)]
+    got = {r.doc_id: r.n_random for r in S.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    bare = [i for i, t in rows if sum(c.isdigit() for c in t) < 2]
+    assert len(bare) > 60 and sum(got[i] for i in bare) >= 0.8 * len(bare)
+    assert sum(got.values()) >= 0.85 * len(rows)
