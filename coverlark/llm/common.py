@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,6 +30,18 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is written inside hands ``rows`` rows at a time to Python workers, which so hold less."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -1,5 +1,5 @@
 import corpus_pipeline as P
-from coverlark.llm import bpe, exact_dedup, mixing, quality, simhash
+from coverlark.llm import bpe, exact_dedup, mixing, near_copies, quality
 
 from .test_classifiers import corpus
 
@@ -16,7 +16,7 @@ def test_stages_by_a_plain_version(spark, tmp_path):
     for i in sorted(good):
         groups.setdefault(bare(rows[i].text), []).append(i)
     once = {min(g, key=lambda i: (-len(rows[i].text or ""), i)) for g in groups.values()}
-    prints = {i: simhash.simhash(rows[i].text or "") % 2**64 for i in once}
+    sets = {i: near_copies.shingles(rows[i].text or "") for i in once}
     parent = {i: i for i in once}
 
     def root(x):
@@ -26,7 +26,7 @@ def test_stages_by_a_plain_version(spark, tmp_path):
 
     for a in once:
         for b in once:
-            if a < b and (prints[a] ^ prints[b]).bit_count() <= 2:
+            if a < b and near_copies.jaccard(sets[a], sets[b]) >= 0.8:
                 x, y = root(a), root(b)
                 parent[max(x, y)] = min(x, y)
     near = {i for i in once if root(i) == i}
