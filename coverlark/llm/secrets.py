@@ -1,25 +1,23 @@
 """Secret scans by a battery of randomness tests, in built-in functions only (operator 8).
 
-Base spans come from three patterns. Further candidates are runs of at least 20 characters of the alphabets in which
-keys are written. Each candidate's encoding is inferred from its characters, and three tests ask whether it could be
-drawn uniformly from that alphabet: chi-squared over four classes of symbols, Wald-Wolfowitz runs about the alphabet's
-middle, and serial correlation of neighbours. The least p-value counts three times over.
-
-A secret looks random, so it is one of the candidates whose p-value is *not* small. Which p-values suffice is set by the
-false-discovery rate of each stratum (encoding and length). How the p-values of random strings are spread is measured on
-``DRAWN`` random strings of the stratum. Random strings fill every block of that spread in proportion, so there are no
-more of them than the emptiest of ``BLOCKS`` allows (with its standard error), and the threshold is the least at which
-the share of other strings above it is at most ``FALSE_RATE``. A stratum whose strings are not spread like random ones,
-or are too few to fill each block, gets no threshold. Long strata have powerful tests and low thresholds.
-
-Positions come from the lengths of the pieces between matches; the driver holds one threshold a stratum, a fixed number.
+Base spans come from three patterns and always stay. Every base value, and every other run of at least 20 characters of
+the alphabets in which keys are written, is tested: its encoding is inferred from its characters, and three tests ask
+whether it could be drawn uniformly from that alphabet, chi-squared over all its symbols, Wald-Wolfowitz runs about the
+alphabet's middle, and serial correlation of neighbours. The least p-value counts three times over.
+
+A secret looks random, so a high p-value speaks for it. How often ordinary text reaches it is measured, not assumed:
+every document gives one string of each length band, cut from its letters and digits outside all candidates at a place
+chosen by a hash, and these go through the same tests. A candidate's level is the share of such strings of its band and
+encoding (of its band, where an encoding has under ``LEAST_ORDINARY``) that look at least as random. Benjamini-Hochberg
+on these levels, by length band, encoding and origin, decides which are called random, so that at most ``FALSE_RATE`` of
+them are ordinary. Short strings need high p-values, for much ordinary text reaches low ones; long strings need little.
+
+Positions come from the lengths of the pieces between matches. The driver holds histograms of p-values by band, encoding
+and origin: a fixed number of counts, whatever the input.
 """
 
 from __future__ import annotations
 
-import math
-import random
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import materialize, only, table, text_or_empty
@@ -36,29 +34,33 @@ DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijkl
 ENCODINGS = {
     "decimal": ("^[0-9]+$", DIGITS),
     "hex": ("^([0-9a-f]+|[0-9A-F]+)$", DIGITS + "abcdef"),
+    "lower26": ("^[a-z]+$", LOWER),
+    "upper26": ("^[A-Z]+$", UPPER),
     "base32": ("^[A-Z2-7]+$", UPPER + "234567"),
     "upper36": ("^[A-Z0-9]+$", UPPER + DIGITS),
     "lower36": ("^[a-z0-9]+$", LOWER + DIGITS),
     "base62": ("^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS),
     "base64": ("^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"),
     "base64url": ("^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_"),
-    "mixed": ("", UPPER + LOWER + DIGITS + "+/-_"),
+    "mixed": ("", UPPER + LOWER + DIGITS + "+/-_.="),
 }
-LENGTH_BANDS = (24, 32, 40, 48, 64, 96, 128)
+#: Least lengths of the bands; shorter base values are in band 0, whose ordinary strings have SHORTEST characters.
+LENGTH_BANDS = (20, 24, 32, 40, 48, 64, 96, 128)
+SHORTEST = 6
 FALSE_RATE = 0.1
-CLASSES = 4
-BINS = 20
-#: First bins of the blocks of p-values that are held against the spread of random strings; the last one ends at 1.
-BLOCKS = (5, 8, 11, 15, 19)
-DRAWN = 4000
-LONGEST = 160
+BINS = 200
+LEAST_ORDINARY = 1000
+#: Where a tested string is from: a base kind, a loose run, or ordinary text.
+ORIGINS = (*KINDS, "random", "ordinary")
 
 
-def erfc(x: Column) -> Column:
-    """The complementary error function of x >= 0 (Abramowitz and Stegun 7.1.26, absolute error below 1.5e-7)."""
+def erfc(z: Column) -> Column:
+    """The complementary error function (Abramowitz and Stegun 7.1.26, absolute error below 1.5e-7)."""
+    x = F.abs(z)
     t = 1 / (1 + 0.3275911 * x)
     poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
-    return poly * F.exp(-x * x)
+    tail = poly * F.exp(-x * x)
+    return F.when(z < 0, 2 - tail).otherwise(tail)
 
 
 def _normal_p(z: Column) -> Column:
@@ -96,38 +98,46 @@ def _then(array: Column, *steps) -> Column:
     return array
 
 
+KEPT = ("start", "end", "origin", "name", "band", "id", "n", "alphabet")
+
+
 def _encoding(x: Column) -> dict[str, Column]:
     name = F.lit("mixed")
     for encoding, (pattern, _) in reversed([*ENCODINGS.items()][:-1]):
         name = F.when(x["hit"].rlike(pattern), F.lit(encoding)).otherwise(name)
-    return {"start": x["start"], "end": x["end"], "hit": x["hit"], "name": name}
+    band = sum((F.when(F.char_length(x["hit"]) >= b, 1).otherwise(0) for b in LENGTH_BANDS), F.lit(0))
+    return {"start": x["start"], "end": x["end"], "origin": x["origin"], "hit": x["hit"], "name": name, "band": band}
 
 
 def _symbols(x: Column) -> dict[str, Column]:
     alphabets = F.create_map(*[F.lit(v) for name, (_, letters) in ENCODINGS.items() for v in (name, letters)])
     shown = F.when(x["name"] == "hex", F.lower(x["hit"])).otherwise(x["hit"])
-    return {"start": x["start"], "end": x["end"], "name": x["name"], "id": F.xxhash64(x["hit"]), "letters": alphabets[x["name"]], "shown": shown, "n": F.char_length(x["hit"])}
+    keep = {name: x[name] for name in ("start", "end", "origin", "name", "band")}
+    return keep | {"id": F.xxhash64(x["hit"]), "n": F.char_length(x["hit"]).cast("double"), "letters": alphabets[x["name"]], "signs": F.split(shown, "")}
 
 
 def _values(x: Column) -> dict[str, Column]:
-    values = F.transform(F.sequence(F.lit(1), x["n"]), lambda i: (F.instr(x["letters"], F.substr(x["shown"], i, F.lit(1))) - 1).cast("double"))
-    band = sum((F.when(x["n"] >= b, 1).otherwise(0) for b in LENGTH_BANDS), F.lit(0))
-    return {"start": x["start"], "end": x["end"], "id": x["id"], "stratum": F.concat_ws("/", x["name"], band.cast("string")), "n": x["n"].cast("double"), "alphabet": F.char_length(x["letters"]).cast("double"), "values": values}
+    keep = {name: x[name] for name in ("start", "end", "origin", "name", "band", "id", "n")}
+    return keep | {"alphabet": F.char_length(x["letters"]).cast("double"), "values": F.transform(x["signs"], lambda c: (F.instr(x["letters"], c) - 1).cast("double"))}
 
 
 def _counted(x: Column) -> dict[str, Column]:
-    keep = {name: x[name] for name in ("start", "end", "id", "stratum", "n", "alphabet", "values")}
-    share = lambda low, high: _sum(F.transform(x["values"], lambda v: F.when((v >= low) & (v < high), 1.0).otherwise(0.0)))
-    cuts = [F.ceil(x["alphabet"] * c / CLASSES).cast("double") for c in range(CLASSES + 1)]
-    chi = sum((F.pow(share(low, high) - x["n"] * (high - low) / x["alphabet"], 2) / (x["n"] * (high - low) / x["alphabet"]) for low, high in zip(cuts, cuts[1:])), F.lit(0.0))
-    last = x["n"].cast("int") - 1
-    return keep | {"chi": chi, "above": share(x["alphabet"] / 2, x["alphabet"]), "mean": _sum(x["values"]) / x["n"], "behind": F.slice(x["values"], F.lit(1), last), "ahead": F.slice(x["values"], F.lit(2), last)}
+    """Squares of the symbols' counts from the sorted values: the r-th of equal ones adds 2 r - 1."""
+    step = lambda acc, v: F.struct(v.alias("v"), F.when(acc["v"] == v, acc["r"] + 2).otherwise(1.0).alias("r"), (acc["sum"] + F.when(acc["v"] == v, acc["r"] + 2).otherwise(1.0)).alias("sum"))
+    start = F.struct(F.lit(-2.0).alias("v"), F.lit(0.0).alias("r"), F.lit(0.0).alias("sum"))
+    half, last = x["alphabet"] / 2, x["n"].cast("int") - 1
+    return {name: x[name] for name in (*KEPT, "values")} | {
+        "squares": F.aggregate(F.array_sort(x["values"]), start, step, lambda acc: acc["sum"]),
+        "above": _sum(F.transform(x["values"], lambda v: F.when(v >= half, 1.0).otherwise(0.0))),
+        "mean": _sum(x["values"]) / x["n"],
+        "behind": F.slice(x["values"], F.lit(1), last),
+        "ahead": F.slice(x["values"], F.lit(2), last),
+    }
 
 
 def _sums(x: Column) -> dict[str, Column]:
-    keep = {name: x[name] for name in ("start", "end", "id", "stratum", "n", "chi")}
     half, mean = x["alphabet"] / 2, x["mean"]
-    return keep | {
+    return {name: x[name] for name in (*KEPT, "squares")} | {
         "both": 2 * x["above"] * (x["n"] - x["above"]),
         "runs": 1 + _sum(F.zip_with(x["behind"], x["ahead"], lambda a, b: F.when((a >= half) != (b >= half), 1.0).otherwise(0.0))),
         "power": _sum(F.transform(x["values"], lambda v: (v - mean) * (v - mean))),
@@ -136,17 +146,32 @@ def _sums(x: Column) -> dict[str, Column]:
 
 
 def _p_value(x: Column) -> dict[str, Column]:
-    """The tail of chi-squared with three degrees of freedom, and two normal tails; the least of them three times over."""
+    """The least of three p-values, three times over, at most 1.
+
+    Chi-squared has k - 1 degrees of freedom, scaled to its exact variance for n symbols, with the cube-root approximation
+    of Wilson and Hilferty; runs and serial correlation have two normal tails.
+    """
     n, both = x["n"], x["both"]
-    p_chi = erfc(F.sqrt(x["chi"] / 2)) + F.sqrt(2 * x["chi"] / F.lit(3.141592653589793)) * F.exp(-x["chi"] / 2)
+    degrees = (x["alphabet"] - 1) * n / (n - 1)
+    chi = (x["alphabet"] * x["squares"] / n - n) * n / (n - 1)
+    z = (F.pow(chi / degrees, F.lit(1 / 3)) - 1 + 2 / (9 * degrees)) / F.sqrt(2 / (9 * degrees))
+    p_chi = erfc(z / F.sqrt(F.lit(2.0))) / 2
     spread = both * (both - n) / (n * n * (n - 1))
     p_runs = F.when(spread > 0, _normal_p((x["runs"] - both / n - 1) / F.sqrt(spread))).otherwise(0.0)
     p_serial = F.when(x["power"] > 0, _normal_p((x["product"] / x["power"] + 1 / n) * F.sqrt(n))).otherwise(0.0)
-    return {"start": x["start"], "end": x["end"], "id": x["id"], "stratum": x["stratum"], "n": n, "p": F.least(F.lit(1.0), 3 * F.least(p_chi, p_runs, p_serial))}
+    return {name: x[name] for name in ("start", "end", "origin", "name", "band", "id")} | {"p": F.least(F.lit(1.0), 3 * F.least(p_chi, p_runs, p_serial))}
+
+
+def _ordinary(plain: str) -> Column:
+    """One string of each length band from the letters and digits of ``plain``, at places chosen by a hash."""
+    size = F.char_length(plain)
+    cut = lambda n: F.substr(F.col(plain), 1 + F.pmod(F.xxhash64(plain, F.lit(n)), F.greatest(size - n + 1, F.lit(1))).cast("int"), F.lit(n))
+    strings = [F.when(size >= n, F.struct(F.lit(0).alias("start"), F.lit(n).alias("end"), cut(n).alias("hit"), F.lit("ordinary").alias("origin"))) for n in (SHORTEST, *LENGTH_BANDS)]
+    return F.filter(F.array(*strings), lambda s: s.isNotNull())
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, base spans by kind (arrays of start, end, hit) and tested candidates (start, end, id, stratum, n, p) of every text."""
+    """doc_id, base spans by kind (arrays of start, end, hit) and tested strings (start, end, origin, name, band, id, p) of every text."""
     patterns = {kind: (p, g, n) for kind, (p, g, n) in KINDS.items()} | {"loose": (LOOSE, 0, 20)}
     text = F.col("text")
     rows = only(docs, ["doc_id", "text"]).select("doc_id", text_or_empty().alias("text"))
@@ -159,26 +184,27 @@ def scan(docs: DataFrame) -> DataFrame:
             F.when(there, F.regexp_extract_all(text, F.lit(p), F.lit(0))).alias(f"{kind}_hit"),
             F.when(there, F.regexp_extract_all(text, F.lit(p), F.lit(group))).alias(f"{kind}_value"),
         ]
-    rows = rows.select("doc_id", *[f"{kind}_any" for kind in patterns], *split)
-    rows = rows.select("doc_id", *[_spans(kind, least).alias(kind) for kind, (_, _, least) in patterns.items()])
+    rows = rows.select("doc_id", "text", *[f"{kind}_any" for kind in patterns], *split)
+    plain = F.regexp_replace(F.when(F.col("loose_any"), F.array_join("loose_gap", " ")).otherwise(text), "[^A-Za-z0-9]+", "")
+    rows = rows.select("doc_id", plain.alias("plain"), *[_spans(kind, least).alias(kind) for kind, (_, _, least) in patterns.items()])
     taken = lambda s: F.exists(F.concat(*[F.col(k) for k in KINDS]), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    loose = F.filter("loose", lambda s: ~taken(s))
-    return rows.select("doc_id", *KINDS, _then(loose, _encoding, _symbols, _values, _counted, _sums, _p_value).alias("tested"))
-
-
-def random_spread(spark: SparkSession, lengths: dict[str, dict[int, int]], drawn: int = DRAWN) -> dict[str, list[int]]:
-    """Of ``drawn`` random strings of each stratum, as long as its own are: how many have their p-value in each bin."""
-    rows = []
-    for stratum, sizes in lengths.items():
-        name, rng = stratum.split("/")[0], random.Random(stratum)
-        order = sorted(sizes)
-        rows += [(stratum, name, "".join(rng.choices(ENCODINGS[name][1], k=n))) for n in rng.choices(order, [sizes[n] for n in order], k=drawn)]
-    made = spark.createDataFrame(rows, "of string, name string, hit string")
-    one = F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), "hit", "name"))
-    found = {stratum: [0] * BINS for stratum in lengths}
-    tested = made.select("of", _then(one, _symbols, _values, _counted, _sums, _p_value)[0]["p"].alias("p"))
-    for stratum, at, n in tested.groupBy("of", _bin("p").alias("bin")).count().collect():
-        found[stratum][at] = n
+    of = lambda array, origin: F.transform(array, lambda s: F.struct(s["start"], s["end"], s["hit"], F.lit(origin).alias("origin")))
+    strings = F.concat(*[of(F.col(kind), kind) for kind in KINDS], of(F.filter("loose", lambda s: ~taken(s)), "random"), _ordinary("plain"))
+    return rows.select("doc_id", *KINDS, _then(strings, _encoding, _symbols, _values, _counted, _sums, _p_value).alias("tested"))
+
+
+def least_bin(own: list[int], ordinary: list[int], false_rate: float = FALSE_RATE) -> int | None:
+    """Benjamini-Hochberg over binned p-values: the least bin from which on strings are called random, or None.
+
+    The level of a bin is (1 + ordinary strings in it or above) / (1 + all ordinary strings).
+    """
+    every, all_ordinary = sum(own), sum(ordinary)
+    above = over = 0
+    found = None
+    for at in range(BINS - 1, -1, -1):
+        above, over = above + own[at], over + ordinary[at]
+        if own[at] and (1 + over) / (1 + all_ordinary) <= false_rate * above / every:
+            found = at
     return found
 
 
@@ -186,61 +212,64 @@ def _bin(p: str) -> Column:
     return F.least(F.floor(F.col(p) * BINS), F.lit(BINS - 1)).cast("int")
 
 
-def threshold(n: list[int], spread: list[int], false_rate: float = FALSE_RATE) -> float | None:
-    """The least p-value at which the share of strings that are not random is small, from a stratum's bins and those of random strings."""
-    drawn, most = sum(spread), float("inf")
-    for low, high in zip(BLOCKS, (*BLOCKS[1:], BINS)):
-        here, of_random = sum(n[low:high]), sum(spread[low:high])
-        if of_random:
-            most = min(most, (here + math.sqrt(here + here * here / of_random)) * drawn / of_random)
-    for at in range(1, BLOCKS[-2] + 1):  # two blocks or more lie above, so that none is judged by itself
-        above = sum(n[at:])
-        if above and 1 - most * sum(spread[at:]) / drawn / above <= false_rate:
-            return at / BINS
-    return None
+def least_bins(scanned: DataFrame, false_rate: float = FALSE_RATE) -> dict[str, int]:
+    """By ``origin/encoding/band`` the bin of p-values from which on a string is called random; families without one are left out.
 
-
-def thresholds(scanned: DataFrame, false_rate: float = FALSE_RATE) -> dict[str, float]:
-    """The p-value above which a stratum's candidates are secrets; strata without one are left out.
-
-    A string that occurs often counts once. The driver gets a histogram by stratum, length (``LONGEST`` for all above) and bin: a bounded number of rows, whatever the input.
+    A string that occurs often counts once.
     """
-    x = scanned.select(F.explode("tested").alias("x")).select("x.stratum", "x.id", "x.p", F.least("x.n", F.lit(LONGEST)).cast("int").alias("n"))
-    counts: dict[str, list[int]] = {}
-    lengths: dict[str, dict[int, int]] = {}
-    for stratum, size, at, n in x.select("stratum", "id", "n", _bin("p").alias("bin")).distinct().groupBy("stratum", "n", "bin").count().collect():
-        counts.setdefault(stratum, [0] * BINS)[at] += n
-        of = lengths.setdefault(stratum, {})
-        of[size] = of.get(size, 0) + n
-    # Only a stratum that has strings in each block can get a threshold.
-    full = sorted(stratum for stratum, n in counts.items() if all(any(n[low:high]) for low, high in zip(BLOCKS, (*BLOCKS[1:], BINS))))
-    spread = random_spread(scanned.sparkSession, {stratum: lengths[stratum] for stratum in full}) if full else {}
-    found = {stratum: threshold(counts[stratum], spread[stratum], false_rate) for stratum in full}
-    return {stratum: at for stratum, at in found.items() if at is not None}
+    x = scanned.select(F.explode("tested").alias("x")).select("x.origin", "x.name", "x.band", "x.id", _bin("x.p").alias("bin"))
+    counts: dict[tuple[str, str, int], list[int]] = {}
+    for origin, name, band, at, n in x.distinct().groupBy("origin", "name", "band", "bin").count().collect():
+        counts.setdefault((origin, name, band), [0] * BINS)[at] += n
+    ordinary = {(name, band): n for (origin, name, band), n in counts.items() if origin == "ordinary"}
+    of_band: dict[int, list[int]] = {}
+    for (_, band), n in ordinary.items():
+        of_band[band] = [a + b for a, b in zip(of_band.get(band, [0] * BINS), n, strict=True)]
+    found = {}
+    for (origin, name, band), own in counts.items():
+        if origin != "ordinary":
+            null = ordinary.get((name, band), [])
+            at = least_bin(own, null if sum(null) >= LEAST_ORDINARY else of_band.get(band, [0] * BINS), false_rate)
+            if at is not None:
+                found[f"{origin}/{name}/{band}"] = at
+    return found
 
 
 def find_secrets(docs: DataFrame, false_rate: float = FALSE_RATE) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, n_random, base_sha256 and spans for every row of ``docs``.
+    """doc_id, n_assign, n_access, n_hex, n_tested, n_confirmed, n_random, base_sha256, spans and tests for every row of ``docs``.
 
     Spans are ``kind:start:end`` in code points, end exclusive, by start, then kind in the order assign, access, hex,
-    random. Null and empty texts have none; their base_sha256 is that of the empty string. Repeated rows repeat.
+    random; those of the kind random are the loose runs that are called random. n_tested counts tested strings,
+    n_confirmed base values that are called random too. tests has ``kind:start:end:encoding:p:decision`` of each, with
+    decision 1 for random. Null and empty texts have none; their base_sha256 is that of the empty string. Very long texts
+    and strings are tested whole. Ties share a bin and a decision. Repeated rows repeat; a string counts once for the
+    false-discovery control. An empty table gives no rows.
     """
     scanned = materialize(scan(docs), "secrets")
-    limit = thresholds(scanned, false_rate)
-    over = F.lit(False)
-    if limit:
-        known = F.create_map(*[F.lit(x) for pair in limit.items() for x in pair])
-        over = lambda c: c["p"] >= F.coalesce(known[c["stratum"]], F.lit(2.0))
-    drawn = F.filter("tested", over if limit else lambda c: F.lit(False))
-    named = lambda array, rank, kind: F.transform(array, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), F.concat_ws(":", F.lit(kind), s["start"].cast("string"), s["end"].cast("string")).alias("said")))
-    joined = lambda arrays: F.array_join(F.transform(F.array_sort(F.concat(*arrays)), lambda s: s["said"]), ",")
-    base = [named(F.col(kind), k, kind) for k, kind in enumerate(KINDS)]
-    return scanned.select(
+    limit = least_bins(scanned, false_rate)
+    known = F.create_map(*[F.lit(x) for pair in limit.items() for x in pair]) if limit else F.lit(None).cast("map<string,int>")
+
+    def judged(s: Column) -> Column:
+        at = F.coalesce(known[F.concat_ws("/", s["origin"], s["name"], s["band"].cast("string"))], F.lit(BINS))
+        called = F.least(F.floor(s["p"] * BINS), F.lit(BINS - 1)) >= at
+        rank = F.array_position(F.array(*[F.lit(o) for o in ORIGINS]), s["origin"]).cast("int") - 1
+        place = F.concat_ws(":", s["origin"], s["start"].cast("string"), s["end"].cast("string"))
+        return F.struct(s["start"], rank.alias("rank"), place.alias("said"), F.concat_ws(":", place, s["name"], F.format_string("%.6f", s["p"]), called.cast("int").cast("string")).alias("test"), called.alias("called"))
+
+    joined = lambda array, name: F.array_join(F.transform(F.array_sort(array), lambda s: s[name]), ",")
+    judgements = F.transform(F.filter("tested", lambda s: s["origin"] != "ordinary"), judged)
+    rows = scanned.select("doc_id", *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS], judgements.alias("_tested"))
+    is_base = lambda s: s["rank"] < len(KINDS)
+    counted = lambda f: F.size(F.filter("_tested", f)).cast("long")
+    return rows.select(
         "doc_id",
-        *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS],
-        F.size(drawn).cast("long").alias("n_random"),
-        F.sha2(joined(base), 256).alias("base_sha256"),
-        joined([*base, named(drawn, len(KINDS), "random")]).alias("spans"),
+        *[f"n_{kind}" for kind in KINDS],
+        F.size("_tested").cast("long").alias("n_tested"),
+        counted(lambda s: is_base(s) & s["called"]).alias("n_confirmed"),
+        counted(lambda s: ~is_base(s) & s["called"]).alias("n_random"),
+        F.sha2(joined(F.filter("_tested", is_base), "said"), 256).alias("base_sha256"),
+        joined(F.filter("_tested", lambda s: is_base(s) | s["called"]), "said").alias("spans"),
+        joined(F.col("_tested"), "test").alias("tests"),
     )
 
 
