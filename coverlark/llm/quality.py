@@ -1,31 +1,40 @@
 """Quality classifier by co-training of two views (operator 4).
 
 The content view looks at words and characters, the metadata view at what describes the page without reading it: source,
-language, size and the layout of its lines. Each view has a logistic regression. In every round each labels the pool rows
-that it is surest of, and these pseudo-labels train the *other* view. At the end each view is calibrated on labelled rows
-that trained neither, and the calibrated log odds are combined by a small logistic regression on the same rows.
-
-Fitting uses at most ``LABELLED_ROWS`` labelled and ``POOL_ROWS`` other documents, chosen by a hash of their ids
-(documented bounds). Every document is scored. A document is rejected when its score is below the threshold that loses at
-most ``LOSS`` of the good documents among the calibration rows.
+language, size and the layout of its lines. Each view has a logistic regression on standardised columns and their squares.
+In every round each view labels the documents that it is surest of, and these pseudo-labels train the *other* view. At
+the end each view is calibrated on labelled rows that trained neither, and the calibrated log odds are combined by a small
+logistic regression on the same rows.
+
+The pool is the whole corpus: views are computed once and written, a round counts both views' log odds in bins to find
+the surest share, and Newton steps sum gradients and Hessians of all pseudo-labelled documents in the tasks. Which round
+took a document follows from the thresholds of each round, so tasks replay them and no label table is rewritten. Only
+labelled rows are sampled: at most ``LABELLED_ROWS``, chosen by a hash of their ids (a documented bound); others are in
+the pool. Pseudo-labels together weigh at most as much as the labelled rows, so that the size of the corpus changes nothing.
+
+Every document is scored. A document is rejected when its score is below the threshold that loses at most ``LOSS`` of the
+good documents among the calibration rows.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import only, table, text_or_empty
+from .common import materialize, only, table, text_or_empty
 
 LABELLED_ROWS = 8000
-POOL_ROWS = 8000
-ROUNDS = 5
+ROUNDS = 4
+NEWTON = 2
 SURE_SHARE = 0.1
+#: Log odds beyond which a view is sure, and the bins of log odds in a unit.
+SURE, BINS = 2, 16
 LOSS = 0.002
 HASHED = 32
 #: Byte classes of UTF-8 text, by byte.
@@ -36,6 +45,8 @@ for _k, _chars in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQR
 CLASSES = 11
 CONTENT = CLASSES + 6
 METADATA = 6 + HASHED
+#: Where the views lie in a row of features.
+VIEWS = (slice(0, CONTENT), slice(CONTENT, CONTENT + METADATA))
 
 
 def content_view(text: str) -> list[float]:
@@ -60,152 +71,239 @@ def metadata_view(text: str, source: str | None, lang: str | None) -> list[float
     return [np.log1p(n) / 10, np.log1p(k) / 5, np.log1p(n / k) / 8, len(set(lines)) / k, max(map(len, lines)) / (n + 1), len(text.encode("utf-8", "surrogatepass")) / (n + 1), *hashed]
 
 
+def features(text: str, source: str | None, lang: str | None) -> np.ndarray:
+    """Both views of a document, one after the other."""
+    return np.array([*content_view(text), *metadata_view(text, source, lang)], np.float32)
+
+
+def design(z: np.ndarray) -> np.ndarray:
+    """A constant, standardised columns, and their squares."""
+    z = np.clip(z, -6, 6)
+    return np.column_stack([np.ones(len(z)), z, z * z])
+
+
+def gradient(d: np.ndarray, y: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and Hessian of the log loss, summed over the rows of a design matrix."""
+    p = 1 / (1 + np.exp(-np.clip(d @ theta, -30, 30)))
+    return d.T @ (p - y), (d * (p * (1 - p) + 1e-6)[:, None]).T @ d
+
+
+def newton(theta: np.ndarray, grad: np.ndarray, hess: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """One step with a ridge penalty on all but the constant."""
+    penalty = np.full(len(theta), ridge)
+    penalty[0] = 1e-6
+    return theta - np.linalg.solve(hess + np.diag(penalty), grad + penalty * theta)
+
+
+def fitted(d: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic regression on rows that are at hand."""
+    theta = np.zeros(d.shape[1])
+    for _ in range(15):
+        last, theta = theta, newton(theta, *gradient(d, y, theta))
+        if np.abs(theta - last).max() < 1e-5:
+            break
+    return theta
+
+
 @dataclass
-class Logistic:
-    """Logistic regression on standardised columns and their squares, by Newton steps with a ridge penalty."""
+class Scaled:
+    """A small logistic regression with its own scale, for calibration and combination."""
 
-    mean: np.ndarray | None = None
-    scale: np.ndarray | None = None
-    theta: np.ndarray | None = None
-
-    def _design(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -6, 6)
-        return np.column_stack([np.ones(len(z)), z, z * z])
-
-    def fit(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> Logistic:
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-6
-        d = self._design(x)
-        self.theta = np.zeros(d.shape[1])
-        penalty = ridge * np.eye(d.shape[1])
-        penalty[0, 0] = 1e-6
-        for _ in range(15):
-            p = 1 / (1 + np.exp(-np.clip(d @ self.theta, -30, 30)))
-            step = np.linalg.solve((d * (p * (1 - p) + 1e-6)[:, None]).T @ d + penalty, d.T @ (p - y) + penalty @ self.theta)
-            self.theta = self.theta - step
-            if np.abs(step).max() < 1e-5:
-                break
-        return self
+    mean: np.ndarray
+    scale: np.ndarray
+    theta: np.ndarray
+
+    @classmethod
+    def of(cls, x: np.ndarray, y: np.ndarray) -> Scaled:
+        mean, scale = x.mean(0), x.std(0) + 1e-6
+        return cls(mean, scale, fitted(design((x - mean) / scale), y))
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(self._design(x) @ self.theta, -30, 30)
+        return np.clip(design((x - self.mean) / self.scale) @ self.theta, -30, 30)
 
 
 @dataclass
 class CoTrained:
-    views: list[Logistic] = field(default_factory=list)
-    combine: Logistic | None = None
-    calibrate: list[Logistic] = field(default_factory=list)
+    mean: np.ndarray | None = None
+    scale: np.ndarray | None = None
+    thetas: list[np.ndarray] = field(default_factory=list)
+    calibrate: list[Scaled] = field(default_factory=list)
+    combine: Scaled | None = None
     threshold: float = 0.0
 
-    def logits(self, x: list[np.ndarray]) -> np.ndarray:
-        return np.column_stack([c.logit(v.logit(a)[:, None]) for v, c, a in zip(self.views, self.calibrate, x, strict=True)])
+    def designs(self, x: np.ndarray) -> list[np.ndarray]:
+        z = (x - self.mean) / self.scale
+        return [design(z[:, v]) for v in VIEWS]
+
+    def logits(self, x: np.ndarray) -> np.ndarray:
+        """Calibrated log odds, a column each view."""
+        raw = [np.clip(d @ t, -30, 30) for d, t in zip(self.designs(x), self.thetas, strict=True)]
+        return np.column_stack([c.logit(r[:, None]) for c, r in zip(self.calibrate, raw, strict=True)])
 
-    def scores(self, x: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def scores(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Calibrated probability of each view, and the combined one."""
-        if not self.views:
-            return np.full((len(x[0]), 2), 0.5), np.full(len(x[0]), 0.5)
+        if not self.thetas:
+            return np.full((len(x), 2), 0.5), np.full(len(x), 0.5)
         each = self.logits(x)
         return 1 / (1 + np.exp(-each)), 1 / (1 + np.exp(-self.combine.logit(each)))
 
 
-def co_train(x: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS, share: float = SURE_SHARE, loss: float = LOSS) -> CoTrained:
-    """``x`` and ``pool`` hold a matrix for each view, of labelled and of other rows. A third of the labelled rows calibrates."""
-    held = np.arange(len(y)) % 3 == 2
-    if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
-        return CoTrained()
-    own = [(a[~held], y[~held]) for a in x]
-    free = [np.ones(len(pool[0]), bool) for _ in x]
-    taken: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
+#: A round's lesson: the teacher's theta, and the bins below and from which its labels are taken.
+Lesson = tuple[np.ndarray, int, int]
 
-    def fitted(v: int) -> Logistic:
-        parts = [own[v], *taken[v]]
-        return Logistic().fit(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
 
-    net = CoTrained(views=[fitted(0), fitted(1)])
-    rate = y[~held].mean()
-    for _ in range(rounds):
-        for teacher, pupil in ((0, 1), (1, 0)):
-            at = np.flatnonzero(free[pupil])
-            n = int(len(pool[0]) * share)
-            if not n or len(at) < n:
-                continue
-            logit = net.views[teacher].logit(pool[teacher][at])
-            order = np.argsort(logit, kind="stable")
-            down = order[: max(1, int(n * (1 - rate)))]
-            up = order[::-1][: max(1, int(n * rate))]
-            down, up = down[logit[down] < -2], up[logit[up] > 2]  # the surest, as many of each class as labelled rows have
-            rows = at[np.concatenate([down, up])]
-            free[pupil][rows] = False
-            taken[pupil].append((pool[pupil][rows], np.concatenate([np.zeros(len(down)), np.ones(len(up))])))
-        net.views = [fitted(0), fitted(1)]
-    net.calibrate = [Logistic().fit(v.logit(a[held])[:, None], y[held]) for v, a in zip(net.views, x, strict=True)]
-    net.combine = Logistic().fit(net.logits([a[held] for a in x]), y[held])
-    score = np.sort(net.scores([a[held] for a in x])[1][y[held] == 1])
-    net.threshold = float(min(score[int(len(score) * loss)], 0.5))
-    return net
+def bins_of(d: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    return np.floor((np.clip(d @ theta, -30, 30) + 30) * BINS).astype(np.int64)
 
 
-VIEWS = "doc_id long, quality int, content array<double>, metadata array<double>"
+def taught(designs: list[np.ndarray], lessons: list[list[Lesson]]) -> list[np.ndarray]:
+    """For each pupil the pseudo-label that a row got, in the first round that took it; -1 for none."""
+    out = []
+    for pupil, own in enumerate(lessons):
+        label = np.full(len(designs[0]), -1)
+        for theta, low, high in own:
+            at = bins_of(designs[1 - pupil], theta)
+            label = np.where(label >= 0, label, np.where(at < low, 0, np.where(at >= high, 1, -1)))
+        out.append(label)
+    return out
 
 
-def _views(rows: DataFrame) -> DataFrame:
-    """Both views of rows (doc_id, quality, text, source, lang)."""
+def cuts(counts: np.ndarray, down: int, up: int) -> tuple[int, int]:
+    """The bins below and from which lie the surest ``down`` and ``up`` rows, a last bin whole, where the view is sure."""
+    low = int(np.searchsorted(np.cumsum(counts), down)) + 1
+    high = len(counts) - 1 - int(np.searchsorted(np.cumsum(counts[::-1]), up))
+    return min(low, (30 - SURE) * BINS), max(high, (30 + SURE) * BINS + 1)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            both = [(content_view(t), metadata_view(t, s, x)) for t, s, x in zip(pdf["text"], pdf["source"], pdf["lang"], strict=True)]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": pdf["quality"], "content": [b[0] for b in both], "metadata": [b[1] for b in both]})
 
-    return rows.select("doc_id", "quality", text_or_empty().alias("text"), "source", "lang").mapInPandas(run, VIEWS)
+def _sums(rows: DataFrame, values: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum over all rows of the vectors that ``values`` gives for matrices of features. Tasks send one vector each."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            got = values(_matrix(batch))
+            total = got if total is None else total + got
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"k": np.arange(len(total), dtype=np.int32), "v": total})
 
-def _stacked(column: pd.Series, width: int) -> np.ndarray:
-    return np.array(column.tolist(), float).reshape(-1, width)
+    got = rows.select("x").mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
+    return np.array([r.v for r in sorted(got, key=lambda r: r.k)])
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED_ROWS, pool: int = POOL_ROWS) -> CoTrained:
-    """A co-trained classifier. Without labels of both classes it scores every document 0.5 and rejects none."""
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    ids = only(docs, ["doc_id"]).where("doc_id is not null").distinct()
-    known = only(labels, ["doc_id", "quality"]).where("quality in (0, 1)").dropDuplicates(["doc_id"]).join(ids, "doc_id", "left_semi")
-    some = known.orderBy(*order).limit(labelled)
-    other = ids.join(known, "doc_id", "left_anti").orderBy(*order).limit(pool).select("doc_id", F.lit(-1).alias("quality"))
-    chosen = some.select("doc_id", F.col("quality").cast("int")).unionByName(other)
-    rows = only(docs, ["doc_id", "text", "source", "lang"]).join(F.broadcast(chosen), "doc_id")
-    pdf = _views(rows).toPandas().sort_values("doc_id", ignore_index=True)
-    pdf = pdf.iloc[np.argsort([zlib.crc32(str(i).encode()) for i in pdf["doc_id"]], kind="stable")]
-    parts = {k: pdf[(pdf["quality"] >= 0) == k] for k in (True, False)}
-    x, free = ([_stacked(parts[k]["content"], CONTENT), _stacked(parts[k]["metadata"], METADATA)] for k in (True, False))
-    return co_train(x, parts[True]["quality"].to_numpy(float), free)
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float64).reshape(-1, CONTENT + METADATA)
 
 
-def _scored(docs: DataFrame, net: CoTrained) -> DataFrame:
-    """``docs`` with the struct column _quality."""
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # a few hundred numbers
+def views(docs: DataFrame) -> DataFrame:
+    """doc_id and x, the features of both views, of every row of ``docs``. Written once, for they are read in every round."""
 
-    @F.pandas_udf(T.StructType([T.StructField("content_score", T.DoubleType()), T.StructField("metadata_score", T.DoubleType()), T.StructField("score", T.DoubleType()), T.StructField("kept", T.BooleanType())]))
-    def judge(text: pd.Series, source: pd.Series, lang: pd.Series) -> pd.DataFrame:
-        content = np.array([content_view(t) for t in text]).reshape(-1, CONTENT)
-        metadata = np.array([metadata_view(t, s, x) for t, s, x in zip(text, source, lang, strict=True)]).reshape(-1, METADATA)
-        each, score = shared.value.scores([content, metadata])
-        return pd.DataFrame({"content_score": each[:, 0], "metadata_score": each[:, 1], "score": score, "kept": score >= shared.value.threshold})
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "x": [features(t, s, x) for t, s, x in zip(pdf["text"], pdf["source"], pdf["lang"], strict=True)]})
+
+    rows = only(docs, ["doc_id", "text", "source", "lang"]).select("doc_id", text_or_empty().alias("text"), "source", "lang")
+    return materialize(rows.mapInPandas(run, "doc_id long, x array<float>"), "views")
 
-    return docs.withColumn("_quality", judge(text_or_empty(), F.col("source"), F.col("lang")))
 
+def fit(seen: DataFrame, labels: DataFrame, labelled: int = LABELLED_ROWS, rounds: int = ROUNDS, share: float = SURE_SHARE, loss: float = LOSS) -> CoTrained:
+    """A co-trained classifier from the rows of ``views``. Without labels of both classes it scores every document 0.5 and rejects none.
+
+    A document with several labels counts as bad if one of them says so. A third of the labelled rows calibrates.
+    """
+    ids = seen.select("doc_id").where("doc_id is not null").distinct()
+    known = only(labels, ["doc_id", "quality"]).where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")).join(ids, "doc_id", "left_semi")
+    some = F.broadcast(materialize(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled), "labelled"))  # at most ``labelled`` rows
+    rows = seen.join(some, "doc_id").toPandas()
+    rows = rows.iloc[np.lexsort((rows["doc_id"], [zlib.crc32(str(i).encode()) for i in rows["doc_id"]]))]
+    x, y = np.array(rows["x"].tolist(), np.float64).reshape(-1, CONTENT + METADATA), rows["quality"].to_numpy(float)
+    held = np.arange(len(y)) % 3 == 2
+    if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
+        return CoTrained()
+    moments = _sums(seen, lambda m: np.concatenate([[len(m)], m.sum(0), (m * m).sum(0)]))
+    mean, square = np.split(moments[1:] / moments[0], 2)
+    net = CoTrained(mean, np.sqrt(np.maximum(square - mean * mean, 0)) + 1e-6)
+    own = [(d, y[~held]) for d in net.designs(x[~held])]
+    net.thetas = [fitted(*o) for o in own]
+    _exchange(net, own, seen.join(some, "doc_id", "left_anti"), rounds, share)
+    raw = [np.clip(d @ t, -30, 30) for d, t in zip(net.designs(x[held]), net.thetas, strict=True)]
+    net.calibrate = [Scaled.of(r[:, None], y[held]) for r in raw]
+    net.combine = Scaled.of(net.logits(x[held]), y[held])
+    score = np.sort(net.scores(x[held])[1][y[held] == 1])
+    net.threshold = float(min(score[int(len(score) * loss)], 0.5))
+    return net
 
-def score_documents(docs: DataFrame, net: CoTrained) -> DataFrame:
-    """doc_id, content_score, metadata_score, score and kept of every row of ``docs``.
 
-    Null texts are empty; null source and lang are values of their own. Repeated rows repeat; an empty table gives no rows.
+def _exchange(net: CoTrained, own: list[tuple[np.ndarray, np.ndarray]], pool: DataFrame, rounds: int, share: float) -> None:
+    """The rounds of co-training: three jobs each, which bring bin counts, gradients and Hessians to the driver."""
+    rate, size, lessons = own[0][1].mean(), (60 * BINS + 1), [[], []]
+    sizes = [len(t) for t in net.thetas]
+    for _ in range(rounds):
+        thetas = list(net.thetas)
+
+        def counted(m: np.ndarray) -> np.ndarray:
+            designs = net.designs(m)
+            free = [label < 0 for label in taught(designs, lessons)]
+            return np.concatenate([np.bincount(bins_of(designs[1 - pupil], thetas[1 - pupil])[free[pupil]], minlength=size) for pupil in (0, 1)]).astype(float)
+
+        def slopes(m: np.ndarray) -> np.ndarray:
+            designs, out = net.designs(m), []
+            for d, label, theta in zip(designs, taught(designs, lessons), net.thetas, strict=True):
+                grad, hess = gradient(d[label >= 0], label[label >= 0], theta)
+                out += [[(label >= 0).sum()], grad, hess[np.triu_indices(len(theta))]]
+            return np.concatenate(out)
+
+        counts = _sums(pool, counted)
+        if not len(counts):
+            return
+        for pupil, n in enumerate(np.split(counts, 2)):
+            if not lessons[pupil]:
+                whole = n.sum()
+            wanted = int(whole * share)
+            if wanted and n.sum() >= wanted:
+                lessons[pupil].append((thetas[1 - pupil], *cuts(n, max(1, int(wanted * (1 - rate))), max(1, int(wanted * rate)))))
+        for _ in range(NEWTON):
+            got, at = _sums(pool, slopes), 0
+            for v, k in enumerate(sizes):
+                taken, grad, upper = got[at], got[at + 1 : at + 1 + k], got[at + 1 + k : at + 1 + k + k * (k + 1) // 2]
+                at += 1 + k + k * (k + 1) // 2
+                hess = np.zeros((k, k))
+                hess[np.triu_indices(k)] = upper
+                hess = hess + np.triu(hess, 1).T
+                weight = min(1.0, len(own[v][1]) / max(taken, 1))
+                g, h = gradient(*own[v], net.thetas[v])
+                net.thetas[v] = newton(net.thetas[v], g + weight * grad, h + weight * hess)
+
+
+def score_views(seen: DataFrame, net: CoTrained) -> DataFrame:
+    """doc_id, content_score, metadata_score, score and kept of every row of ``views``.
+
+    Null and empty texts are empty; null source and lang are values of their own. Very long texts count whole. Repeated
+    rows repeat; equal documents get equal scores; an empty table gives no rows.
     """
-    return _scored(only(docs, ["doc_id", "text", "source", "lang"]), net).select("doc_id", "_quality.*")
+    shared = seen.sparkSession.sparkContext.broadcast(net)  # a few hundred numbers
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each, score = shared.value.scores(_matrix(batch))
+            out = {"doc_id": batch.column("doc_id"), "content_score": each[:, 0], "metadata_score": each[:, 1], "score": score, "kept": score >= shared.value.threshold}
+            yield pa.RecordBatch.from_pydict(out)
+
+    return seen.select("doc_id", "x").mapInArrow(run, "doc_id long, content_score double, metadata_score double, score double, kept boolean")
 
 
 def keep_good(docs: DataFrame, net: CoTrained) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, judged where they are read."""
-    return _scored(docs, net).where("_quality.kept").drop("_quality")
+    """The rows of ``docs`` that the classifier keeps, judged where they are read, with their columns whatever their names."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+
+    @F.pandas_udf(T.BooleanType())
+    def keep(text: pd.Series, source: pd.Series, lang: pd.Series) -> pd.Series:
+        x = np.array([features(t, s, x) for t, s, x in zip(text, source, lang, strict=True)], np.float64).reshape(-1, CONTENT + METADATA)
+        return pd.Series(shared.value.scores(x)[1] >= shared.value.threshold)
+
+    return docs.where(keep(text_or_empty(), F.col("source"), F.col("lang")))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
+    seen = views(table(spark, sf_dir, "documents"))
+    return score_views(seen, fit(seen, table(spark, sf_dir, "labels")))

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -66,14 +67,69 @@ def test_table_lookups_equal_the_convolution():
 
 def test_quality(spark):
     docs, labels = corpus(spark)
-    net = quality.fit(docs, labels)
-    got = quality.score_documents(docs, net)
+    seen = quality.views(docs)
+    net = quality.fit(seen, labels)
+    got = quality.score_views(seen, net)
     assert got.count() == 404
     rows = got.join(labels, "doc_id").collect()
     assert sum(r.kept == bool(r.quality) for r in rows) >= 0.95 * len(rows)
-    kept = quality.keep_good(docs, net)
-    assert kept.columns == docs.columns and kept.count() == got.where("kept").count()
-    assert quality.score_documents(docs, quality.fit(docs, labels.where("false"))).where("kept").count() == 404
+    clash = docs.withColumns({"_quality": F.lit(1), "kept": F.lit("k"), "x": F.lit(2)})
+    kept = quality.keep_good(clash, net)
+    assert kept.columns == clash.columns and kept.count() == got.where("kept").count()
+    assert quality.score_views(seen, quality.fit(seen, labels.where("false"))).where("kept").count() == 404
+    none = quality.views(docs.where("false"))
+    assert quality.score_views(none, quality.fit(none, labels)).count() == 0
+
+
+def plain_co_training(docs, labels, labelled, rounds, share):
+    """The same method on lists in memory, by sorting log odds instead of counting them in bins."""
+    x = {k: np.float64(quality.features(d.text or "", d.source, d.lang)) for k, d in enumerate(docs)}
+    every = np.array([*x.values()])
+    net = quality.CoTrained(every.mean(0), every.std(0) + 1e-6)
+    known = [k for k, d in enumerate(docs) if d.doc_id in labelled]
+    known.sort(key=lambda k: (zlib.crc32(str(docs[k].doc_id).encode()), docs[k].doc_id))
+    y = np.array([labels[docs[k].doc_id] for k in known], float)
+    held = np.arange(len(known)) % 3 == 2
+    mine, other = np.array([x[k] for k in known]), [k for k in x if k not in set(known)]
+    d_own, d_pool = net.designs(mine[~held]), net.designs(np.array([x[k] for k in other]))
+    y_own = y[~held]
+    net.thetas = [quality.fitted(d, y_own) for d in d_own]
+    label = [[-1] * len(other), [-1] * len(other)]
+    n = int(len(other) * share)
+    for _ in range(rounds):
+        teachers = list(net.thetas)
+        for pupil in (0, 1):
+            logit = np.floor((np.clip(d_pool[1 - pupil] @ teachers[1 - pupil], -30, 30) + 30) * quality.BINS)
+            free = sorted((logit[k], k) for k in range(len(other)) if label[pupil][k] < 0)
+            if len(free) < n:
+                continue
+            low, high = free[max(1, int(n * (1 - y_own.mean()))) - 1][0], free[-max(1, int(n * y_own.mean()))][0]
+            for v, k in free:
+                if v <= low and v < 28 * quality.BINS:
+                    label[pupil][k] = 0
+                elif v >= high and v > 32 * quality.BINS:
+                    label[pupil][k] = 1
+        for _ in range(quality.NEWTON):
+            for v in (0, 1):
+                took = np.array(label[v]) >= 0
+                weight = min(1.0, len(y_own) / max(took.sum(), 1))
+                (g, h), (pg, ph) = quality.gradient(d_own[v], y_own, net.thetas[v]), quality.gradient(d_pool[v][took], np.array(label[v])[took], net.thetas[v])
+                net.thetas[v] = quality.newton(net.thetas[v], g + weight * pg, h + weight * ph)
+    return net, label
+
+
+def test_co_training_by_a_plain_version(spark):
+    docs, labels = corpus(spark, 600)
+    docs = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).withColumn("source", F.expr("if(doc_id % 5 = 0 and doc_id % 3 > 0, 'junk', source)"))
+    seen = quality.views(docs)
+    order = [r.doc_id for r in labels.join(docs, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(120).collect()]
+    net = quality.fit(seen, labels, labelled=120)
+    want, label = plain_co_training(docs.collect(), {r.doc_id: r.quality for r in labels.collect()}, set(order), quality.ROUNDS, quality.SURE_SHARE)
+    assert all({0, 1} <= set(each) for each in label) and sum(x >= 0 for each in label for x in each) > 100
+    for a, b in zip(net.thetas, want.thetas, strict=True):
+        assert a == pytest.approx(b, abs=1e-6)
+    alone = quality.fit(seen, labels, labelled=120, rounds=0)
+    assert any(np.abs(a - b).max() > 1e-3 for a, b in zip(net.thetas, alone.thetas, strict=True))
 
 
 def test_mixing_meets_its_targets(spark):
