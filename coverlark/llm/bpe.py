@@ -23,7 +23,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import only, table, text_or_empty
+from .common import only, table, text_batches, text_or_empty
 
 SCAN = 128
 #: Entries of a worker's memo of white-space separated chunks and of words; when full, what the current texts don't use goes.
@@ -251,4 +251,5 @@ def default_path() -> str:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return token_digests(table(spark, sf_dir, "documents"), default_path())

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -30,22 +28,27 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-@contextmanager
-def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    """What is written inside hands ``rows`` rows at a time to Python workers, which so hold less."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, rows)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def text_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> None:
+    """From now on Python workers of this session get at most ``rows`` rows and ``size`` bytes at a time, for the default lets
+    batches of whole texts grow with the texts. A session that has a limit of bytes of its own keeps it."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit, None) is None:
+        spark.conf.set(limit, str(size))
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def only(df: DataFrame, columns: list[str]) -> DataFrame:
     """The named columns alone, so that extra columns can never clash with those an operator adds."""
     missing = [c for c in columns if c not in df.columns]

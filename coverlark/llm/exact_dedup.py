@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import materialize, only, table, text_or_empty
+from .common import materialize, only, table, text_batches, text_or_empty
 
 WHITE_SPACE = " \t\n\x0b\f\r"
 COUNTERS = 1024
@@ -100,6 +100,7 @@ def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 

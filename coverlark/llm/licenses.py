@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import only, table, text_or_empty
+from .common import only, table, text_batches, text_or_empty
 
 DICE = 0.8
 MEMO = 150_000
@@ -221,4 +221,5 @@ def _places(text: str) -> list[tuple[int, int]]:
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return find_licenses(table(spark, sf_dir, "documents"))

@@ -9,6 +9,12 @@ come from projected gradient steps on
 
 (totals and tokens as shares of all tokens). One step is one Spark job that sums D numbers. A document's rate follows
 from its posteriors and the D residuals of each step so far, so tasks replay the steps and no rate table is rewritten.
+Between two jobs the driver takes several steps: as long as no rate reaches or leaves zero, a step moves the totals by
+the Gram matrix of the documents with positive rates, D x D numbers that the job sums too. The next job takes the same
+steps for every document, with the projection, and says how far the totals were off; then more or fewer are taken.
+
+Steps go on until every total is within ``CLOSE`` of its target or, where targets can't be met (a domain without tokens),
+until the totals stand still; the totals that were reached are part of the result.
 
 Fitting the classifier uses at most ``TRAIN_ROWS`` labelled documents, chosen by a hash of their ids (a documented bound).
 """
@@ -20,17 +26,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import materialize, only, table, text_or_empty
+from .common import fresh, materialize, only, table, text_batches, text_or_empty
 from .hashing import BUCKETS, blocks, word_ids
 
 TRAIN_ROWS = 3000
 #: Target shares of tokens (a parameter); what is missing to 1 goes to domains that are not named, in equal parts.
 TARGETS = {"en": 0.45, "de": 0.2, "fr": 0.2, "es": 0.13, "toxic": 0.02}
-STEPS = 40
 DAMPING = 0.002
+#: Shares within which a total meets its target, and below whose change over LONG steps or more totals stand still.
 CLOSE = 1e-4
+STILL = 1e-5
+LONG = 32
+#: Error of the driver's totals up to which it doubles its steps.
+TRUSTED = 1e-3
 SPACE = BUCKETS // 4
 
 
@@ -85,7 +96,7 @@ def train(docs: list[np.ndarray], domains: list[str], epochs: int = 12, seed: in
 
 def fit_domains(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Softmax:
     """The domain classifier, from at most ``limit`` labelled documents; without labels there is the one domain "all"."""
-    known = only(labels, ["doc_id", "toxic"]).where("doc_id is not null").dropDuplicates(["doc_id"]).join(only(docs, ["doc_id"]).distinct(), "doc_id", "left_semi")
+    known = only(labels, ["doc_id", "toxic"]).where("doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(only(docs, ["doc_id"]).distinct(), "doc_id", "left_semi")
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     rows = only(docs, ["doc_id", "text", "lang"]).join(F.broadcast(some), "doc_id")
     rows = rows.select("doc_id", F.when(F.col("toxic") == 1, "toxic").otherwise(F.coalesce("lang", F.lit("none"))).alias("domain"), text_or_empty().alias("text"))
@@ -131,19 +142,25 @@ def replay(posteriors: np.ndarray, steps: list[np.ndarray], size: float, damping
     return rate, ahead
 
 
-def fit_rates(members: DataFrame, shares: np.ndarray, steps: int = STEPS, close: float = CLOSE) -> tuple[list[np.ndarray], float, np.ndarray]:
+def _of(batch: pa.RecordBatch, d: int) -> tuple[np.ndarray, np.ndarray]:
+    p = batch.column("posteriors").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+    return p, batch.column("tokens").to_numpy(zero_copy_only=False).astype(float)
+
+
+def fit_rates(members: DataFrame, shares: np.ndarray, close: float = CLOSE, still: float = STILL) -> tuple[list[np.ndarray], float, np.ndarray]:
     """Residuals of each step, the step size, and the shares reached. A job sums D numbers a partition."""
     d = len(shares)
 
     def summed(values) -> np.ndarray:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = 0.0
-            for pdf in batches:
-                p, n = np.array(pdf["posteriors"].tolist()).reshape(-1, d), pdf["tokens"].to_numpy(float)
-                total = total + values(p, n)
-            yield pd.DataFrame({"k": range(np.size(total)), "v": np.ravel(total)})
-
-        got = members.mapInPandas(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                got = np.ravel(values(*_of(batch, d)))
+                total = got if total is None else total + got
+            if total is not None:
+                yield pa.RecordBatch.from_pydict({"k": np.arange(len(total), dtype=np.int32), "v": total})
+
+        got = members.select("tokens", "posteriors").mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
         return np.array([r.v for r in sorted(got, key=lambda r: r.k)])
 
     first = summed(lambda p, n: np.concatenate([[n.sum()], ((p * n[:, None]).T @ p).ravel()]))
@@ -153,32 +170,54 @@ def fit_rates(members: DataFrame, shares: np.ndarray, steps: int = STEPS, close:
     gram, root = first[1:].reshape(d, d) / total, np.sqrt(shares)
     size = 1 / (np.linalg.eigvalsh(gram / root[:, None] / root[None, :])[-1] + DAMPING)
     done: list[np.ndarray] = []
-    while True:
-        both = summed(lambda p, n: np.stack([(p * (n * r)[:, None]).sum(0) for r in replay(p, done, size)])) / total
-        reached, ahead = both[:d], both[d:]
-        if len(done) >= steps or np.abs(reached - shares).max() < close:
-            return done, size, reached
-        done = [*done, (ahead - shares) / shares]
+    span, last, foreseen = 1, None, None
 
+    def sums(p: np.ndarray, n: np.ndarray) -> np.ndarray:
+        rate, ahead = replay(p, done, size)
+        moves = (rate > 0) | (ahead > 0)
+        held = p[moves] * n[moves, None]
+        return np.concatenate([(p * (n * rate)[:, None]).sum(0), (p * (n * ahead)[:, None]).sum(0), held.sum(0), (held.T @ p[moves]).ravel()])
 
-def mix(docs: DataFrame, net: Softmax, targets: dict[str, float] = TARGETS, steps: int = STEPS) -> DataFrame:
-    """doc_id, tokens, domain (the likeliest), posterior, rate and copies of every row of ``docs``.
-
+    while True:
+        got = summed(sums) / total
+        reached, ahead, one, gram = got[:d], got[d : 2 * d], got[2 * d : 3 * d], got[3 * d :].reshape(d, d)
+        stands = last is not None and span >= LONG and np.abs(reached - last).max() < still
+        if stands or np.abs(reached - shares).max() < close:
+            return done, size, reached
+        if foreseen is not None:
+            span = 2 * span if np.abs(reached - foreseen).max() < TRUSTED else max(1, span // 2)
+        last, now = reached, reached
+        for _ in range(span):
+            k, residual = len(done), (ahead - shares) / shares
+            done = [*done, residual]
+            before, now = now, ahead - size * (gram @ residual + DAMPING * (ahead - one))
+            ahead = now + k / (k + 3) * (now - before)
+        foreseen = now
+
+
+def mix(docs: DataFrame, net: Softmax, targets: dict[str, float] = TARGETS) -> DataFrame:
+    """doc_id, tokens, domain (the likeliest), posterior, posteriors, rate, copies, target and reached of every row of ``docs``.
+
+    posteriors are in the order of ``net.domains``; of equal ones the first domain by name is the likeliest. target is the
+    share of all tokens that its likeliest domain shall have, reached what the sum of tokens * rate * posterior gives it.
     copies is the rate rounded to a whole number, up or down by a hash of the doc_id so that its mean is the rate. Null and
-    empty texts have no tokens and the posteriors of the empty text. Repeated rows get the same answer; a null doc_id
-    rounds down. An empty table, or one without words, gets rate 1.
+    empty texts have no tokens and the posteriors of the empty text; very long texts count whole. Repeated rows get the
+    same answer; a null doc_id rounds down. An empty table, or one without words, gets rate 1 and reaches 0.
     """
     members = materialize(memberships(docs, net), "members")
-    done, size, _ = fit_rates(members, target_shares(net.domains, targets), steps)
+    shares = target_shares(net.domains, targets)
+    done, size, reached = fit_rates(members, shares)
     names = np.array(net.domains, dtype=object)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            p = np.array(pdf["posteriors"].tolist()).reshape(-1, len(names))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "tokens": pdf["tokens"], "domain": names[p.argmax(1)], "posterior": p.max(1), "rate": replay(p, done, size)[0]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p, _ = _of(batch, len(names))
+            best = p.argmax(1)
+            more = {"domain": pa.array(names[best], pa.string()), "posterior": p.max(1), "posteriors": batch.column("posteriors"), "rate": replay(p, done, size)[0], "target": shares[best], "reached": reached[best]}
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "tokens": batch.column("tokens")} | more)
 
-    rated = members.mapInPandas(run, "doc_id long, tokens long, domain string, posterior double, rate double")
-    return rated.withColumn("copies", _copies())
+    schema = "doc_id long, tokens long, domain string, posterior double, posteriors array<double>, rate double, target double, reached double"
+    return members.mapInArrow(run, schema).withColumn("copies", _copies())
 
 
 def _copies(rate: str = "rate"):
@@ -187,12 +226,13 @@ def _copies(rate: str = "rate"):
     return (F.floor(rate) + F.when(part < F.col(rate) - F.floor(rate), 1).otherwise(0)).cast("int")
 
 
-def mixed(docs: DataFrame, net: Softmax, targets: dict[str, float] = TARGETS, steps: int = STEPS) -> DataFrame:
+def mixed(docs: DataFrame, net: Softmax, targets: dict[str, float] = TARGETS) -> DataFrame:
     """The rows of ``docs``, each as often as its copies say (see ``mix``). Rows without a doc_id stay once.
 
-    Once the steps are known a rate follows from the text alone, so rows are rated where they are read, and no text is shuffled.
+    Once the steps are known a rate follows from the text alone, so rows are rated where they are read, and no text is
+    shuffled. Columns of ``docs`` stay whatever their names.
     """
-    done, size, _ = fit_rates(materialize(memberships(docs, net), "members"), target_shares(net.domains, targets), steps)
+    done, size, _ = fit_rates(materialize(memberships(docs, net), "members"), target_shares(net.domains, targets))
     shared = docs.sparkSession.sparkContext.broadcast(net)  # of a fixed size
 
     @F.pandas_udf(T.DoubleType())
@@ -200,11 +240,13 @@ def mixed(docs: DataFrame, net: Softmax, targets: dict[str, float] = TARGETS, st
         rates = [replay(shared.value.posteriors(words), done, size)[0] for words, _, _ in blocks(text.tolist())]
         return pd.Series(np.concatenate(rates) if rates else np.empty(0))
 
-    rated = docs.select(*docs.columns, rate_of(text_or_empty()).alias("_rate"))
-    counted = rated.withColumn("_copies", F.when(F.col("doc_id").isNull(), 1).otherwise(_copies("_rate")))
-    return counted.withColumn("_n", F.explode(F.expr("array_repeat(0, _copies)"))).select(docs.columns)
+    rate, copies, each = (fresh(docs, name) for name in ("rate", "copies", "each"))
+    rated = docs.select(*docs.columns, rate_of(text_or_empty()).alias(rate))
+    counted = rated.withColumn(copies, F.when(F.col("doc_id").isNull(), 1).otherwise(_copies(rate)))
+    return counted.withColumn(each, F.explode(F.array_repeat(F.lit(0), F.col(copies)))).select(docs.columns)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     docs = table(spark, sf_dir, "documents")
     return mix(docs, fit_domains(docs, table(spark, sf_dir, "labels")))

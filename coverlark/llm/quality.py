@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import materialize, only, table, text_or_empty
+from .common import materialize, only, table, text_batches, text_or_empty
 
 LABELLED_ROWS = 8000
 ROUNDS = 4
@@ -305,5 +305,6 @@ def keep_good(docs: DataFrame, net: CoTrained) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     seen = views(table(spark, sf_dir, "documents"))
     return score_views(seen, fit(seen, table(spark, sf_dir, "labels")))

@@ -19,7 +19,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from .common import materialize, only, table, text_or_empty
+from .common import materialize, only, table, text_batches, text_or_empty
 from .components import components
 
 SEED = 42
@@ -107,5 +107,6 @@ def drop_near_copies(docs: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     found = near_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

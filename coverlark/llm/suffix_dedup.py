@@ -32,7 +32,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import materialize, only, table, text_or_empty
+from .common import materialize, only, table, text_batches, text_or_empty
 
 LENGTH = 400
 GRAM = 32
@@ -385,4 +385,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")

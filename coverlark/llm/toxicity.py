@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import only, table, text_or_empty
+from .common import only, table, text_batches, text_or_empty
 from .hashing import BUCKETS, blocks, word_ids
 
 TRAIN_ROWS = 4000
@@ -245,5 +245,6 @@ def score_documents(docs: DataFrame, net: Cnn, cut: float = CUT) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     docs = table(spark, sf_dir, "documents")
     return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))

@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import only, table, text_or_empty
+from .common import only, table, text_batches, text_or_empty
 
 K = 12
 WINDOW = 89
@@ -171,4 +171,5 @@ def compare_with_next(docs: DataFrame, k: int = K, window: int = WINDOW, rows_pe
 
 
 def op1_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return compare_with_next(table(spark, sf_dir, "documents"))

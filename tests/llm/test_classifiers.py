@@ -132,14 +132,39 @@ def test_co_training_by_a_plain_version(spark):
     assert any(np.abs(a - b).max() > 1e-3 for a, b in zip(net.thetas, alone.thetas, strict=True))
 
 
-def test_mixing_meets_its_targets(spark):
+def test_mixing_meets_its_targets_by_a_plain_version(spark):
     docs, labels = corpus(spark)
     net = mixing.fit_domains(docs, labels)
     targets = {"en": 0.5, "de": 0.45, "toxic": 0.05}
-    members = mixing.materialize(mixing.memberships(docs.where("length(text) < 10000"), net))
-    done, size, reached = mixing.fit_rates(members, mixing.target_shares(net.domains, targets), steps=80)
-    assert np.abs(reached - mixing.target_shares(net.domains, targets)).max() < 0.02
-    rows = mixing.mix(docs, net, targets).collect()
-    assert len(rows) == 404 and all(r.rate >= 0 and abs(r.copies - r.rate) <= 1 for r in rows)
-    assert mixing.mixed(docs, net, targets).columns == docs.columns
-    assert mixing.mix(docs.where("false"), net).count() == 0
+    some = docs.where("length(text) < 10000 or text is null")
+    shares = mixing.target_shares(net.domains, targets)
+    rows = mixing.mix(some, net, targets).collect()
+    p, n = np.array([r.posteriors for r in rows]), np.array([r.tokens for r in rows], float)
+    reached = (p * (n * [r.rate for r in rows])[:, None]).sum(0) / n.sum()
+    assert all(r.reached == pytest.approx(reached[net.domains.index(r.domain)]) and r.target == shares[net.domains.index(r.domain)] for r in rows)
+    # the same least squares by plain projected gradient steps on all rates at once, until nothing moves
+    w, rate = n / n.sum(), np.ones(len(n))
+    size = 0.9 / (np.linalg.eigvalsh((p * w[:, None]).T @ p / np.sqrt(shares)[:, None] / np.sqrt(shares)[None])[-1] + mixing.DAMPING)
+    for _ in range(20_000):
+        rate = np.maximum(0, rate - size * (p @ (((p * (w * rate)[:, None]).sum(0) - shares) / shares) + mixing.DAMPING * (rate - 1)))
+    best = (p * (w * rate)[:, None]).sum(0)
+    assert np.abs(best - shares).max() < 0.01
+    assert np.abs(reached - shares).max() < mixing.CLOSE or reached == pytest.approx(best, abs=1e-4)
+    assert len(rows) == 403 and all(r.rate >= 0 and abs(r.copies - r.rate) <= 1 for r in rows)
+    assert all(r.domain == net.domains[int(np.argmax(r.posteriors))] for r in rows)
+
+
+def test_mixing_edges(spark):
+    docs, labels = corpus(spark, 60)
+    net = mixing.fit_domains(docs, labels)
+    clash = docs.withColumns({"rate": F.lit("r"), "copies": F.lit(7), "each": F.lit(1), "_n": F.lit(2), "posteriors": F.lit(3)})
+    copies = {r.doc_id: r.copies for r in mixing.mix(clash, net).collect()}
+    got = mixing.mixed(clash, net)
+    assert got.columns == clash.columns and got.where("rate = 'r' and copies = 7 and each = 1 and _n = 2").count() == got.count()
+    assert got.where("doc_id is null").count() == 1 and got.where("doc_id = 5").count() == copies[5]
+    assert mixing.mix(docs.where("false"), net).count() == 0 and mixing.mixed(docs.where("false"), net).count() == 0
+    empty = mixing.mix(docs.where("doc_id in (60, 61)"), net).collect()
+    assert [(r.tokens, r.rate, r.reached) for r in empty] == [(0, 1.0, 0.0)] * 2
+    # a target that no document can meet: the totals stand still and say so
+    away = mixing.Softmax(["all", "none"], np.zeros((mixing.SPACE, 2), np.float32), np.array([50.0, -50.0], np.float32))
+    assert all(r.reached < r.target + 0.01 for r in mixing.mix(docs, away, {"all": 0.5, "none": 0.5}).collect())
