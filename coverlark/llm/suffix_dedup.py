@@ -7,11 +7,12 @@ equal runs (the whole stretch of bytes that the run's strings cover) form a clas
 from end to end. What is left are classes that share a gram and differ somewhere: these are sorted, once by the bytes
 after the anchor and once by the bytes before it, read backwards.
 
-How they are sorted. Tasks sort runs of records, front-code them (the length of the prefix shared with the record before,
-and the rest) and send the stretch between two splitters to that range's task. There a loser tree merges the runs. It
-keeps for each loser how many bytes it shares with the winner above, so two records are compared from their first
-unknown byte on, and it hands out each record with the length of the prefix that it shares with the one before.
-Every stretch also carries its run's next record on either side, so the neighbours at a range's ends are known too.
+How they are sorted. A task sorts pieces of its records, front-codes them (the length of the prefix shared with the record
+before, and the rest) and merges them into one run. The stretch of the run between two splitters goes to that range's
+task, where a loser tree merges the stretches. It keeps for each loser how many bytes it shares with the winner above, so
+two records are compared from their first unknown byte on, and it hands out each record with the length of the prefix
+that it shares with the one before. Splitters are records themselves, so no range but the first is empty, and the last
+record of a range meets the first of the next one in a join on the range's number.
 
 What the order says. A string that starts l bytes before anchor a is repeated if and only if some other class shares at
 least l bytes before and 400 - l bytes after. A record's neighbours in the two orders bound both lengths from above, and
@@ -36,12 +37,14 @@ from .common import materialize, only, table, text_batches, text_or_empty
 
 LENGTH = 400
 GRAM = 32
-#: Records of a sorted run, and of a range of the merged order.
+#: Records that a task sorts at a time, and of a range of the merged order.
 RUN_RECORDS = 20_000
 RANGE_RECORDS = 20_000
-#: Sampled keys a range; the driver sorts at most SAMPLES of them.
-OVERSAMPLE = 20
+#: Sampled keys a range; the driver sorts about SAMPLES of them, which bounds the number of ranges, not what they hold.
+OVERSAMPLE = 8
 SAMPLES = 50_000
+#: Rows that a task hands out at a time.
+OUT_ROWS = 50_000
 BASE, MIX = 0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD
 
 
@@ -95,39 +98,52 @@ def shared(a: bytes, b: bytes, known: int = 0) -> int:
 
 
 class Record:
-    """A key, what lies on the anchor's other side, and whose it is; ``own`` is false for a neighbour from another range."""
+    """A key, what lies on the anchor's other side, and whose it is: ``rid`` is (doc, rid), ``at`` the anchor's place."""
 
-    __slots__ = ("key", "other", "rid", "at", "own")
+    __slots__ = ("key", "other", "rid", "at")
 
-    def __init__(self, key: bytes, other: bytes, rid: int, at: int, own: bool = True):
-        self.key, self.other, self.rid, self.at, self.own = key, other, rid, at, own
+    def __init__(self, key: bytes, other: bytes, rid: tuple[int, int], at: int):
+        self.key, self.other, self.rid, self.at = key, other, rid, at
 
     def order(self) -> tuple:
         return self.key, self.other, self.rid, self.at
 
 
-HEAD = struct.Struct("<HHHqi?")
+HEAD = struct.Struct("<HHHqqi")
+
+
+class Encoder:
+    """Front-codes records that come in order."""
+
+    def __init__(self):
+        self.out, self.last = [], b""
+
+    def add(self, r: Record, known: int | None = None) -> None:
+        n = (shared(self.last, r.key) if known is None else known) if self.out else 0
+        self.out += (HEAD.pack(n, len(r.key) - n, len(r.other), *r.rid, r.at), r.key[n:], r.other)
+        self.last = r.key
+
+    def block(self) -> bytes:
+        return zstandard.ZstdCompressor(level=1).compress(b"".join(self.out))
 
 
 def encode_run(records: list[Record]) -> bytes:
     """A sorted run, front-coded and compressed."""
-    out, last = [], b""
+    e = Encoder()
     for r in records:
-        n = shared(last, r.key)
-        out += (HEAD.pack(n, len(r.key) - n, len(r.other), r.rid, r.at, r.own), r.key[n:], r.other)
-        last = r.key
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+        e.add(r)
+    return e.block()
 
 
 def decode_run(block: bytes) -> Iterator[tuple[int, Record]]:
     """The records of a run, each with the length of the prefix it shares with the one before."""
     data, at, last = zstandard.ZstdDecompressor().decompress(block), 0, b""
     while at < len(data):
-        n, rest, other, rid, where, own = HEAD.unpack_from(data, at)
+        n, rest, other, doc, rid, where = HEAD.unpack_from(data, at)
         at += HEAD.size
         last = last[:n] + data[at : at + rest]
         at += rest
-        yield n, Record(last, data[at : at + other], rid, where, own)
+        yield n, Record(last, data[at : at + other], (doc, rid), where)
         at += other
 
 
@@ -182,103 +198,148 @@ def merge(runs: list[Iterator[tuple[int, Record]]]) -> Iterator[tuple[int, Recor
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """rid, doc_id and text; rid stands for a document and its text, so that repeated rows are told from clashing ids."""
+    """doc, rid, doc_id and text. (doc, rid) stands for a document and its text, so that repeated rows are told from
+    clashing ids: doc is the doc_id (the least integer for null), rid a hash of the text, which only tells rows of one doc_id apart."""
     rows = only(docs, ["doc_id", "text"]).select("doc_id", text_or_empty().alias("text"))
-    return rows.select(F.xxhash64("doc_id", "text").alias("rid"), "doc_id", "text")
+    return rows.select(F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("doc"), F.xxhash64("doc_id", "text").alias("rid"), "doc_id", "text")
+
+
+ROW = ["doc", "rid"]
+ANCHOR = [*ROW, "at"]
 
 
 def find_anchors(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             parts = []
-            for rid, text in zip(pdf["rid"].tolist(), pdf["text"], strict=True):
+            for doc, rid, text in zip(pdf["doc"].tolist(), pdf["rid"].tolist(), pdf["text"], strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
                 at, first, last, gram = anchors(raw)
                 if len(at):
                     spans = [xxhash.xxh3_64_intdigest(raw[a : b + LENGTH]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
-                    parts.append((np.full(len(at), rid), at, first, last, gram, np.array(spans, np.uint64).view(np.int64)))
+                    parts.append((np.full(len(at), doc), np.full(len(at), rid), at, first, last, gram, np.array(spans, np.uint64).view(np.int64)))
             if parts:
-                yield pd.DataFrame(dict(zip(("rid", "at", "first", "last", "gram", "span"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
+                yield pd.DataFrame(dict(zip((*ANCHOR, "first", "last", "gram", "span"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
 
-    return rows.where(F.octet_length("text") >= LENGTH).select("rid", "text").mapInPandas(run, "rid long, at int, first int, last int, gram long, span long")
+    return rows.where(F.octet_length("text") >= LENGTH).select(*ROW, "text").mapInPandas(run, "doc long, rid long, at int, first int, last int, gram long, span long")
 
 
 def contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(gram, rid, at, before, after) of the wanted anchors: bytes before the anchor read backwards, and from it on."""
-    lists = wanted.groupBy("rid").agg(F.collect_list(F.struct("at", "first", "last", "gram")).alias("list"))  # as long as the text at most
-    joined = rows.select("rid", "text").join(lists, "rid").select("rid", "text", *[F.col(f"list.{c}").alias(c) for c in ("at", "first", "last", "gram")])
+    """(gram, doc, rid, at, before, after) of the wanted anchors: bytes before the anchor read backwards, and from it on."""
+    lists = wanted.groupBy(*ROW).agg(F.collect_list(F.struct("at", "first", "last", "gram")).alias("list"))  # as long as the text at most
+    joined = rows.select(*ROW, "text").join(lists, ROW).select(*ROW, "text", *[F.col(f"list.{c}").alias(c) for c in ("at", "first", "last", "gram")])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for rid, text, ats, firsts, lasts, grams in pdf.itertuples(index=False):
+            for doc, rid, text, ats, firsts, lasts, grams in pdf.itertuples(index=False):
                 raw = text.encode("utf-8", "surrogatepass")
-                out += [(g, rid, a, raw[f:a][::-1], raw[a : e + LENGTH]) for a, f, e, g in zip(ats, firsts, lasts, grams, strict=True)]
-            yield pd.DataFrame(out, columns=["gram", "rid", "at", "before", "after"])
+                out += [(g, doc, rid, a, raw[f:a][::-1], raw[a : e + LENGTH]) for a, f, e, g in zip(ats, firsts, lasts, grams, strict=True)]
+            yield pd.DataFrame(out, columns=["gram", *ANCHOR, "before", "after"])
+
+    return joined.mapInPandas(run, "gram long, doc long, rid long, at int, before binary, after binary")
+
 
-    return joined.mapInPandas(run, "gram long, rid long, at int, before binary, after binary")
+def separators(drawn: list[tuple[bytes, bytes]], ranges: int) -> list[tuple[bytes, bytes]]:
+    """At most ``ranges`` - 1 splitters from drawn records, each as short as tells it from the splitter before."""
+    keys = sorted(set(drawn))
+    chosen = [keys[i * len(keys) // ranges] for i in range(1, ranges)] if len(keys) >= ranges else keys
+    out: list[tuple[bytes, bytes]] = []
+    for k, (key, other) in enumerate(chosen):
+        same = shared(chosen[k - 1][0], key) if k else len(key)
+        out.append((key[: same + 1], b"") if same < len(key) else (key, other))
+    return out
 
 
 def neighbours(records: DataFrame, key: str, other: str) -> DataFrame:
-    """(rid, at, key_shared, other_shared): what each record shares with its neighbours in the order of ``key``.
+    """(doc, rid, at, key_shared, other_shared): what each record shares with its neighbours in the order of ``key``.
 
-    Ranges are found from a sample of keys; how well it is drawn changes only how even they are.
+    Ranges are found from a sample of keys; how well it is drawn changes only how even they are. A task holds its own
+    records, compressed, and a range's stretches; both are merged as streams.
     """
-    count = records.count()
-    ranges = max(1, -(-count // RANGE_RECORDS))
-    rate = max(1, count // min(SAMPLES, ranges * OVERSAMPLE))
+    count, run_records = records.count(), RUN_RECORDS
+    ranges = max(1, min(-(-count // RANGE_RECORDS), SAMPLES // OVERSAMPLE))
     splitters: list[tuple[bytes, bytes]] = []
     if ranges > 1:
-        drawn = records.where(F.pmod(F.xxhash64("rid", "at"), F.lit(rate)) == 0).select(key, other).limit(2 * SAMPLES).collect()
-        keys = sorted({(bytes(r[0]), bytes(r[1])) for r in drawn})
-        splitters = [keys[i * len(keys) // ranges] for i in range(1, ranges)] if len(keys) >= ranges else keys
-        splitters = sorted(set(splitters))
+        rate = max(1, count // (ranges * OVERSAMPLE))
+        drawn = records.where(F.pmod(F.xxhash64(*ANCHOR), F.lit(rate)) == 0).select(key, other)
+        splitters = separators([(bytes(r[0]), bytes(r[1])) for r in drawn.toLocalIterator()], ranges)
+    shipped = records.sparkSession.sparkContext.broadcast(splitters)  # at most SAMPLES / OVERSAMPLE short keys
 
     def sort_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[Record] = []
+        pieces: list[bytes] = []
+        cuts = shipped.value
 
-        def flush() -> pd.DataFrame:
+        def flush() -> None:
             held.sort(key=Record.order)
-            cuts = [0, *(bisect.bisect_left(held, s, key=lambda r: (r.key, r.other)) for s in splitters), len(held)]
-            out = []
-            for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                edge = lambda i: [Record(held[i].key, held[i].other, held[i].rid, held[i].at, False)] if 0 <= i < len(held) else []
-                out.append((k, encode_run([*edge(a - 1), *held[a:b], *edge(b)])))
+            pieces.append(encode_run(held))
             held.clear()
-            return pd.DataFrame(out, columns=["range", "block"])
 
         for pdf in batches:
-            for x, y, rid, at in zip(pdf[key], pdf[other], pdf["rid"].tolist(), pdf["at"].tolist(), strict=True):
-                held.append(Record(bytes(x), bytes(y), rid, at))
-                if len(held) >= RUN_RECORDS:
-                    yield flush()
+            for x, y, doc, rid, at in zip(pdf[key], pdf[other], pdf["doc"].tolist(), pdf["rid"].tolist(), pdf["at"].tolist(), strict=True):
+                held.append(Record(bytes(x), bytes(y), (doc, rid), at))
+                if len(held) >= run_records:
+                    flush()
         if held:
-            yield flush()
+            flush()
+        place, stretch = 0, Encoder()
+        for n, r in merge([decode_run(b) for b in pieces]):
+            to = bisect.bisect_right(cuts, (r.key, r.other), lo=place)
+            if to != place and stretch.out:
+                yield pd.DataFrame({"range": [place], "block": [stretch.block()]})
+                stretch = Encoder()
+            place = to
+            stretch.add(r, n)
+        if stretch.out:
+            yield pd.DataFrame({"range": [place], "block": [stretch.block()]})
 
     def merge_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, blocks = None, []
+        columns = [*ANCHOR, "key_shared", "other_shared", "range", "key", "other"]
 
-        def merged() -> pd.DataFrame:
-            out, last = [], None
+        def merged() -> Iterator[pd.DataFrame]:
+            last = None
+            out = []
             for n, r in merge([decode_run(b) for b in blocks]):
-                if last is not None and (last.own or r.own):
+                if last is None:
+                    out.append((*r.rid, r.at, None, None, now, r.key, r.other))  # the first of the range
+                else:
                     m = shared(last.other, r.other)
-                    out += [(x.rid, x.at, n, m) for x in (last, r) if x.own]
+                    out += [(*x.rid, x.at, n, m, None, None, None) for x in (last, r)]
                 last = r
-            return pd.DataFrame(out, columns=["rid", "at", "key_shared", "other_shared"])
+                if len(out) >= OUT_ROWS:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
+            out.append((*last.rid, last.at, None, None, -now - 1, last.key, last.other))  # the last of the range
+            yield pd.DataFrame(out, columns=columns)
 
         for pdf in batches:
             for place, block in zip(pdf["range"].tolist(), pdf["block"], strict=True):
                 if place != now and blocks:
-                    yield merged()
+                    yield from merged()
                     blocks = []
                 now = place
                 blocks.append(block)
         if blocks:
-            yield merged()
+            yield from merged()
 
-    sorted_runs = records.select("rid", "at", key, other).mapInPandas(sort_runs, "range int, block binary")
-    return sorted_runs.repartition("range").sortWithinPartitions("range").mapInPandas(merge_runs, "rid long, at int, key_shared int, other_shared int")
+    def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            n = [shared(a, b) for a, b in zip(pdf["a_key"], pdf["b_key"], strict=True)]
+            m = [shared(a, b) for a, b in zip(pdf["a_other"], pdf["b_other"], strict=True)]
+            for side in ("a", "b"):
+                yield pd.DataFrame({c: pdf[f"{side}_{c}"] for c in ANCHOR} | {"key_shared": n, "other_shared": m})
+
+    sorted_runs = records.select(*ANCHOR, key, other).mapInPandas(sort_runs, "range int, block binary")
+    schema = "doc long, rid long, at int, key_shared int, other_shared int"
+    found = sorted_runs.repartition("range").sortWithinPartitions("range").mapInPandas(merge_runs, f"{schema}, range int, key binary, other binary")
+    found = materialize(found, "neighbours")
+    inside = found.where("range is null").select(*ANCHOR, "key_shared", "other_shared")
+    ends = found.where("range is not null")
+    side = lambda of, number, name: ends.where(of).select(number.alias("number"), *[F.col(c).alias(f"{name}_{c}") for c in (*ANCHOR, "key", "other")])
+    meet = side("range < 0", -F.col("range"), "a").join(side("range >= 0", F.col("range"), "b"), "number")  # the last of k meets the first of k + 1
+    return inside.unionByName(meet.mapInPandas(across, schema))
 
 
 def settle(pairs: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
@@ -298,54 +359,63 @@ def settle(pairs: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[tu
 
 
 def repeated_ranges(records: DataFrame) -> DataFrame:
-    """(rid, at, low, high): the l for which the string from l bytes before the anchor on is shared with another class."""
-    after = neighbours(records, "after", "before").select("rid", "at", F.col("other_shared").alias("before"), F.col("key_shared").alias("after"))
-    before = neighbours(records, "before", "after").select("rid", "at", F.col("key_shared").alias("before"), F.col("other_shared").alias("after"))
-    lists = after.unionByName(before).groupBy("rid", "at").agg(F.collect_list("before").alias("before"), F.collect_list("after").alias("after"))  # four at most
+    """(doc, rid, at, low, high, route): the l for which the string from l bytes before the anchor on is shared with another class.
+
+    route is "order" where the neighbours settle it, "open" where hashes of the strings had to.
+    """
+    after = neighbours(records, "after", "before").select(*ANCHOR, F.col("other_shared").alias("before"), F.col("key_shared").alias("after"))
+    before = neighbours(records, "before", "after").select(*ANCHOR, F.col("key_shared").alias("before"), F.col("other_shared").alias("after"))
+    lists = after.unionByName(before).groupBy(*ANCHOR).agg(F.collect_list("before").alias("before"), F.collect_list("after").alias("after"))  # four at most
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for rid, at, b, a in pdf.itertuples(index=False):
+            for doc, rid, at, b, a in pdf.itertuples(index=False):
                 found, free = settle(list(zip(b, a, strict=True)))
-                out += [(rid, at, low, high, False) for low, high in found] + [(rid, at, low, high, True) for low, high in free]
-            yield pd.DataFrame(out, columns=["rid", "at", "low", "high", "open"])
+                out += [(doc, rid, at, low, high, False) for low, high in found] + [(doc, rid, at, low, high, True) for low, high in free]
+            yield pd.DataFrame(out, columns=[*ANCHOR, "low", "high", "open"])
 
-    settled = materialize(lists.mapInPandas(run, "rid long, at int, low int, high int, open boolean"), "settled")
-    return settled.where("not open").drop("open").unionByName(open_ranges(records, settled.where("open").drop("open")))
+    settled = materialize(lists.mapInPandas(run, "doc long, rid long, at int, low int, high int, open boolean"), "settled")
+    sure = settled.where("not open").drop("open").withColumn("route", F.lit("order"))
+    return sure.unionByName(open_ranges(records, settled.where("open").drop("open")).withColumn("route", F.lit("open")))
 
 
 def open_ranges(records: DataFrame, free: DataFrame) -> DataFrame:
     """Settle open l by hashes of the strings themselves, for the grams that have any."""
-    grams = records.select("gram", "rid", "at").join(free, ["rid", "at"]).groupBy("gram").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    grams = records.select("gram", *ANCHOR).join(free, ANCHOR).groupBy("gram").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for gram, rid, at, before, after, low, high in pdf.itertuples(index=False):
+            for gram, doc, rid, at, before, after, low, high in pdf.itertuples(index=False):
                 whole, n = bytes(before)[::-1] + bytes(after), len(before)
                 for k in range(max(low, LENGTH - len(after)), min(high, n) + 1):
-                    out.append((gram, rid, at, k, xxhash.xxh3_64_intdigest(whole[n - k : n - k + LENGTH]) - 2**63))
-            yield pd.DataFrame(out, columns=["gram", "rid", "at", "low", "hash"])
+                    out.append((gram, doc, rid, at, k, xxhash.xxh3_64_intdigest(whole[n - k : n - k + LENGTH]) - 2**63))
+            yield pd.DataFrame(out, columns=["gram", *ANCHOR, "low", "hash"])
 
-    strings = records.select("gram", "rid", "at", "before", "after").join(grams, "gram").mapInPandas(run, "gram long, rid long, at int, low int, hash long")
+    strings = records.select("gram", *ANCHOR, "before", "after").join(grams, "gram").mapInPandas(run, "gram long, doc long, rid long, at int, low int, hash long")
     strings = materialize(strings, "strings")
     several = strings.groupBy("gram", "low", "hash").agg(F.count("*").alias("n")).where("n > 1").select("gram", "low", "hash")
-    return strings.join(several, ["gram", "low", "hash"], "left_semi").select("rid", "at", "low", F.col("low").alias("high"))
+    return strings.join(several, ["gram", "low", "hash"], "left_semi").select(*ANCHOR, "low", F.col("low").alias("high"))
 
 
-def repeated_starts(rows: DataFrame) -> DataFrame:
-    """(rid, first, last): ranges of starts of repeated strings of LENGTH bytes in each text."""
+def ranges_by_route(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All anchors, and (gram, span, low, high, route) of the repeated ranges of their classes; route "whole" is a class of several anchors."""
     found = materialize(find_anchors(rows), "anchors")
-    one = F.min(F.struct("rid", "at", "first", "last"))
+    one = F.min(F.struct(*ANCHOR, "first", "last"))
     classes = materialize(found.groupBy("gram", "span").agg(F.count("*").alias("n"), one.alias("one")).select("gram", "span", "n", "one.*"), "classes")
     several = classes.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1").select("gram")
     shared_grams = classes.join(several, "gram")
     records = materialize(contexts(rows, shared_grams), "contexts")
-    whole = classes.where("n > 1").select("gram", "span", (F.col("at") - F.col("last")).alias("low"), (F.col("at") - F.col("first")).alias("high"))
-    part = repeated_ranges(records).join(shared_grams.where("n = 1").select("gram", "span", "rid", "at"), ["rid", "at"]).select("gram", "span", "low", "high")
-    ranges = whole.unionByName(part)
-    return found.select("gram", "span", "rid", "at").join(ranges, ["gram", "span"]).select("rid", (F.col("at") - F.col("high")).alias("first"), (F.col("at") - F.col("low")).alias("last"))
+    whole = classes.where("n > 1").select("gram", "span", (F.col("at") - F.col("last")).alias("low"), (F.col("at") - F.col("first")).alias("high"), F.lit("whole").alias("route"))
+    part = repeated_ranges(records).join(shared_grams.where("n = 1").select("gram", "span", *ANCHOR), ANCHOR).select("gram", "span", "low", "high", "route")
+    return found, whole.unionByName(part)
+
+
+def repeated_starts(rows: DataFrame) -> DataFrame:
+    """(doc, rid, first, last): ranges of starts of repeated strings of LENGTH bytes in each text."""
+    found, ranges = ranges_by_route(rows)
+    return found.select("gram", "span", *ANCHOR).join(ranges.drop("route"), ["gram", "span"]).select(*ROW, (F.col("at") - F.col("high")).alias("first"), (F.col("at") - F.col("low")).alias("last"))
 
 
 def cut(raw: bytes, first: np.ndarray, last: np.ndarray, length: int = LENGTH) -> tuple[int, int, bytes]:
@@ -364,11 +434,11 @@ def cut(raw: bytes, first: np.ndarray, last: np.ndarray, length: int = LENGTH) -
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (binary) of every row of ``docs``.
 
-    Null texts are empty. Texts of under LENGTH bytes lose nothing. Repeated rows are copies of each other, so long ones
-    lose everything, each. An empty table gives no rows.
+    Null texts are empty. Texts of under LENGTH bytes lose nothing. Very long texts are treated whole. Repeated rows are
+    copies of each other, so long ones lose everything, each. A null doc_id stays null. An empty table gives no rows.
     """
     rows = _rows(docs)
-    starts = repeated_starts(rows).groupBy("rid").agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))  # as long as the text at most
+    starts = repeated_starts(rows).groupBy(*ROW).agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))  # as long as the text at most
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -380,7 +450,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 out.append((doc_id, len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    joined = rows.join(starts, "rid", "left").select("doc_id", "text", "first", "last")
+    joined = rows.join(starts, ROW, "left").select("doc_id", "text", "first", "last")
     return joined.mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 

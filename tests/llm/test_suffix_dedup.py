@@ -69,9 +69,29 @@ def test_repeated_rows_and_empty_table(spark):
 
 def test_merge_hands_out_shared_lengths():
     rng = random.Random(8)
-    records = [S.Record(bytes(rng.choices(b"ab", k=rng.randint(0, 12))), b"", i, 0) for i in range(400)]
+    records = [S.Record(bytes(rng.choices(b"ab", k=rng.randint(0, 12))), b"", (i, -i), 0) for i in range(400)]
     runs = [sorted(records[k::7], key=S.Record.order) for k in range(7)]
     got = list(S.merge([S.decode_run(S.encode_run(r)) for r in runs]))
     assert [r.key for _, r in got] == sorted(r.key for r in records)
     for (_, a), (n, b) in zip(got, got[1:]):
         assert n == S.shared(a.key, b.key)
+
+
+def test_splitters_tell_neighbours_apart_and_are_short():
+    rng = random.Random(4)
+    drawn = [(bytes(rng.choices(b"ab", k=rng.randint(0, 30))), bytes([rng.randint(0, 3)])) for _ in range(300)] + [(b"same", b"a"), (b"same", b"b")]
+    for ranges in (2, 10, 100, 1000):
+        found = S.separators(drawn, ranges)
+        assert found == sorted(set(found)) and len(found) < max(ranges, len(set(drawn)) + 1)
+        for a, b in zip(found, found[1:]):
+            assert any(a <= x < b for x in drawn)  # no range between two splitters is empty
+        assert any(x >= found[-1] for x in drawn)
+
+
+def test_very_long_text_and_clashing_columns(spark):
+    rng = random.Random(6)
+    long = words(rng, 60_000)
+    docs = spark.createDataFrame([(1, long, 1, 2), (2, long[1000:9000] + "Y", 1, 2)], "doc_id long, text string, at int, gram int")
+    got = {r.doc_id: r for r in S.remove_repeats(docs).collect()}
+    size = len(long[1000:9000].encode())
+    assert (got[1].n_removed, got[1].n_spans, got[2].n_removed) == (size, 1, size) and got[1].n_bytes == len(long.encode())
