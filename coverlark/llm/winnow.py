@@ -4,8 +4,8 @@ Every k-gram of code points is hashed by doubling (two hashes of 2^i code points
 code point does not grow with k. Of each window of ``window`` consecutive hashes the least is chosen, the rightmost of
 equals, and its position is kept. Two texts that share ``k + window - 1`` code points share a fingerprint entry.
 
-Short texts use narrower windows (a power of two, at most an eighth of their k-grams) and, below ``4 * K`` code points,
-shorter k-grams. A narrower window chooses a superset, so the guarantee only gets stronger.
+One k and one window hold for all texts, so that any two fingerprints can be compared. A text of fewer than ``K`` code
+points is one gram, and a text with fewer grams than the window is one window: it has one entry.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .common import only, table, text_batches, text_or_empty
 
 K = 12
-WINDOW = 89
+WINDOW = 32
 #: An odd multiplier and the two multipliers of a 64-bit finaliser (fixed values).
 BASE = 0x9E3779B97F4A7C15
 MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
@@ -60,20 +60,12 @@ def window_minima(keys: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(back[: n - window + 1], ahead[window - 1 : n])
 
 
-def shape(n: int, k: int = K, window: int = WINDOW) -> tuple[int, int]:
-    """The k and window for a text of ``n`` code points."""
-    k = k if n >= 4 * k else max(1, min(k, n // 4))
-    room = (n - k + 1) // 8
-    return k, window if room >= window else max(1, 1 << (room.bit_length() - 1) if room else 1)
-
-
 def fingerprint(text: str, k: int = K, window: int = WINDOW) -> np.ndarray:
     """Chosen entries in the order of the text: hash in the high 32 bits, position in the low 32. Empty for an empty text."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     if not len(codes):
         return np.empty(0, np.uint64)
-    k, window = shape(len(codes), k, window)
-    hashes = gram_hashes(codes, k)
+    hashes = gram_hashes(codes, min(k, len(codes)))
     keys = hashes << np.uint64(32) | (np.uint64(0xFFFFFFFF) - np.arange(len(hashes), dtype=np.uint64))  # the rightmost of equals is least
     low = window_minima(keys, min(window, len(keys)))
     chosen = low[np.concatenate(([True], low[1:] != low[:-1]))]
@@ -113,7 +105,8 @@ def with_next(docs: DataFrame, rows_per_range: int = 1024, most_ranges: int = 20
 
     The borrowed row (own = false) is the highest document of the range below or, in the lowest range, the highest of
     all. Only ids are looked at to find the ranges; the driver holds a bound and the highest id of each, at most
-    ``most_ranges`` of them. A null doc_id comes after all others.
+    ``most_ranges`` of them. Beyond that ranges grow; a task sorts its range and streams it, so it holds two texts at a
+    time however long the range is. A null doc_id comes after all others.
     """
     rows = only(docs, ["doc_id", "text"]).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), "doc_id", text_or_empty().alias("text"))
     ids = rows.select("key")
@@ -146,7 +139,8 @@ def compare_with_next(docs: DataFrame, k: int = K, window: int = WINDOW, rows_pe
     """Fingerprints of every text and of its edited text, and their likeness (see ``likeness``), one row a document.
 
     Null texts are empty: no entries, an empty fingerprint string, likeness 1 to another empty text and 0 to any other.
-    Rows of one doc_id follow each other in the order of their texts. An empty table gives no rows.
+    Equal hashes in a window choose the rightmost. Very long texts are taken whole. Rows of one doc_id follow each other in
+    the order of their texts; a null doc_id comes after all others. An empty table gives no rows. Other columns are ignored.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

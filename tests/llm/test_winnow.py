@@ -11,7 +11,7 @@ def brute(text, k, window):
     codes = [ord(c) for c in text]
     if not codes:
         return []
-    k, window = W.shape(len(codes), k, window)
+    k = min(k, len(codes))
     hashes = [int(W.gram_hashes(np.array(codes[i : i + k], np.uint32), k)[0]) for i in range(len(codes) - k + 1)]
     window, out = min(window, len(hashes)), []
     for i in range(len(hashes) - window + 1):
@@ -37,6 +37,24 @@ def test_shared_passage_is_always_found():
         assert W.likeness(W.fingerprint(a), W.fingerprint(b)) > 0
 
 
+def test_one_more_code_point_changes_little_at_any_length():
+    rng = random.Random(5)
+    for n in [*range(60, 90), 150, 300, 521, 522, 523, 722, 723, 3000]:
+        text = "".join(rng.choices("abcdefghij klmnop", k=n))
+        assert W.likeness(W.fingerprint(text), W.fingerprint(text + "z")) >= (0.8 if n > 300 else 0.3)
+    text = "".join(rng.choices("abcdefghij klmnop", k=4000))
+    assert W.likeness(W.fingerprint(text[:3000]), W.fingerprint(text[1000:])) == pytest.approx(0.5, abs=0.08)
+
+
+def test_very_long_text_and_clashing_columns(spark):
+    rng = random.Random(7)
+    long = "".join(rng.choices("abcdefghij klmnop", k=700_000))
+    docs = spark.createDataFrame([(1, long, 5, 6), (2, long[:600_000], 5, 6)], "doc_id long, text string, key int, own int")
+    got = {r.doc_id: r for r in W.compare_with_next(docs).collect()}
+    assert got[1].n_chars == 700_000 and got[1].near_next == pytest.approx(6 / 7, abs=0.01)
+    assert got[2].fingerprint == W.as_text(W.fingerprint(long[:600_000]))
+
+
 def test_compare_with_next(spark):
     rng = random.Random(1)
     texts = {i: "".join(rng.choices("abc déf", k=rng.choice([0, 1, 5, 40, 400, 2000]))) for i in range(60)}
