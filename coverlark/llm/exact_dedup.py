@@ -63,17 +63,18 @@ def heavy_digests(hashed: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 def _winners(hashed: DataFrame) -> DataFrame:
     """Of each digest the row with the most code points, then the smallest doc_id. A null doc_id comes after all others."""
-    best = F.max(F.struct("n_chars", (-F.col("doc_id")).alias("minus")))
+    best = F.min(F.struct((-F.col("n_chars")).alias("minus"), F.col("doc_id").isNull().alias("none"), "doc_id"))
     return hashed.groupBy("text_sha256").agg(best.alias("best"), F.count("*").alias("group_size")).select(
-        "text_sha256", (-F.col("best.minus")).alias("keep_id"), "group_size"
+        "text_sha256", F.col("best.doc_id").alias("keep_id"), "group_size"
     )
 
 
 def exact_dedup(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs``.
 
-    Null and empty texts are equal to each other and to texts of white space alone. Repeated rows of one doc_id are one
-    document and get the same answer. An empty table gives an empty result. Other columns are ignored.
+    Null and empty texts are equal to each other and to texts of white space alone. Very long texts are hashed whole. Of
+    equally long texts the smallest doc_id stays. Repeated rows of one doc_id are one document and get the same answer. An
+    empty table gives an empty result. Other columns are ignored.
     """
     hashed = materialize(digests(docs), "digests")
     candidates = heavy_digests(hashed, counters)

@@ -2,9 +2,10 @@
 
 A fingerprint has eight positional bytes. Two fingerprints within ``MAX_BITS`` = 2 differing bits differ in at most two
 bytes, so they share at least six positional bytes: the guaranteed minimum. The index lists distinct fingerprints under
-four positional bytes at a time (two of the four byte pairs, at least one such combination is shared by any link), the
-other shared positional bytes are tallied for each pair of a list, pairs below the minimum go, and the rest are
-verified by their differing bits.
+four positional bytes at a time (two of the four byte pairs; any link shares at least one such combination), for lists of
+single bytes would hold a 256th of the corpus each. ``tallied`` adds to the four bytes that a pair of a list shares those
+that it shares of the four posted with the entry, and keeps pairs that reach the minimum: without looking at bits it
+drops all but a few of the pairs that meet by chance. ``links`` verifies what is left by the differing bits.
 
 A list of over ``LIST_ROWS`` fingerprints would make too many pairs. Its members are linked exactly in another way: two
 words are within two bits if and only if some word is within one bit of both, so each member is entered under the 65
@@ -17,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .common import materialize, only, table, text_batches, text_or_empty
 from .components import components
@@ -53,16 +54,23 @@ def simhash_column(texts: pd.Series) -> pd.Series:
     return pd.Series([simhash(t or "") for t in texts], dtype="int64")
 
 
-def _shared_bytes(x: Column) -> Column:
-    """Of two fingerprints with XOR ``x``: the tally of equal positional bytes."""
-    return sum((F.when(F.shiftrightunsigned(x, s).bitwiseAND(F.lit(255)) == 0, 1).otherwise(0) for s in range(0, 64, 8)), F.lit(0))
-
-
 def postings(prints: DataFrame) -> DataFrame:
-    """(list, key, fp): each fingerprint under its six combinations of two byte pairs."""
+    """(list, key, fp, rest): each fingerprint under its six combinations of two byte pairs, with its four other positional bytes."""
+    byte = lambda s: F.shiftrightunsigned("fp", s).bitwiseAND(F.lit(255)).cast("int")
     pair = lambda s: F.shiftrightunsigned("fp", s).bitwiseAND(F.lit(0xFFFF))
-    keys = [F.struct(F.lit(4 * i + j).alias("list"), (F.shiftleft(pair(BLOCKS[i]), 16) + pair(BLOCKS[j])).alias("key")) for i in range(4) for j in range(i + 1, 4)]
-    return prints.select("fp", F.explode(F.array(*keys)).alias("x")).select("x.list", "x.key", "fp")
+    keys = []
+    for i in range(4):
+        for j in range(i + 1, 4):
+            rest = [byte(s + 8 * k) for s in BLOCKS if s not in (BLOCKS[i], BLOCKS[j]) for k in (1, 0)]
+            keys.append(F.struct(F.lit(4 * i + j).alias("list"), (F.shiftleft(pair(BLOCKS[i]), 16) + pair(BLOCKS[j])).alias("key"), F.array(*rest).alias("rest")))
+    return prints.select("fp", F.explode(F.array(*keys)).alias("x")).select("x.list", "x.key", "fp", "x.rest")
+
+
+def tallied(listed: DataFrame, least: int = MIN_BYTES) -> DataFrame:
+    """(u, v, shared) of the pairs of a list, u < v, that share at least ``least`` positional bytes."""
+    both = listed.alias("a").join(listed.alias("b"), ["list", "key"]).where("a.fp < b.fp")
+    tally = 4 + sum((F.when(F.col("a.rest")[k] == F.col("b.rest")[k], 1).otherwise(0) for k in range(4)), F.lit(0))
+    return both.select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"), tally.alias("shared")).where(F.col("shared") >= least)
 
 
 def links(prints: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
@@ -70,10 +78,7 @@ def links(prints: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
     listed = postings(prints)
     sizes = listed.groupBy("list", "key").agg(F.count("*").alias("n")).where("n > 1")
     listed = materialize(listed.join(sizes, ["list", "key"]), "postings")
-    short = listed.where(F.col("n") <= list_rows).select("list", "key", "fp")
-    pairs = short.alias("a").join(short.alias("b"), ["list", "key"]).where("a.fp < b.fp").select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
-    xor = F.col("u").bitwiseXOR(F.col("v"))
-    near = pairs.where(_shared_bytes(xor) >= MIN_BYTES).where(F.bit_count(xor) <= MAX_BITS)
+    near = tallied(listed.where(F.col("n") <= list_rows).drop("n")).where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MAX_BITS).select("u", "v")
     members = listed.where(F.col("n") > list_rows).select("fp").distinct()
     ball = members.select("fp", F.explode(F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63))) for b in range(64)])).alias("word"))
     least = ball.groupBy("word").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1").select("word", "v")
@@ -84,8 +89,9 @@ def links(prints: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
 def near_groups(docs: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
     """doc_id, fp (bigint) and component_id for every row of ``docs``.
 
-    Null, empty and white-space texts have the fingerprint 0, which links like any other. Repeated rows and equal
-    fingerprints are one node. A null doc_id gets its component's id and is never one. An empty table gives no rows.
+    Null, empty and white-space texts have the fingerprint 0, which links like any other. Very long texts count whole.
+    Repeated rows and equal fingerprints are one node. A null doc_id gets its component's id and is never one. An empty
+    table gives no rows. Other columns are ignored.
     """
     prints = materialize(only(docs, ["doc_id", "text"]).select("doc_id", simhash_column(text_or_empty()).alias("fp")), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))

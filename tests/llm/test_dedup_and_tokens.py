@@ -94,6 +94,31 @@ def test_links_within_two_bits_and_none_beyond(spark):
         assert len(set(found.values())) == 6 and set(found) == set(signed)
 
 
+def test_the_tally_decides_before_bits_are_looked_at(spark):
+    a = 0x0102030405060708
+    others = {"one byte": a ^ 0xFF, "two bytes of a pair": a ^ 0xFFFF, "two bytes": a ^ 0xFF00FF, "three bytes": a ^ 0x010101, "four bytes": a ^ 0x01010101, "two bits": a ^ 0x0100000000000001}
+    for name, b in others.items():
+        listed = simhash.postings(spark.createDataFrame([(min(a, b),), (max(a, b),)], "fp long"))
+        want = sum(x == y for x, y in zip(a.to_bytes(8), b.to_bytes(8)))
+        assert {r.shared for r in simhash.tallied(listed, 0).collect()} == {want}, name
+        assert simhash.tallied(listed).isEmpty() == (want < 6), name
+    prints = spark.createDataFrame([(x,) for x in {a, *others.values()}], "fp long")
+    every = sorted({a, *others.values()})
+    assert {(r.u, r.v) for r in simhash.links(prints).collect()} == {(u, v) for u in every for v in every if u < v and (u ^ v).bit_count() <= 2}
+
+
+def test_very_long_texts_and_extreme_ids(spark):
+    rng = random.Random(3)
+    long = " ".join(rng.choices([f"w{k}" for k in range(900)], k=150_000))
+    rows = [(-(1 << 63), long), (5, long + " "), ((1 << 63) - 1, long), (7, "short")]
+    got = {r.doc_id: r for r in exact_dedup.exact_dedup(table(spark, rows)).collect()}
+    assert [got[i].keep_id for i, _ in rows] == [5, 5, 5, 7] and got[5].group_size == 3
+    got = {r.doc_id: r for r in exact_dedup.exact_dedup(table(spark, rows[::2])).collect()}
+    assert {r.keep_id for r in got.values()} == {-(1 << 63)}
+    near = {r.doc_id: r.component_id for r in simhash.near_groups(table(spark, rows)).collect()}
+    assert near == {-(1 << 63): -(1 << 63), 5: -(1 << 63), (1 << 63) - 1: -(1 << 63), 7: 7}
+
+
 def test_empty_tables(spark):
     none = table(spark, [(1, "x")]).where("false")
     assert exact_dedup.exact_dedup(none).count() == simhash.near_groups(none).count() == bpe.token_digests(none, bpe.default_path()).count() == 0
