@@ -11,7 +11,8 @@ come from projected gradient steps on
 from its posteriors and the D residuals of each step so far, so tasks replay the steps and no rate table is rewritten.
 Between two jobs the driver takes several steps: as long as no rate reaches or leaves zero, a step moves the totals by
 the Gram matrix of the documents with positive rates, D x D numbers that the job sums too. The next job takes the same
-steps for every document, with the projection, and says how far the totals were off; then more or fewer are taken.
+steps for every document, with the projection. If the objective has not fallen they are taken back and fewer are tried;
+a single step always lowers it.
 
 Steps go on until every total is within ``CLOSE`` of its target or, where targets can't be met (a domain without tokens),
 until the totals stand still; the totals that were reached are part of the result.
@@ -35,13 +36,13 @@ from .hashing import BUCKETS, blocks, word_ids
 TRAIN_ROWS = 3000
 #: Target shares of tokens (a parameter); what is missing to 1 goes to domains that are not named, in equal parts.
 TARGETS = {"en": 0.45, "de": 0.2, "fr": 0.2, "es": 0.13, "toxic": 0.02}
-DAMPING = 0.002
+DAMPING = 0.0005
 #: Shares within which a total meets its target, and below whose change over LONG steps or more totals stand still.
 CLOSE = 1e-4
 STILL = 1e-5
 LONG = 32
-#: Error of the driver's totals up to which it doubles its steps.
-TRUSTED = 1e-3
+#: Most steps between two jobs.
+MOST = 256
 SPACE = BUCKETS // 4
 
 
@@ -133,13 +134,17 @@ def target_shares(domains: list[str], targets: dict[str, float]) -> np.ndarray:
     return shares / shares.sum()
 
 
-def replay(posteriors: np.ndarray, steps: list[np.ndarray], size: float, damping: float = DAMPING) -> tuple[np.ndarray, np.ndarray]:
-    """The rates after accelerated projected gradient steps with the given relative residuals, and where the next step starts."""
+#: A step: the relative residuals at which it was taken, and how far the next one starts beyond it.
+Step = tuple[np.ndarray, float]
+
+
+def replay(posteriors: np.ndarray, steps: list[Step], size: float, damping: float = DAMPING) -> np.ndarray:
+    """The rates after accelerated projected gradient steps."""
     rate = ahead = np.ones(len(posteriors))
-    for k, residual in enumerate(steps):
+    for residual, beyond in steps:
         last, rate = rate, np.maximum(0.0, ahead - size * (posteriors @ residual + damping * (ahead - 1)))
-        ahead = rate + k / (k + 3) * (rate - last)
-    return rate, ahead
+        ahead = rate + beyond * (rate - last)
+    return rate
 
 
 def _of(batch: pa.RecordBatch, d: int) -> tuple[np.ndarray, np.ndarray]:
@@ -147,8 +152,8 @@ def _of(batch: pa.RecordBatch, d: int) -> tuple[np.ndarray, np.ndarray]:
     return p, batch.column("tokens").to_numpy(zero_copy_only=False).astype(float)
 
 
-def fit_rates(members: DataFrame, shares: np.ndarray, close: float = CLOSE, still: float = STILL) -> tuple[list[np.ndarray], float, np.ndarray]:
-    """Residuals of each step, the step size, and the shares reached. A job sums D numbers a partition."""
+def fit_rates(members: DataFrame, shares: np.ndarray, close: float = CLOSE, still: float = STILL) -> tuple[list[Step], float, np.ndarray]:
+    """The steps, their size, and the shares reached. A job sums D numbers a partition."""
     d = len(shares)
 
     def summed(values) -> np.ndarray:
@@ -169,29 +174,39 @@ def fit_rates(members: DataFrame, shares: np.ndarray, close: float = CLOSE, stil
         return [], 0.0, np.zeros(d)
     gram, root = first[1:].reshape(d, d) / total, np.sqrt(shares)
     size = 1 / (np.linalg.eigvalsh(gram / root[:, None] / root[None, :])[-1] + DAMPING)
-    done: list[np.ndarray] = []
-    span, last, foreseen = 1, None, None
+    done: list[Step] = []
+    new: list[Step] = []
+    span, best, foreseen = 1, None, None
 
     def sums(p: np.ndarray, n: np.ndarray) -> np.ndarray:
-        rate, ahead = replay(p, done, size)
-        moves = (rate > 0) | (ahead > 0)
-        held = p[moves] * n[moves, None]
-        return np.concatenate([(p * (n * rate)[:, None]).sum(0), (p * (n * ahead)[:, None]).sum(0), held.sum(0), (held.T @ p[moves]).ravel()])
+        rate = replay(p, done + new, size)
+        held = p[rate > 0] * n[rate > 0, None]
+        return np.concatenate([(p * (n * rate)[:, None]).sum(0), held.sum(0), (held.T @ p[rate > 0]).ravel(), [(n * (rate - 1) ** 2).sum()]])
 
     while True:
         got = summed(sums) / total
-        reached, ahead, one, gram = got[:d], got[d : 2 * d], got[2 * d : 3 * d], got[3 * d :].reshape(d, d)
-        stands = last is not None and span >= LONG and np.abs(reached - last).max() < still
-        if stands or np.abs(reached - shares).max() < close:
-            return done, size, reached
-        if foreseen is not None:
-            span = 2 * span if np.abs(reached - foreseen).max() < TRUSTED else max(1, span // 2)
-        last, now = reached, reached
-        for _ in range(span):
-            k, residual = len(done), (ahead - shares) / shares
-            done = [*done, residual]
+        reached = got[:d]
+        objective = ((reached - shares) ** 2 / shares).sum() / 2 + DAMPING / 2 * got[-1]
+        if best is not None and objective >= best[0]:
+            if len(new) == 1:  # nothing is left to gain but rounding errors
+                return done, size, best[1][:d]
+            span = max(1, len(new) // 4)
+        else:
+            moved = np.inf if best is None else np.abs(reached - best[1][:d]).max()
+            done, taken = done + new, len(new)
+            if np.abs(reached - shares).max() < close or (taken >= LONG and moved < still):
+                return done, size, reached
+            if foreseen is not None:
+                off = np.abs(reached - foreseen).max()
+                span = min(MOST, 2 * span) if off < 0.1 * moved else max(1, span // 2) if off > 0.5 * moved else span
+            best = (objective, got)
+        ahead = now = best[1][:d]
+        one, gram, new = best[1][d : 2 * d], best[1][2 * d : -1].reshape(d, d), []
+        for k in range(span):
+            residual, beyond = (ahead - shares) / shares, k / (k + 3) if k < span - 1 else 0.0
+            new.append((residual, beyond))
             before, now = now, ahead - size * (gram @ residual + DAMPING * (ahead - one))
-            ahead = now + k / (k + 3) * (now - before)
+            ahead = now + beyond * (now - before)
         foreseen = now
 
 
@@ -213,7 +228,7 @@ def mix(docs: DataFrame, net: Softmax, targets: dict[str, float] = TARGETS) -> D
         for batch in batches:
             p, _ = _of(batch, len(names))
             best = p.argmax(1)
-            more = {"domain": pa.array(names[best], pa.string()), "posterior": p.max(1), "posteriors": batch.column("posteriors"), "rate": replay(p, done, size)[0], "target": shares[best], "reached": reached[best]}
+            more = {"domain": pa.array(names[best], pa.string()), "posterior": p.max(1), "posteriors": batch.column("posteriors"), "rate": replay(p, done, size), "target": shares[best], "reached": reached[best]}
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "tokens": batch.column("tokens")} | more)
 
     schema = "doc_id long, tokens long, domain string, posterior double, posteriors array<double>, rate double, target double, reached double"
@@ -237,7 +252,7 @@ def mixed(docs: DataFrame, net: Softmax, targets: dict[str, float] = TARGETS) ->
 
     @F.pandas_udf(T.DoubleType())
     def rate_of(text: pd.Series) -> pd.Series:
-        rates = [replay(shared.value.posteriors(words), done, size)[0] for words, _, _ in blocks(text.tolist())]
+        rates = [replay(shared.value.posteriors(words), done, size) for words, _, _ in blocks(text.tolist())]
         return pd.Series(np.concatenate(rates) if rates else np.empty(0))
 
     rate, copies, each = (fresh(docs, name) for name in ("rate", "copies", "each"))

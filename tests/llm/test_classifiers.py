@@ -145,7 +145,7 @@ def test_mixing_meets_its_targets_by_a_plain_version(spark):
     # the same least squares by plain projected gradient steps on all rates at once, until nothing moves
     w, rate = n / n.sum(), np.ones(len(n))
     size = 0.9 / (np.linalg.eigvalsh((p * w[:, None]).T @ p / np.sqrt(shares)[:, None] / np.sqrt(shares)[None])[-1] + mixing.DAMPING)
-    for _ in range(20_000):
+    for _ in range(40_000):
         rate = np.maximum(0, rate - size * (p @ (((p * (w * rate)[:, None]).sum(0) - shares) / shares) + mixing.DAMPING * (rate - 1)))
     best = (p * (w * rate)[:, None]).sum(0)
     assert np.abs(best - shares).max() < 0.01

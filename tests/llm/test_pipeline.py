@@ -10,7 +10,8 @@ def test_stages_by_a_plain_version(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     rows = {r.doc_id: r for r in docs.collect()}
-    good = {r.doc_id for r in quality.score_views(seen := quality.views(docs), quality.fit(seen, labels)).where("kept").collect()}
+    seen = quality.views(docs)
+    good = {r.doc_id for r in quality.score_views(seen, quality.fit(seen, labels)).where("kept").collect()}
     bare = lambda t: "".join(c for c in t or "" if c not in exact_dedup.WHITE_SPACE)
     groups = {}
     for i in sorted(good):
