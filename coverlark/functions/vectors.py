@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Iterator
+from fractions import Fraction
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def coords(columns: list[str]) -> Column:
@@ -14,9 +18,44 @@ def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
 
-def centroid(column: str, size: int) -> Column:
-    """An aggregate: the mean of each coordinate."""
-    return F.array(*[F.avg(F.col(column)[i]) for i in range(size)])
+def exact_means(df: DataFrame, by: list[str], values: str, name: str) -> DataFrame:
+    """(by, name): the means of arrays of doubles, place by place, each rounded once from its exact sum, whatever the order.
+
+    Doubles are integers over a power of two, so partial sums are exact integers. A task sends one row for each key that it
+    has seen, and rows of a key meet in two stages, so that no row gathers a large group.
+    """
+    kinds = "".join(f"{c} {df.schema[c].dataType.simpleString()}, " for c in by)
+    schema = f"{kinds}_totals array<string>, _n long"
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, list] = {}
+        for pdf in batches:
+            for *key, row in pdf.itertuples(index=False):
+                held = sums.setdefault(tuple(key), [[0] * len(row), 0])
+                for k, x in enumerate(row):
+                    a, b = float(x).as_integer_ratio()
+                    held[0][k] += (a << 1100) // b
+                held[1] += 1
+        yield pd.DataFrame([(*key, [str(t) for t in totals], n) for key, (totals, n) in sums.items()], columns=[*by, "_totals", "_n"])
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, list] = {}
+        for pdf in batches:
+            for *key, totals, n in pdf.itertuples(index=False):
+                held = sums.setdefault(tuple(key), [[0] * len(totals), 0])
+                held[0] = [a + int(b) for a, b in zip(held[0], totals, strict=True)]
+                held[1] += n
+        yield pd.DataFrame([(*key, [str(t) for t in totals], n) for key, (totals, n) in sums.items()], columns=[*by, "_totals", "_n"])
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def divided(totals: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([[float(Fraction(int(t), int(k) << 1100)) for t in row] for row, k in zip(totals, n, strict=True)])
+
+    sent = df.select(*by, F.col(values).cast("array<double>").alias("_values")).mapInPandas(partial, schema)
+    salted = sent.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(32)))
+    near = salted.repartition("_salt", *by).drop("_salt").mapInPandas(added, schema)
+    whole = (near.repartition(*by) if by else near.coalesce(1)).mapInPandas(added, schema)
+    return whole.select(*by, divided("_totals", "_n").alias(name))
 
 
 def same_binary(a: Column, b: Column) -> Column:

@@ -115,9 +115,10 @@ def abundance(ladder: DataFrame, group: str, sizes: list[int]) -> DataFrame:
 
 
 def prefix_breaks(ladder: DataFrame, item: str, sizes: list[int], longer: DataFrame) -> DataFrame:
-    """(n, item) of panel members that the panel of the same ladder run further lacks; empty when panels are nested."""
+    """(n, members, missing): panel members, and how many of them the panel of the same ladder run further lacks; 0 when panels are nested."""
     spread = lambda df: df.select(item, "rank", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("n")).where("rank <= n").select("n", item)
-    return spread(ladder).join(spread(longer), ["n", item], "left_anti")
+    both = spread(ladder).join(spread(longer).withColumn("_there", F.lit(True)), ["n", item], "left")
+    return both.groupBy("n").agg(F.count("*").alias("members"), F.count_if(F.col("_there").isNull()).cast("int").alias("missing"))
 
 
 def stability(before: DataFrame, after: DataFrame, universe: DataFrame, item: str, sizes: list[int]) -> DataFrame:

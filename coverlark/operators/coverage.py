@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from fractions import Fraction
-
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.prefix import running_sum
 from ..functions.state import keep
-from ..functions.vectors import squared_distance
+from ..functions.vectors import exact_means, squared_distance
 from .balance import WEIGHT, half_weights
 
 PANEL_ITEMS = 20_000
@@ -39,25 +35,9 @@ def nearest_panel_distance(items: DataFrame, ladder: DataFrame, item: str, sizes
 
 
 def exact_mean(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
-    """The mean of doubles, rounded once from their exact sum, whatever their order. Partial sums are exact integers."""
-
-    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for key, rows in pdf.groupby(by, dropna=False, sort=False):
-                total, n = 0, 0
-                for x in rows[value]:
-                    a, b = float(x).as_integer_ratio()
-                    total += a * (1 << 1100) // b
-                    n += 1
-                yield pd.DataFrame([(*key, str(total), n)], columns=[*by, "_total", "_n"])
-
-    @F.pandas_udf(T.DoubleType())
-    def finish(totals: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([float(Fraction(sum(map(int, t)), (1 << 1100) * int(k))) for t, k in zip(totals, n, strict=True)])
-
-    kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in by)
-    summed = df.select(*by, F.col(value).cast("double").alias(value)).mapInPandas(parts, f"{kinds}, _total string, _n long")
-    return summed.groupBy(*by).agg(F.collect_list("_total").alias("_t"), F.sum("_n").alias("_n")).select(*by, finish("_t", "_n").alias(name))
+    """The mean of doubles, rounded once from their exact sum, whatever their order."""
+    found = exact_means(df.withColumn("_values", F.array(F.col(value).cast("double"))), by, "_values", "_means")
+    return found.select(*by, F.col("_means")[0].alias(name))
 
 
 def group_statistics(distances: DataFrame, group: str) -> DataFrame:

@@ -36,17 +36,18 @@ def assess_metadata(records: DataFrame) -> DataFrame:
     sample = F.when(F.col(f"{info}.biosample.accession").rlike(SAMPLE_ID), F.col(f"{info}.biosample.accession"))
     warnings = F.coalesce(F.col(f"{info}.atypical.warnings"), F.array().cast("array<string>"))
     plain = F.transform(F.filter(warnings, lambda w: w.isNotNull()), normalized_warning)
+    #: The names of reasons here and below.
     excluded = {
-        "invalid_canonical_id": ~accession.rlike(ITEM_ID),
-        "current_id_mismatch": ~F.coalesce(F.col("current_accession") == accession, F.lit(False)),
+        "invalid_canonical_GCA_accession": ~accession.rlike(ITEM_ID),
+        "current_accession_mismatch": ~F.coalesce(F.col("current_accession") == accession, F.lit(False)),
         "source_database_not_GenBank": same("source_database", "SOURCE_DATABASE_GENBANK"),
         "assembly_status_not_current": same(f"{info}.assembly_status", "current"),
         "assembly_level_not_Complete_Genome": same(f"{info}.assembly_level", "Complete Genome"),
-        "sample_object_missing": F.col(f"{info}.biosample").isNull(),
-        "sample_id_missing_or_malformed": F.col(f"{info}.biosample").isNotNull() & sample.isNull(),
+        "biosample_object_missing_or_malformed": F.col(f"{info}.biosample").isNull(),
+        "biosample_accession_missing_or_malformed": F.col(f"{info}.biosample").isNotNull() & sample.isNull(),
         **{f"automatic_atypical_exclusion:{w}": F.array_contains(plain, w) for w in EXCLUDING_WARNINGS},
     }
-    withheld = {"atypical_warning_not_text": F.exists(warnings, lambda w: w.isNull())}
+    withheld = {"atypical_warning_non_string": F.exists(warnings, lambda w: w.isNull())}
     missing = F.col(info).isNull()
     open_, out = reasons(withheld), reasons(excluded)
     decision = F.when(missing | (F.size(open_) > 0), "WITHHOLD_UNRESOLVED").when(F.size(out) > 0, "EXCLUDE_METADATA").otherwise("RETAIN_METADATA")
@@ -54,7 +55,7 @@ def assess_metadata(records: DataFrame) -> DataFrame:
         accession.alias("accession"),
         F.when(~missing, sample).alias("sample"),
         decision.alias("decision"),
-        F.when(missing, F.array(F.lit("assembly_info_missing"))).otherwise(F.array_sort(F.concat(open_, out))).alias("reasons"),
+        F.when(missing, F.array(F.lit("assembly_info_missing_or_malformed"))).otherwise(F.array_sort(F.concat(open_, out))).alias("reasons"),
         F.when(missing, F.array().cast("array<string>")).otherwise(plain).alias("normalized_warnings"),
     )
 

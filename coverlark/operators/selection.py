@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import math
+from itertools import accumulate
 
-from ..functions.keys import draw_key, item_key
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..functions.keys import draw_key, item_key, member_key
 from ..functions.state import keep
-from ..functions.vectors import centroid, squared_distance
+from ..functions.vectors import exact_means, squared_distance
 
 NAMESPACE = "panel-v1|"
 
 
-def _size(df: DataFrame, coords: str) -> int:
-    return len(df.select(coords).first()[0])
-
-
 def representatives(df: DataFrame, item: str, group: str, coords: str = "coords", namespace: str = NAMESPACE) -> DataFrame:
-    """(group, item, coords, tie, d2): of each group the item nearest its centroid; ties go by a hash of the id."""
+    """(group, item, coords, tie, d2): of each group the item nearest its exact centroid; ties go by a hash of the id."""
     keyed = df.select(item, group, coords, item_key(item, namespace).alias("tie"))
-    centers = df.groupBy(group).agg(centroid(coords, _size(df, coords)).alias("_center"))
+    centers = exact_means(df, [group], coords, "_center")
     near = keyed.join(centers, group).select(group, F.struct(squared_distance(F.col(coords), F.col("_center")).alias("d2"), "tie", item, coords).alias("x"))
     return near.groupBy(group).agg(F.min("x").alias("x")).select(group, f"x.{item}", f"x.{coords}", "x.tie", "x.d2")
 
@@ -45,7 +45,7 @@ def maximin_ladder(df: DataFrame, item: str, coords: str = "coords", size: int |
     schema = f"rank int, {item} {df.schema[item].dataType.simpleString()}, score double"
     if not n:
         return spark.createDataFrame([], schema)
-    center = state.agg(centroid("coords", _size(state, "coords")).alias("c")).first()["c"]
+    center = exact_means(state, [], "coords", "c").first()["c"]
     to_center = squared_distance(F.col("coords"), F.array(*[F.lit(float(x)) for x in center]))
     first = state.select(to_center.alias("d2"), "tie", item, "coords").orderBy("d2", "tie").first()
     ladder = [(1, first[item], first["d2"])]
@@ -78,35 +78,100 @@ def group_ladder(df: DataFrame, item: str, group: str, coords: str = "coords", s
     return ladder.join(chosen.select(item, group), item).select("rank", item, group, "score")
 
 
-def residual_ladder(df: DataFrame, item: str, group: str, coords: str = "coords", size: int = 500, namespace: str = NAMESPACE) -> DataFrame:
+def _point(values) -> Column:
+    return F.array(*[F.lit(float(x)) for x in values])
+
+
+def _first_group(state: DataFrame, groups: list, item: str, group: str, namespace: str):
+    """Of equally good groups the one whose key, made from all its members, is least. Keys are made for these groups alone."""
+    if len(groups) == 1:
+        return groups[0]
+    keys = state.where(F.col(group).isin(groups)).groupBy(group).agg(member_key(item, namespace).alias("key"))
+    return keys.orderBy("key").first()[group]
+
+
+def residual_ladder(df: DataFrame, item: str, group: str, coords: str = "coords", size: int = 500, namespace: str = NAMESPACE, held: int = 20_000) -> DataFrame:
     """(rank, item, group, score): always from the group whose members lie farthest, on average, from what is chosen.
 
-    The first is the representative nearest the centroid of all representatives. Then, of groups with an item that is not
-    chosen, that with the greatest mean distance over all its members (chosen ones count 0), and in it the farthest item.
-    One pass a pick: partial sums for each group, and the farthest open item of each, reduce before the shuffle.
+    The first group is that whose centroid is nearest the centroid of all groups' centroids, and its item nearest that
+    point. Then, of groups with an item that is not chosen, the one with the greatest mean squared distance over all its
+    members (chosen ones count 0), and in it the farthest open item. score is that mean. The ladder ends when no item is left.
+
+    A pass updates every item's distance to the nearest chosen item against the last picks alone, and brings the groups
+    with the highest means to the driver, at most ``held`` items together. Means only fall, so picks among these groups are
+    right as long as the best of them is above the next group's mean. A group of over ``held`` items stays where it is, and
+    the pass gives one pick. Means are sums rounded once, so they don't depend on order.
     """
     spark = df.sparkSession
-    reps = keep(representatives(df, item, group, coords, namespace))
-    middle = reps.agg(centroid(coords, _size(reps, coords)).alias("c")).first()["c"]
-    first = reps.orderBy(squared_distance(F.col(coords), F.array(*[F.lit(float(x)) for x in middle])), "tie").first()
-    state = keep(df.select(item, group, F.col(coords).alias("coords"), item_key(item, namespace).alias("tie"), F.lit(float("inf")).alias("d2")))
-    ladder = [(1, first[item], first[group], 0.0)]
-    last = (first[item], first[coords])
+    kinds = {c: df.schema[c].dataType.simpleString() for c in (item, group)}
+    schema = f"rank int, {item} {kinds[item]}, {group} {kinds[group]}, score double"
+    state = keep(df.select(item, group, F.col(coords).cast("array<double>").alias("coords"), item_key(item, namespace).alias("tie"), F.lit(float("inf")).alias("d2"), F.lit(True).alias("open")))
+    centers = keep(exact_means(state, [group], "coords", "center"))
+    middle = exact_means(centers, [], "center", "c").first()
+    if middle is None:
+        return spark.createDataFrame([], schema)
+    to_middle = lambda c: squared_distance(F.col(c), _point(middle["c"]))
+    near = centers.select(group, to_middle("center").alias("d2"))
+    tied = near.join(F.broadcast(near.agg(F.min("d2").alias("d2"))), "d2")
+    first_group = _first_group(state, [r[group] for r in tied.collect()], item, group, namespace)
+    first = state.where(F.col(group) == F.lit(first_group)).orderBy(to_middle("coords"), "tie").first()
+    ladder = [(1, first[item], first_group, 0.0)]
+    chosen = [(first[item], list(first["coords"]))]
     while len(ladder) < size:
-        point = F.array(*[F.lit(float(x)) for x in last[1]])
-        d2 = F.when(F.col(item) == F.lit(last[0]), -1.0).when(F.col("d2") < 0, F.col("d2")).otherwise(F.least("d2", squared_distance(F.col("coords"), point)))
-        state = state.withColumn("d2", d2)
-        if len(ladder) % 8 == 0:
-            state = keep(state)
-        open_ = F.when(F.col("d2") >= 0, F.struct((-F.col("d2")).alias("minus"), "tie", item, "coords"))
-        groups = state.groupBy(group).agg(F.avg(F.sqrt(F.greatest("d2", F.lit(0.0)))).alias("mean"), F.min(open_).alias("far"), F.min(item_key(group, namespace + "group|")).alias("group_tie"))
-        best = groups.where("far is not null").orderBy(F.desc("mean"), "group_tie").first()
-        if best is None:
+        new = spark.createDataFrame([([c for _, c in chosen], [i for i, _ in chosen])], f"_near array<array<double>>, _ids array<{kinds[item]}>")
+        least = F.aggregate("_near", F.col("d2"), lambda s, c: F.least(s, squared_distance(F.col("coords"), c)))
+        state = keep(state.join(F.broadcast(new)).select(item, group, "coords", "tie", least.alias("d2"), (F.col("open") & ~F.array_contains("_ids", F.col(item))).alias("open")))
+        means = state.groupBy(group).agg(F.avg("d2").alias("mean"), F.count("*").alias("n"), F.max("open").alias("any")).where("any")
+        top = means.orderBy(F.desc("mean")).limit(257).collect()
+        if not top:
             break
-        last = (best["far"][item], best["far"]["coords"])
-        ladder.append((len(ladder) + 1, last[0], best[group], best["mean"]))
-    kinds = {c: df.schema[c].dataType.simpleString() for c in (item, group)}
-    return spark.createDataFrame(ladder, f"rank int, {item} {kinds[item]}, {group} {kinds[group]}, score double")
+        fits = [k for k, total in enumerate(accumulate(r["n"] for r in top), 1) if total <= held and k <= 256]
+        bound = top[len(fits)]["mean"] if len(fits) < len(top) else None
+        close = lambda a, b: abs(a - b) <= 1e-12 * max(abs(a), abs(b))
+        chosen = []
+        if fits and (bound is None or not close(top[0]["mean"], bound)):
+            names = [r[group] for r in top[: len(fits)]]
+            chosen = _picks(state.where(F.col(group).isin(names)).collect(), state, item, group, bound, size - len(ladder), namespace, ladder)
+        if not chosen:  # the best groups are too large for the driver, or too many are level
+            level = means.where(F.col("mean") >= top[0]["mean"] * (1 - 1e-12))
+            exact = exact_means(state.join(F.broadcast(level.select(group)), group).withColumn("_d", F.array("d2")), [group], "_d", "m").select(group, F.col("m")[0].alias("m"))
+            best = exact.join(F.broadcast(exact.agg(F.max("m").alias("m"))), "m").collect()
+            name = _first_group(state, [r[group] for r in best], item, group, namespace)
+            far = state.where((F.col(group) == F.lit(name)) & F.col("open")).orderBy(F.desc("d2"), "tie").first()
+            chosen = [(far[item], list(far["coords"]))]
+            ladder.append((len(ladder) + 1, far[item], name, best[0]["m"]))
+    return spark.createDataFrame(ladder, schema)
+
+
+def _picks(rows: list, state: DataFrame, item: str, group: str, bound: float | None, most: int, namespace: str, ladder: list) -> list[tuple]:
+    """Picks among the members of a few groups, which are added to ``ladder`` too; it ends where another group could be better."""
+    members: dict = {}
+    for r in rows:
+        members.setdefault(r[group], []).append([r["d2"], r["tie"], r[item], list(r["coords"]), r["open"]])
+    x = {g: np.array([m[3] for m in own]) for g, own in members.items()}
+    low = {g: np.array([m[0] for m in own]) for g, own in members.items()}
+    mean = {g: math.fsum(v.tolist()) / len(v) for g, v in low.items()}
+    picks: list[tuple] = []
+    while len(picks) < most:
+        able = [g for g, own in members.items() if any(m[4] for m in own)]
+        if not able:
+            break
+        top = max(mean[g] for g in able)
+        if bound is not None and top <= bound * (1 + 1e-12):
+            break
+        name = _first_group(state, [g for g in able if mean[g] == top], item, group, namespace)
+        at = min((k for k, m in enumerate(members[name]) if m[4]), key=lambda k: (-low[name][k], members[name][k][1]))
+        pick = members[name][at]
+        pick[4] = False
+        picks.append((pick[2], pick[3]))
+        ladder.append((len(ladder) + 1, pick[2], name, top))
+        for g, points in x.items():
+            d2 = np.zeros(len(points))
+            for k, c in enumerate(pick[3]):  # from the first feature to the last, as in the table
+                d2 += (points[:, k] - c) ** 2
+            low[g] = np.minimum(low[g], d2)
+            mean[g] = math.fsum(low[g].tolist()) / len(points)
+    return picks
 
 
 def draw(df: DataFrame, item: str, n: int, namespace: str, scenario: str) -> DataFrame:

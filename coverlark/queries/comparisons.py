@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from ..functions.prefix import ranked
 from ..functions.state import keep
 from ..operators import balance, compare, coverage, selection
 from ..plans import sensitivity
@@ -63,8 +64,9 @@ FIRST_SQL = f"WITH {REPRESENTATIVES_SQL}, l AS (SELECT row_number() OVER (ORDER
 def _two_ladders(spark, sf_dir):
     """Representatives in the order of their tie keys, and in that of their distance to the centroid."""
     reps = selection.representatives(vectors(spark, sf_dir), "item", "grp")
-    rank = lambda by: reps.orderBy(*by).limit(1000).agg(F.array_sort(F.collect_list(F.struct(*by, "item"))).alias("a")).select(F.posexplode("a").alias("rank", "x")).select((F.col("rank") + 1).alias("rank"), "x.item")
-    return rank(["tie"]), rank(["d2", "tie"])
+    reps = keep(reps.withColumn("first", F.conv(F.substring("tie", 1, 13), 16, 10).cast("double")))
+    rank = lambda number, by: ranked(reps, number, by).select("rank", "item")
+    return rank("first", ["tie"]), rank("d2", ["d2", "tie"])
 
 
 @query(f"{FIRST_SQL} SELECT n, count(*) FILTER (l.rank <= n AND r.rank <= n) AS shared, round(count(*) FILTER (l.rank <= n AND r.rank <= n) / n, 9) AS fraction FROM l JOIN r USING (item), (SELECT unnest({SIZES}) AS n) GROUP BY n")
@@ -132,13 +134,36 @@ def primary_winner(spark, sf_dir):
     return compare.winner(scores, "a", "b")
 
 
-@query(f"WITH RECURSIVE {REPRESENTATIVES_SQL}, {ladder_sql('reps', 20)}, sizes AS (SELECT unnest([5, 10]) AS n) SELECT n, item FROM ladder, sizes WHERE rank <= n AND false")
+@query(f"WITH RECURSIVE {REPRESENTATIVES_SQL}, {ladder_sql('reps', 20)}, sizes AS (SELECT unnest([5, 10]) AS n) SELECT n, count(*) AS members, 0 AS missing FROM ladder, sizes WHERE rank <= n GROUP BY 1")
 def nested_panels(spark, sf_dir):
-    """Members of short ladders that longer ones lack: there must be none."""
+    """Members of short ladders, and how many of them longer ones lack: there must be none."""
     items = vectors(spark, sf_dir)
     return compare.prefix_breaks(selection.group_ladder(items, "item", "grp", size=10), "item", [5, 10], selection.group_ladder(items, "item", "grp", size=20))
 
 
+PRICES_SQL = "s AS (SELECT o_orderpriority AS n, avg(o_totalprice) FILTER (o_orderstatus = 'F') AS a, avg(o_totalprice) FILTER (o_orderstatus = 'O') AS b FROM orders GROUP BY 1)"
+
+
+@query(f"WITH {PRICES_SQL} SELECT CASE WHEN product(a) < product(b) THEN 'A' WHEN product(b) < product(a) THEN 'B' ELSE 'UNRESOLVED' END AS decision FROM s")
+def product_decision(spark, sf_dir):
+    """Which of two selectors has the lower product of its numbers at all sizes."""
+    price = lambda status: F.avg(F.when(F.col("o_orderstatus") == status, F.col("o_totalprice")))
+    scores = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(price("F").alias("a"), price("O").alias("b"))
+    return spark.createDataFrame([(compare.product_decision(scores, "a", "b"),)], "decision string")
+
+
+@query("SELECT unnest(['group_representatives', 'group_maximin_ladder', 'group_residual_ladder']) AS plan, true AS invariant")
+def permutation_invariance(spark, sf_dir):
+    """Whether plans give the same rows when their input is dealt and ordered anew."""
+    items = vectors(spark, sf_dir)
+    plans = {
+        "group_representatives": lambda d: selection.representatives(d, "item", "grp"),
+        "group_maximin_ladder": lambda d: selection.group_ladder(d, "item", "grp", size=10),
+        "group_residual_ladder": lambda d: selection.residual_ladder(d, "item", "grp", size=6),
+    }
+    return spark.createDataFrame([(name, sensitivity.invariant(items, plan)) for name, plan in plans.items()], "plan string, invariant boolean")
+
+
 def _scale_values(spark, sf_dir):
     """Measures of suppliers' lines at five scales (line numbers) as a long table of three families."""
     li = table(spark, sf_dir, "lineitem").where("l_linenumber <= 5").groupBy(F.col("l_suppkey").alias("item"), F.col("l_linenumber").cast("int").alias("k")).agg(F.max("l_quantity").alias("a"), F.max("l_extendedprice").alias("b"), F.max("l_discount").alias("c"))

@@ -84,7 +84,21 @@ def all_items_maximin_ladder(spark, sf_dir):
     return selection.maximin_ladder(vectors(spark, sf_dir), "item", size=20).withColumn("score", F.round("score", 9))
 
 
-@query()
+RESIDUAL_SQL = f"""{VECTORS_SQL},
+centers AS (SELECT grp, {center_sql('c')} AS m FROM vectors GROUP BY 1), middle AS (SELECT {center_sql('m')} AS p FROM centers),
+first_group AS (SELECT grp FROM centers, middle ORDER BY {d2_sql('m', 'p')} LIMIT 1),
+start AS (SELECT item, vectors.grp, c, sha256('{NS}' || item::VARCHAR) AS tie, row_number() OVER (ORDER BY vectors.grp <> first_group.grp, {d2_sql('c', 'p')}, item) = 1 AS sel FROM vectors, middle, first_group),
+state AS (
+  SELECT 1 AS step, item, grp, c, tie, 'Infinity'::DOUBLE AS d2, sel, sel AS now, 0.0::DOUBLE AS score FROM start
+  UNION ALL
+  SELECT step + 1, item, grp, c, tie, d, sel OR pick, pick, mean FROM (
+    SELECT *, NOT sel AND row_number() OVER (ORDER BY sel, mean DESC, grp, d DESC, tie) = 1 AS pick FROM (
+      SELECT *, avg(d) OVER (PARTITION BY grp) AS mean FROM (
+        SELECT *, least(d2, {d2_sql('c', 'q')}) AS d FROM (SELECT *, first_value(c) OVER (ORDER BY now DESC, tie) AS q FROM state WHERE step < 12))))
+)"""
+
+
+@query(f"WITH RECURSIVE {RESIDUAL_SQL} SELECT step AS rank, item, grp, round(score, 9) AS score FROM state WHERE now")
 def group_residual_ladder(spark, sf_dir):
     return selection.residual_ladder(vectors(spark, sf_dir), "item", "grp", size=12).withColumn("score", F.round("score", 9))
 

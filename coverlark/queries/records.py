@@ -36,14 +36,14 @@ def _assessed(spark, sf_dir):
 ASSESSED_SQL = r"""r AS (SELECT event_id AS e, user_id AS u, 'GCA_' || event_id || CASE WHEN event_id % 11 = 0 THEN '' ELSE '.1' END AS accession FROM events),
 a AS (SELECT accession, e % 17 = 0 AS missing,
   CASE WHEN e % 17 <> 0 AND e % 19 <> 0 AND e % 23 <> 0 THEN 'SAMN' || u END AS sample,
-  CASE WHEN e % 29 <> 0 AND e % 31 = 0 THEN ['atypical_warning_not_text'] ELSE [] END AS opens,
-  list_filter([CASE WHEN e % 11 = 0 THEN 'invalid_canonical_id' END, CASE WHEN e % 13 = 0 THEN 'current_id_mismatch' END, CASE WHEN u % 7 = 0 THEN 'source_database_not_GenBank' END,
-    CASE WHEN e % 5 = 0 THEN 'assembly_status_not_current' END, CASE WHEN u % 3 = 0 THEN 'assembly_level_not_Complete_Genome' END, CASE WHEN e % 19 = 0 THEN 'sample_object_missing' END,
-    CASE WHEN e % 19 <> 0 AND e % 23 = 0 THEN 'sample_id_missing_or_malformed' END, CASE WHEN e % 29 = 0 THEN 'automatic_atypical_exclusion:chimeric' END,
+  CASE WHEN e % 29 <> 0 AND e % 31 = 0 THEN ['atypical_warning_non_string'] ELSE [] END AS opens,
+  list_filter([CASE WHEN e % 11 = 0 THEN 'invalid_canonical_GCA_accession' END, CASE WHEN e % 13 = 0 THEN 'current_accession_mismatch' END, CASE WHEN u % 7 = 0 THEN 'source_database_not_GenBank' END,
+    CASE WHEN e % 5 = 0 THEN 'assembly_status_not_current' END, CASE WHEN u % 3 = 0 THEN 'assembly_level_not_Complete_Genome' END, CASE WHEN e % 19 = 0 THEN 'biosample_object_missing_or_malformed' END,
+    CASE WHEN e % 19 <> 0 AND e % 23 = 0 THEN 'biosample_accession_missing_or_malformed' END, CASE WHEN e % 29 = 0 THEN 'automatic_atypical_exclusion:chimeric' END,
     CASE WHEN e % 29 <> 0 AND e % 31 <> 0 AND e % 37 = 0 THEN 'automatic_atypical_exclusion:contaminated' END], lambda x: x IS NOT NULL) AS outs,
   CASE WHEN e % 29 = 0 THEN 'chimeric' WHEN e % 31 = 0 THEN 'other' WHEN e % 37 = 0 THEN 'fine|contaminated' ELSE '' END AS warnings FROM r),
 assessed AS (SELECT accession, sample, CASE WHEN missing OR len(opens) > 0 THEN 'WITHHOLD_UNRESOLVED' WHEN len(outs) > 0 THEN 'EXCLUDE_METADATA' ELSE 'RETAIN_METADATA' END AS decision,
-  CASE WHEN missing THEN 'assembly_info_missing' ELSE array_to_string(list_sort(list_concat(opens, outs)), '|') END AS reasons, CASE WHEN missing THEN '' ELSE warnings END AS normalized_warnings FROM a)"""
+  CASE WHEN missing THEN 'assembly_info_missing_or_malformed' ELSE array_to_string(list_sort(list_concat(opens, outs)), '|') END AS reasons, CASE WHEN missing THEN '' ELSE warnings END AS normalized_warnings FROM a)"""
 
 
 @query(f"WITH {ASSESSED_SQL} SELECT * FROM assessed")

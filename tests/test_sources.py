@@ -39,9 +39,7 @@ def test_repeats_of_a_periodic_circle(spark):
     rows = [(1, "a", "circular", "ACGGT" * 3), (2, "a", "linear", "A"), (3, "a", "linear", "ACCCTTGCA"), (3, "b", "linear", "TGCAAGGGT")]
     c = spark.createDataFrame(rows, "item int, component string, topology string, sequence string")
     assert {r["item"]: r["longest_repeat"] for r in kmers.longest_repeat(c, "item").collect()} == {1: 15, 2: 0, 3: 9}
-    from pyspark.sql import functions as F
-
-    f = kmers.repeat_features(kmers.kmer_counts(c.withColumn("k", F.lit(15)), "item"), "item").collect()
+    f = kmers.repeat_features(c, "item", [15]).collect()
     assert [(r["item"], r["valid_starts"], r["non_unique_fraction"], r["max_multiplicity"]) for r in f] == [(1, 15, 1.0, 3)]
 
 
