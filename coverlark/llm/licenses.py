@@ -9,7 +9,7 @@ and stretches of a text with too few of them within the greatest length; what is
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,6 +38,21 @@ event shall the copyright holder or contributors be liable for any direct, indir
 consequential damages (including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits;
 or business interruption) however caused and on any theory of liability, whether in contract, strict liability, or tort (including
 negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage."""
+_GNU_WARRANTY = """ This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {title} for more details."""
+_GNU_COPY = """ You should have received a copy of the {title} along with this {work}. If not, see <https://www.gnu.org/licenses/>."""
+
+
+def _gnu(title: str, version: str) -> tuple[str, ...]:
+    """The notices of a GNU licence: one line, and one to three paragraphs for programs and libraries, of this version only or later ones."""
+    out = [f"This work is licensed under the {title}, version {version}."]
+    for work in ("program", "library"):
+        for later in ("either version {version} of the License, or (at your option) any later version.", "version {version} of the License."):
+            text = "This {work} is free software: you can redistribute it and/or modify it under the terms of the {title} as published by the Free Software Foundation, " + later
+            out += [(text + more).format(work=work, title=title, version=version) for more in ("", _GNU_WARRANTY, _GNU_WARRANTY + _GNU_COPY)]
+    return tuple(out)
+
+
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": (
         "Released under the MIT License.",
@@ -50,6 +65,10 @@ or substantial portions of the Software. """ + _WARRANTY,
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
+        """TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. "License" shall mean the terms and conditions for
+use, reproduction, and distribution as defined by Sections 1 through 9 of this document. "Licensor" shall mean the copyright owner or
+entity authorized by the copyright owner that is granting the License. "Legal Entity" shall mean the union of the acting entity and
+all other entities that control, are controlled by, or are under common control with that entity.""",
         """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
 License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or
 agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF
@@ -57,22 +76,54 @@ ANY KIND, either express or implied. See the License for the specific language g
 License.""",
     ),
     "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
-published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is
-distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or
-FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+        *_gnu("GNU General Public License", "3"),
+        """The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for most
+software and other practical works are designed to take away your freedom to share and change the works. By contrast, the GNU General
+Public License is intended to guarantee your freedom to share and change all versions of a program--to make sure it remains free
+software for all its users.""",
     ),
     "GPL-2.0": (
-        "This work is licensed under the GNU General Public License, version 2.",
-        """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as
-published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.""",
+        *_gnu("GNU General Public License", "2"),
+        """The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU General
+Public License is intended to guarantee your freedom to share and change free software--to make sure the software is free for all its
+users. This General Public License applies to most of the Free Software Foundation's software and to any other program whose authors
+commit to using it.""",
+    ),
+    "LGPL-3.0": (
+        *_gnu("GNU Lesser General Public License", "3"),
+        """This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General
+Public License, supplemented by the additional permissions listed below.""",
+    ),
+    "LGPL-2.1": (
+        *_gnu("GNU Lesser General Public License", "2.1"),
+        """The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU General
+Public Licenses are intended to guarantee your freedom to share and change free software--to make sure the software is free for all
+its users. This license, the Lesser General Public License, applies to some specially designated software packages--typically
+libraries--of the Free Software Foundation and other authors who decide to use it.""",
+    ),
+    "AGPL-3.0": (
+        *_gnu("GNU Affero General Public License", "3"),
+        """The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed
+to ensure cooperation with the community in the case of network server software.""",
     ),
-    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
-    "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.",),
     "MPL-2.0": (
         """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
 with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+        """1.1. "Contributor" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software.
+1.2. "Contributor Version" means the combination of the Contributions of others (if any) used by a Contributor and that particular
+Contributor's Contribution. 1.3. "Contribution" means Covered Software of a particular Contributor.""",
+    ),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying
+documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and
+to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to
+the following:""",
+    ),
+    "Zlib": (
+        """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any
+damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including
+commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:""",
     ),
     "BSD-2-Clause": (_BSD_TERMS + " " + _BSD_DISCLAIMER, "Licensed under the BSD 2-Clause License."),
     "BSD-3-Clause": (
@@ -93,7 +144,11 @@ connection with the use or performance of this software.""",
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "CC-BY-ND-4.0": ("Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
     "CC0-1.0": ("Licensed under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
-    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        """Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a
+compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+    ),
 }
 
 _words = re.compile(r"[^\W_]+")
@@ -135,7 +190,11 @@ class Scanner:
             self.any[list(pairs)] = True
 
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
-        """(licence, Dice, first word, one past the last, shared bigrams), without overlaps: the most shared bigrams win, then Dice."""
+        """(licence, Dice, first word, one past the last, shared bigrams), without overlaps.
+
+        The passage with the most shared bigrams comes first; of those that are mostly the same passage, to which near-equal
+        templates lead, the one with the highest Dice stands for it.
+        """
         words = normalised(text)
         ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         if len(ids) < 2:
@@ -155,13 +214,22 @@ class Scanner:
             if len(own) >= least:
                 found += self._passages(name, own, pairs, total, least, most)
         found.sort(key=lambda x: (-x[4], -x[1], x[2], x[0]))
+        by_start = sorted(found, key=lambda x: x[2])
+        starts, longest = [x[2] for x in by_start], max((x[3] - x[2] for x in found), default=0)
         taken: list[tuple[int, int]] = []
         kept = []
-        for x in found:
+
+        def free(x: tuple) -> bool:
             k = bisect_right(taken, (x[2], 1 << 60))
-            if (k == 0 or taken[k - 1][1] <= x[2]) and (k == len(taken) or taken[k][0] >= x[3]):
-                taken.insert(k, (x[2], x[3]))
-                kept.append(x)
+            return (k == 0 or taken[k - 1][1] <= x[2]) and (k == len(taken) or taken[k][0] >= x[3])
+
+        for most in found:
+            if free(most):
+                near = by_start[bisect_left(starts, most[2] - longest) : bisect_right(starts, most[3])]
+                same = [x for x in near if 2 * (min(x[3], most[3]) - max(x[2], most[2])) >= max(x[3] - x[2], most[3] - most[2]) and free(x)]
+                best = max(same, key=lambda x: (x[1], x[4], -x[2]))
+                insort(taken, (best[2], best[3]))
+                kept.append(best)
         return sorted(kept, key=lambda x: (x[2], x[0]))
 
     def _passages(self, name: str, own: list[tuple[int, int]], pairs: Counter, total: int, least: float, most: float) -> Iterator[tuple[str, float, int, int, int]]:
@@ -193,7 +261,8 @@ def find_licenses(docs: DataFrame, dice: float = DICE) -> DataFrame:
 
     spans is ``licence:start:end:dice`` in code points by start, comma-joined. The best match has the highest Dice, then
     the most bigrams, then comes first. Without a match, and for null and empty texts, n_matches is 0, license and dice
-    are null and spans is empty. Repeated rows repeat; an empty table gives no rows.
+    are null and spans is empty. Very long texts are scanned whole. Repeated rows repeat; an empty table gives no rows. Other
+    columns are ignored. The whole text of a long licence is known by its opening.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
