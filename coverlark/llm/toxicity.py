@@ -3,7 +3,8 @@
 A word's embedding is the sum of a hashed word vector and a hashed prefix vector. Filters of several widths slide over
 the whole text, each keeps its highest response (max pooling), and a logistic layer reads those maxima. Training runs on
 at most ``TRAIN_ROWS`` labelled documents (a documented bound; half of them toxic where there are as many), chosen by a
-hash of their ids. A held-back fifth of them calibrates the score, and sets a threshold for each language.
+hash of their ids. A held-back fifth of them calibrates the score. A language's threshold comes from all labelled documents
+that did not train the net: they are scored on Spark and counted by language, label and score.
 
 For scoring, every filter column is applied to the embedding table once, so that a text costs table look-ups and sums.
 Labels, lang, source and doc_id are never inputs of a score; lang only picks the threshold of ``flagged``.
@@ -21,13 +22,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import only, table, text_batches, text_or_empty
 from .hashing import BUCKETS, blocks, word_ids
 
-TRAIN_ROWS = 4000
+TRAIN_ROWS = 6000
 WIDTHS = (1, 2, 3)
 FILTERS = 8
 DIMENSIONS = 16
 EPOCHS = 5
 BATCH = 64
 CUT = 0.7
+#: Steps of the score in which thresholds are counted.
+STEPS = 1000
 PAD = max(WIDTHS) - 1
 
 
@@ -178,19 +181,24 @@ def platt(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return (float(theta[0]), float(theta[1])) if theta[0] > 0 and np.isfinite(theta).all() else (1.0, 0.0)
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The cut with the highest F1 on labelled scores; CUT where a language has under ten of either class."""
-    if labels.sum() < 10 or (1 - labels).sum() < 10:
+def best_threshold(clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The cut with the highest F1 (the highest of equals), from counts of both labels by step; CUT where there are under ten of either."""
+    if toxic.sum() < 10 or clean.sum() < 10:
         return CUT
-    order = np.argsort(-scores, kind="stable")
-    hit = np.cumsum(labels[order])
-    f1 = 2 * hit / (np.arange(1, len(order) + 1) + labels.sum())
-    return float(scores[order][int(f1.argmax())])
+    hit, wrong = np.cumsum(toxic[::-1]), np.cumsum(clean[::-1])
+    f1 = 2 * hit / (hit + wrong + toxic.sum())
+    return (len(toxic) - 1 - int(f1.argmax())) / STEPS
+
+
+def usable(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) that may be learnt from; a document with several labels counts as toxic if one of them says so."""
+    some = only(labels, ["doc_id", "toxic"]).where("toxic in (0, 1) and doc_id is not null and crc32(cast(doc_id as string)) % 3 <> 1")
+    return some.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> pd.DataFrame:
     """At most ``limit`` labelled documents as hashed words, with their language; only these reach the driver."""
-    known = only(labels, ["doc_id", "toxic"]).where("toxic in (0, 1) and doc_id is not null and crc32(cast(doc_id as string)) % 3 <> 1").dropDuplicates(["doc_id"])
+    known = usable(labels)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     some = known.where("toxic = 1").orderBy(*order).limit(limit // 2).unionByName(known.where("toxic = 0").orderBy(*order).limit(limit // 2))
     rows = only(docs, ["doc_id", "text", "lang"]).join(F.broadcast(some), "doc_id").select(F.crc32(F.col("doc_id").cast("string")).alias("key"), "doc_id", "toxic", F.coalesce("lang", F.lit("")).alias("lang"), text_or_empty().alias("text"))
@@ -217,17 +225,35 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Cnn:
             logits.append(scorer.logits(kept[k : k + 200]))
         logits = np.concatenate(logits)
         net.scale = platt(logits, toxic[held])
-        scores = 1 / (1 + np.exp(-np.clip(net.scale[0] * logits + net.scale[1], -30, 30)))
-        lang = rows["lang"].to_numpy()[held]
-        net.thresholds = {x: best_threshold(scores[lang == x], toxic[held][lang == x]) for x in sorted(set(lang))}
+    net.thresholds = thresholds(docs, labels, net, rows["doc_id"][~held].tolist())
     return net
 
 
+def thresholds(docs: DataFrame, labels: DataFrame, net: Cnn, trained: list[int]) -> dict[str, float]:
+    """A threshold for each language. The driver gets counts: STEPS numbers a label and language."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    ids = docs.sparkSession.createDataFrame([(int(i),) for i in trained], "doc_id long")  # at most TRAIN_ROWS
+    known = usable(labels).join(F.broadcast(ids), "doc_id", "left_anti")
+    rows = only(docs, ["doc_id", "text", "lang"]).join(known, "doc_id").select(F.coalesce("lang", F.lit("")).alias("lang"), "toxic", text_or_empty().alias("text"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(shared.value)
+        for pdf in batches:
+            step = np.minimum((scorer.scores(pdf["text"].tolist()) * STEPS).astype(np.int32), STEPS - 1)
+            yield pd.DataFrame({"lang": pdf["lang"], "toxic": pdf["toxic"], "step": step}).groupby(["lang", "toxic", "step"]).size().reset_index(name="n")
+
+    counted: dict[str, np.ndarray] = {}
+    for r in rows.mapInPandas(run, "lang string, toxic int, step int, n long").groupBy("lang", "toxic", "step").agg(F.sum("n").alias("n")).collect():
+        counted.setdefault(r["lang"], np.zeros((2, STEPS), np.int64))[r["toxic"], r["step"]] = r["n"]
+    return {lang: best_threshold(*both) for lang, both in sorted(counted.items())}
+
+
 def score_documents(docs: DataFrame, net: Cnn, cut: float = CUT) -> DataFrame:
     """doc_id, held_out, score, predicted, threshold and flagged of every row of ``docs``.
 
-    Null and empty texts have no words and get the score of the empty text. A null doc_id is not held out. A language
-    without a threshold uses ``cut``. Repeated rows repeat; an empty table gives no rows.
+    Null and empty texts have no words and get the score of the empty text; very long texts are read whole. A null doc_id is
+    not held out. A language without a threshold uses ``cut``. A score at a threshold is flagged. Repeated rows repeat; an
+    empty table gives no rows. Other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)  # of a fixed size: BUCKETS x DIMENSIONS numbers
 

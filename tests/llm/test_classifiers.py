@@ -40,6 +40,21 @@ def test_toxicity(spark):
     assert toxicity.score_documents(docs.where("false"), net).count() == 0
 
 
+def test_thresholds_by_language_by_a_plain_version(spark):
+    docs, labels = corpus(spark, 900)
+    net = toxicity.fit(docs, labels, limit=60)
+    rows = toxicity.training_rows(docs, labels, 60)
+    trained = {i for k, i in enumerate(rows["doc_id"]) if k % 5 != 4}
+    score = {r.doc_id: r.score for r in toxicity.score_documents(docs, net).collect() if not r.held_out}
+    known = [(r.lang or "", score[r.doc_id], r.toxic) for r in docs.join(labels, "doc_id").collect() if r.doc_id in score and r.doc_id not in trained]
+    assert len(known) > 300 and set(net.thresholds) == {lang for lang, _, _ in known}
+    for lang in ("en", "de"):
+        own = [(int(min(s * 1000, 999)), t) for x, s, t in known if x == lang]
+        assert sum(t for _, t in own) >= 10
+        f1 = {c: 2 * sum(t for s, t in own if s >= c) / (sum(s >= c for s, _ in own) + sum(t for _, t in own)) for c in range(1000)}
+        assert net.thresholds[lang] == max(f1, key=lambda c: (round(f1[c], 12), c)) / 1000
+
+
 def test_scores_do_not_depend_on_language_or_id(spark):
     docs, labels = corpus(spark, 200)
     net = toxicity.fit(docs, labels)
