@@ -135,6 +135,7 @@ def stability(before: DataFrame, after: DataFrame, universe: DataFrame, item: st
     return rows.groupBy("n").agg(F.count_if(a & b).alias("shared"), F.count_if(b & ~a).alias("changed"), F.count_if(a & F.col("_u").isNull()).alias("unavailable"), F.count_if(b & F.col("_a").isNull()).alias("new_items"))
 
 
-def random_summary(values: DataFrame, by: list[str], value: str) -> DataFrame:
-    """(by, low, median, high): the 2.5, 50 and 97.5 percent points over replicates, without interpolation."""
-    return quantiles(values, by, value, {"low": 0.025, "median": 0.5, "high": 0.975})
+def random_summary(values: DataFrame, by: list[str], metrics: list[str]) -> DataFrame:
+    """(by, metric, low, median, high): the 2.5, 50 and 97.5 percent points over replicates, without interpolation."""
+    long = values.unpivot(by, metrics, "metric", "value")
+    return quantiles(long, [*by, "metric"], "value", {"low": 0.025, "median": 0.5, "high": 0.975})

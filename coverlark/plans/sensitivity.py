@@ -46,41 +46,65 @@ def ablation(df: DataFrame, item: str, group: str, features: list[str], drops: d
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Bytes of the random panels' points, which are broadcast.
+POINTS = 1 << 29
+BLOCK = 1024
+
+
 def random_coverage(df: DataFrame, item: str, group: str, ladders: DataFrame, sizes: list[int], coords: str = "coords") -> DataFrame:
-    """(replicate, n, item, group, distance) for every random ladder and panel size.
+    """(replicate, n, group, mean_distance, max_distance, group_size) for every random ladder and panel size.
 
-    All ladders are broadcast as one row of replicates x max(sizes) points, a number the caller sets; each task works in
-    blocks of matrix distances that carry the running minimum from one panel size to the next.
+    All ladders' points are broadcast, a number the caller sets and which is checked. Tasks work in blocks of items of one
+    range of groups, carry the least distance from one panel size to the next, and sum by group before anything is sent: a
+    row for each group of a block, replicate and size, not for each item.
     """
-    points = ladders.where(F.col("rank") <= max(sizes)).join(df.select(item, coords), item)
-    rows = points.select("replicate", "rank", coords).orderBy("replicate", "rank").collect()
-    table: dict[int, np.ndarray] = {}
-    for r in rows:
-        table.setdefault(r["replicate"], []).append(r[coords])
-    table = {k: np.array(v) for k, v in table.items()}
-    shared = df.sparkSession.sparkContext.broadcast(table)
-    kinds = {c: df.schema[c].dataType.simpleString() for c in (item, group)}
+    points = ladders.where(F.col("rank") <= max(sizes)).join(df.select(item, coords), item).select("replicate", "rank", coords)
+    shape = points.agg(F.count("*").alias("n"), F.max(F.size(coords)).alias("d")).first()
+    if shape["n"] * (shape["d"] or 0) * 8 > POINTS:
+        raise ValueError(f"random panels of {shape['n']} points are not broadcast")
+    got = points.toPandas().sort_values(["replicate", "rank"])
+    shared = df.sparkSession.sparkContext.broadcast({r: np.array(own[coords].tolist()) for r, own in got.groupby("replicate")})
+    kind = df.schema[group].dataType.simpleString()
+    order = sorted(sizes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for lo in range(0, len(pdf), 1024):
-                part = pdf.iloc[lo : lo + 1024]
+            for at in range(0, len(pdf), BLOCK):
+                part = pdf.iloc[at : at + BLOCK]
                 x = np.array(part[coords].tolist())
+                names, start = np.unique(part[group].to_numpy(), return_index=True)
+                count = np.diff(start, append=len(part))
                 for replicate, y in shared.value.items():
                     low, done = np.full(len(x), np.inf), 0
-                    for n in sorted(sizes):
-                        for c in y[done:n]:
-                            low = np.minimum(low, ((x - c) ** 2).sum(axis=1))
+                    for n in order:
+                        for k in range(done, min(n, len(y)), 64):
+                            d2 = np.zeros((len(x), len(y[k : min(k + 64, n)])))
+                            for j in range(x.shape[1]):
+                                d2 += (x[:, j, None] - y[None, k : min(k + 64, n), j]) ** 2
+                            low = np.minimum(low, d2.min(axis=1))
                         done = n
-                        yield pd.DataFrame({"replicate": replicate, "n": n, item: part[item], group: part[group], "distance": np.sqrt(low)})
-
-    return df.select(item, group, coords).mapInPandas(run, f"replicate int, n int, {item} {kinds[item]}, {group} {kinds[group]}, distance double")
-
-
-def random_metric(distances: DataFrame, group: str) -> DataFrame:
-    """(replicate, n, weighted_mean): the balanced mean distance of each random panel."""
-    means = distances.groupBy("replicate", "n", group).agg(F.avg("distance").alias("_m"))
-    return means.groupBy("replicate", "n").agg(F.avg("_m").alias("weighted_mean"))
+                        distance = np.sqrt(low)
+                        yield pd.DataFrame({"replicate": replicate, "n": n, group: names, "total": np.add.reduceat(distance, start), "most": np.maximum.reduceat(distance, start), "count": count})
+
+    dealt = df.select(item, group, coords).repartitionByRange(group, item).sortWithinPartitions(group).select(group, coords)
+    sums = dealt.mapInPandas(run, f"replicate int, n int, {group} {kind}, total double, most double, count long")
+    found = sums.groupBy("replicate", "n", group).agg(F.sum("total").alias("_t"), F.max("most").alias("max_distance"), F.sum("count").alias("group_size"))
+    return found.select("replicate", "n", group, (F.col("_t") / F.col("group_size")).alias("mean_distance"), "max_distance", "group_size")
+
+
+def random_metrics(statistics: DataFrame) -> DataFrame:
+    """(replicate, n) and eight numbers of each random panel, as in ``coverage_summary``; its two quantiles over items are left out."""
+    disc = lambda q, c: F.expr(f"percentile_disc({q}) within group (order by {c})")
+    return statistics.groupBy("replicate", "n").agg(
+        F.avg("mean_distance").alias("weighted_mean"),
+        F.max("max_distance").alias("unweighted_max"),
+        disc(0.5, "mean_distance").alias("median_group_mean"),
+        disc(0.95, "mean_distance").alias("p95_group_mean"),
+        F.max("mean_distance").alias("max_group_mean"),
+        disc(0.5, "max_distance").alias("median_group_max"),
+        disc(0.95, "max_distance").alias("p95_group_max"),
+        F.max("max_distance").alias("max_group_max"),
+    )
 
 
 def scale_percentiles(values: DataFrame, item: str, group: str) -> DataFrame:

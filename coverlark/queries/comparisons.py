@@ -92,32 +92,34 @@ def group_abundance(spark, sf_dir):
     return compare.abundance(_two_ladders(spark, sf_dir)[0].withColumn("grp", F.col("item") % 7), "grp", SIZES)
 
 
-RANDOM_SQL = f"""{VECTORS_SQL}, reps AS (SELECT unnest(generate_series(1, 20)) AS replicate),
+RANDOM_SQL = f"""{VECTORS_SQL}, reps AS (SELECT unnest(generate_series(1, 200)) AS replicate),
 g AS (SELECT DISTINCT replicate, grp FROM vectors, reps),
 o AS (SELECT replicate, grp, row_number() OVER (PARTITION BY replicate ORDER BY sha256('20260824|' || replicate || '|' || grp), grp) AS rank FROM g),
 picks AS (SELECT o.replicate, o.rank, arg_min(v.item, sha256('20260824|' || o.replicate || '|' || v.item)) AS item FROM o JOIN vectors v ON v.grp = o.grp WHERE rank <= 20 GROUP BY 1, 2),
 rd AS (SELECT replicate, n, v.item, v.grp, sqrt(min({d2_sql('v.c', 'p.c')})) AS distance FROM vectors v, (SELECT k.replicate, k.rank, x.c FROM picks k JOIN vectors x ON x.item = k.item) p, (SELECT unnest({SIZES}) AS n) WHERE p.rank <= n GROUP BY ALL),
-metric AS (SELECT replicate, n, avg(m) AS weighted_mean FROM (SELECT replicate, n, grp, avg(distance) AS m FROM rd GROUP BY ALL) GROUP BY ALL)"""
+metric AS (SELECT replicate, n, avg(m) AS weighted_mean, max(x) AS unweighted_max, quantile_disc(m, 0.5) AS median_group_mean, quantile_disc(m, 0.95) AS p95_group_mean, max(m) AS max_group_mean,
+  quantile_disc(x, 0.5) AS median_group_max, quantile_disc(x, 0.95) AS p95_group_max, max(x) AS max_group_max FROM (SELECT replicate, n, grp, avg(distance) AS m, max(distance) AS x FROM rd GROUP BY ALL) GROUP BY ALL)"""
+RANDOM_METRICS = ["weighted_mean", "unweighted_max", "median_group_mean", "p95_group_mean", "max_group_mean", "median_group_max", "p95_group_max", "max_group_max"]
 
 
 def _random(spark, sf_dir):
     items = vectors(spark, sf_dir)
-    ladders = selection.random_ladders(items, "item", "grp", 20, 20)
-    return sensitivity.random_metric(sensitivity.random_coverage(items, "item", "grp", ladders, SIZES), "grp")
+    ladders = selection.random_ladders(items, "item", "grp", 200, 20)
+    return sensitivity.random_metrics(sensitivity.random_coverage(items, "item", "grp", ladders, SIZES))
 
 
-@query(f"WITH {RANDOM_SQL} SELECT replicate, n, round(weighted_mean, 8) AS weighted_mean FROM metric")
+@query(f"WITH {RANDOM_SQL} SELECT replicate, n, {', '.join(f'round({m}, 8) AS {m}' for m in RANDOM_METRICS)} FROM metric")
 def random_coverage(spark, sf_dir):
-    return _random(spark, sf_dir).withColumn("weighted_mean", F.round("weighted_mean", 8))
+    return _random(spark, sf_dir).withColumns({m: F.round(m, 8) for m in RANDOM_METRICS})
 
 
-@query(f"WITH {RANDOM_SQL} SELECT n, round(quantile_disc(weighted_mean, 0.025), 8) AS low, round(quantile_disc(weighted_mean, 0.5), 8) AS median, round(quantile_disc(weighted_mean, 0.975), 8) AS high FROM metric GROUP BY 1")
+@query(f"WITH {RANDOM_SQL} SELECT n, metric, round(quantile_disc(value, 0.025), 8) AS low, round(quantile_disc(value, 0.5), 8) AS median, round(quantile_disc(value, 0.975), 8) AS high FROM (SELECT * FROM metric UNPIVOT (value FOR metric IN ({', '.join(RANDOM_METRICS)}))) GROUP BY 1, 2")
 def random_summary(spark, sf_dir):
-    return compare.random_summary(_random(spark, sf_dir), ["n"], "weighted_mean").withColumns({c: F.round(c, 8) for c in ("low", "median", "high")})
+    return compare.random_summary(_random(spark, sf_dir), ["n"], RANDOM_METRICS).withColumns({c: F.round(c, 8) for c in ("low", "median", "high")})
 
 
 @query(f"""WITH {RANDOM_SQL}, {DISTANCES_SQL.replace(VECTORS_SQL + ",", "")}, own AS (SELECT n, avg(m) AS weighted_mean FROM (SELECT n, grp, avg(distance) AS m FROM distances GROUP BY 1, 2) GROUP BY 1)
-SELECT own.n, round(own.weighted_mean, 8) AS weighted_mean, 1 + count(*) FILTER (metric.weighted_mean < own.weighted_mean) AS empirical_rank FROM own JOIN metric USING (n) GROUP BY own.n, own.weighted_mean""".replace("reps AS (SELECT unnest(generate_series(1, 20)) AS replicate)", "draws AS (SELECT unnest(generate_series(1, 20)) AS replicate)").replace("FROM vectors, reps)", "FROM vectors, draws)"))
+SELECT own.n, round(own.weighted_mean, 8) AS weighted_mean, 1 + count(*) FILTER (metric.weighted_mean < own.weighted_mean) AS empirical_rank FROM own JOIN metric USING (n) GROUP BY own.n, own.weighted_mean""".replace("reps AS (SELECT unnest(generate_series(1, 200)) AS replicate)", "draws AS (SELECT unnest(generate_series(1, 200)) AS replicate)").replace("FROM vectors, reps)", "FROM vectors, draws)"))
 def empirical_rank(spark, sf_dir):
     items = vectors(spark, sf_dir)
     d = coverage.nearest_panel_distance(items, _panel(spark, sf_dir), "item", SIZES).join(items.select("item", "grp"), "item")
