@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import pandas as pd
@@ -18,42 +18,67 @@ def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
 
+class ExactSum:
+    """Exact sums of doubles, place by place: whole numbers over powers of two."""
+
+    def __init__(self, size: int):
+        self.totals, self.shifts, self.n = [0] * size, [0] * size, 0
+
+    def add(self, values) -> None:
+        for k, x in enumerate(values):
+            a, b = float(x).as_integer_ratio()
+            self._add(k, a, b.bit_length() - 1)
+        self.n += 1
+
+    def _add(self, k: int, a: int, shift: int) -> None:
+        more = shift - self.shifts[k]
+        if more > 0:
+            self.totals[k], self.shifts[k] = self.totals[k] << more, shift
+        self.totals[k] += a << max(0, -more)
+
+    def merge(self, said, n: int) -> None:
+        for k, text in enumerate(said):
+            a, shift = text.split("/")
+            self._add(k, int(a, 16), int(shift))
+        self.n += n
+
+    def said(self) -> list[str]:
+        return [f"{t:x}/{s}" for t, s in zip(self.totals, self.shifts, strict=True)]
+
+
 def exact_means(df: DataFrame, by: list[str], values: str, name: str) -> DataFrame:
     """(by, name): the means of arrays of doubles, place by place, each rounded once from its exact sum, whatever the order.
 
-    Doubles are integers over a power of two, so partial sums are exact integers. A task sends one row for each key that it
-    has seen, and rows of a key meet in two stages, so that no row gathers a large group.
+    A task sends one row for each key that it has seen, and rows of a key meet in two stages, so that no row gathers a large
+    group.
     """
     kinds = "".join(f"{c} {df.schema[c].dataType.simpleString()}, " for c in by)
     schema = f"{kinds}_totals array<string>, _n long"
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple, list] = {}
-        for pdf in batches:
-            for *key, row in pdf.itertuples(index=False):
-                held = sums.setdefault(tuple(key), [[0] * len(row), 0])
-                for k, x in enumerate(row):
-                    a, b = float(x).as_integer_ratio()
-                    held[0][k] += (a << 1100) // b
-                held[1] += 1
-        yield pd.DataFrame([(*key, [str(t) for t in totals], n) for key, (totals, n) in sums.items()], columns=[*by, "_totals", "_n"])
-
-    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple, list] = {}
-        for pdf in batches:
-            for *key, totals, n in pdf.itertuples(index=False):
-                held = sums.setdefault(tuple(key), [[0] * len(totals), 0])
-                held[0] = [a + int(b) for a, b in zip(held[0], totals, strict=True)]
-                held[1] += n
-        yield pd.DataFrame([(*key, [str(t) for t in totals], n) for key, (totals, n) in sums.items()], columns=[*by, "_totals", "_n"])
+    def summed(take: Callable[[ExactSum, tuple], None]) -> Callable:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            sums: dict[tuple, ExactSum] = {}
+            for pdf in batches:
+                for row in pdf.itertuples(index=False):
+                    key = row[: len(by)]
+                    if key not in sums:
+                        sums[key] = ExactSum(len(row[len(by)]))
+                    take(sums[key], row[len(by) :])
+            yield pd.DataFrame([(*key, s.said(), s.n) for key, s in sums.items()], columns=[*by, "_totals", "_n"])
+
+        return run
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def divided(totals: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([[float(Fraction(int(t), int(k) << 1100)) for t in row] for row, k in zip(totals, n, strict=True)])
+        def mean(text: str, k: int) -> float:
+            a, shift = text.split("/")
+            return float(Fraction(int(a, 16), int(k) << int(shift)))
+
+        return pd.Series([[mean(t, k) for t in row] for row, k in zip(totals, n, strict=True)])
 
-    sent = df.select(*by, F.col(values).cast("array<double>").alias("_values")).mapInPandas(partial, schema)
-    salted = sent.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(32)))
-    near = salted.repartition("_salt", *by).drop("_salt").mapInPandas(added, schema)
+    added = summed(lambda s, row: s.merge(*row))
+    sent = df.select(*by, F.col(values).cast("array<double>").alias("_values")).mapInPandas(summed(lambda s, row: s.add(row[0])), schema)
+    near = sent.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(32))).repartition("_salt", *by).drop("_salt").mapInPandas(added, schema)
     whole = (near.repartition(*by) if by else near.coalesce(1)).mapInPandas(added, schema)
     return whole.select(*by, divided("_totals", "_n").alias(name))
 
