@@ -227,7 +227,8 @@ def decode_table(encoded: DataFrame, path: str) -> DataFrame:
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row, a streaming digest of what encode and decode give.
 
-    Null and empty texts have no tokens and the digests of the empty string; repeated rows give repeated rows.
+    Null and empty texts have no tokens and the digests of the empty string; very long texts are encoded whole; of equal
+    ranks in a word the first is merged. Repeated rows repeat; an empty table gives no rows. Other columns are ignored.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from coverlark.llm import bpe, exact_dedup, mixing, near_copies, quality
 
@@ -39,3 +41,19 @@ def test_stages_by_a_plain_version(spark, tmp_path):
     ours = bpe.load(bpe.default_path())
     assert all(r.n_tokens == len(ours.encode(rows[r.doc_id].text or "")) for r in got)
     assert [name for name, _ in P.STAGES] == ["quality classifier", "exact dedup", "simhash near-dedup", "mixing", "bpe"]
+
+
+def test_stages_take_nulls_repeats_and_clashing_columns(spark, tmp_path):
+    docs, labels = corpus(spark, 60)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = docs.withColumns({"rate": F.lit("r"), "_rate": F.lit(1), "copies": F.lit(2), "node": F.lit("n"), "x": F.lit(3), "keep_id": F.lit(4)})
+    none = docs.where("false")
+    kept = docs
+    for name, stage in P.STAGES[:-1]:
+        kept = P.materialize(stage(spark, kept, str(tmp_path)), "stage")
+        none = stage(spark, none, str(tmp_path))
+        assert kept.columns == docs.columns and none.columns == docs.columns and none.count() == 0, name
+        assert kept.where("doc_id is null").count() == 1 and kept.where("rate = 'r' and copies = 2 and keep_id = 4").count() == kept.count(), name
+        if name != "mixing":
+            assert kept.where("doc_id = 1").count() == (2 if name == "quality classifier" else 1), name
+    assert P.tokens(spark, none, "").count() == 0 and P.tokens(spark, kept, "").count() == kept.count()
