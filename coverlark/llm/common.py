@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,15 +21,37 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: it cuts the lineage and survives lost executors."""
+#: Paths of the tables written within each open ``scratch``.
+_written: list[list[str]] = []
+
+
+def materialize(df: DataFrame, name: str = "table", outlive: bool = False) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: it cuts the lineage and survives lost executors.
+
+    Within ``scratch`` the table goes with the others at its end, unless it is to ``outlive`` it.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
+    holders = _written[:-1] if outlive else _written
+    if holders:
+        holders[-1].append(path)
     return spark.read.schema(schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end. Nothing that is lazy may read them afterwards."""
+    _written.append([])
+    try:
+        yield
+    finally:
+        for name in _written.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> None:
     """From now on Python workers of this session get at most ``rows`` rows and ``size`` bytes at a time, for the default lets
     batches of whole texts grow with the texts. A session that has a limit of bytes of its own keeps it."""
