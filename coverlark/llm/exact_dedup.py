@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import materialize, only, table, text_batches, text_or_empty
+from .common import materialize, only, scratch, table, text_batches, text_or_empty
 
 WHITE_SPACE = " \t\n\x0b\f\r"
 COUNTERS = 1024
@@ -92,9 +92,11 @@ def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     The ids to drop are written as a table, so that Spark broadcasts it if it is small and shuffles otherwise. Repeated
     rows of one document leave one. Rows without a doc_id can't be told apart by it, and all stay.
     """
-    decided = materialize(exact_dedup(docs, counters), "decided")
-    out = materialize(decided.where("not kept and doc_id is not null").select("doc_id").distinct(), "dropped")
-    twice = materialize(decided.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    with scratch(docs.sparkSession):
+        decided = materialize(exact_dedup(docs, counters), "decided")
+        out = materialize(decided.where("not kept and doc_id is not null").select("doc_id").distinct(), "dropped", outlive=True)
+        twice = decided.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+        twice = materialize(twice, "repeated", outlive=True)
     stay = docs.join(out, "doc_id", "left_anti").select(docs.columns)
     once = stay.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
     return stay.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(once)

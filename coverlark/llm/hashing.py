@@ -12,7 +12,7 @@ import numpy as np
 BUCKETS = 1 << 16
 #: Words start alike in languages that compound or inflect, so the first PREFIX letters are hashed as well.
 PREFIX = 5
-MEMO = 150_000
+MEMO = 60_000
 #: Words that are worked on at a time; one longer text makes a longer block.
 BLOCK_WORDS = 100_000
 

@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import fresh, materialize, only, table, text_batches, text_or_empty
+from .common import fresh, materialize, only, scratch, table, text_batches, text_or_empty
 from .hashing import BUCKETS, blocks, word_ids
 
 TRAIN_ROWS = 3000
@@ -247,7 +247,8 @@ def mixed(docs: DataFrame, net: Softmax, targets: dict[str, float] = TARGETS) ->
     Once the steps are known a rate follows from the text alone, so rows are rated where they are read, and no text is
     shuffled. Columns of ``docs`` stay whatever their names.
     """
-    done, size, _ = fit_rates(materialize(memberships(docs, net), "members"), target_shares(net.domains, targets))
+    with scratch(docs.sparkSession):
+        done, size, _ = fit_rates(materialize(memberships(docs, net), "members"), target_shares(net.domains, targets))
     shared = docs.sparkSession.sparkContext.broadcast(net)  # of a fixed size
 
     @F.pandas_udf(T.DoubleType())
