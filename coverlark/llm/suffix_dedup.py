@@ -33,7 +33,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import materialize, only, table, text_batches, text_or_empty
+from .common import materialize, only, scratch, table, text_batches, text_or_empty
 
 LENGTH = 400
 GRAM = 32
@@ -363,9 +363,11 @@ def repeated_ranges(records: DataFrame) -> DataFrame:
 
     route is "order" where the neighbours settle it, "open" where hashes of the strings had to.
     """
-    after = neighbours(records, "after", "before").select(*ANCHOR, F.col("other_shared").alias("before"), F.col("key_shared").alias("after"))
-    before = neighbours(records, "before", "after").select(*ANCHOR, F.col("key_shared").alias("before"), F.col("other_shared").alias("after"))
-    lists = after.unionByName(before).groupBy(*ANCHOR).agg(F.collect_list("before").alias("before"), F.collect_list("after").alias("after"))  # four at most
+
+    def both_orders() -> DataFrame:
+        after = neighbours(records, "after", "before").select(*ANCHOR, F.col("other_shared").alias("before"), F.col("key_shared").alias("after"))
+        before = neighbours(records, "before", "after").select(*ANCHOR, F.col("key_shared").alias("before"), F.col("other_shared").alias("after"))
+        return after.unionByName(before).groupBy(*ANCHOR).agg(F.collect_list("before").alias("before"), F.collect_list("after").alias("after"))  # four at most
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -375,7 +377,8 @@ def repeated_ranges(records: DataFrame) -> DataFrame:
                 out += [(doc, rid, at, low, high, False) for low, high in found] + [(doc, rid, at, low, high, True) for low, high in free]
             yield pd.DataFrame(out, columns=[*ANCHOR, "low", "high", "open"])
 
-    settled = materialize(lists.mapInPandas(run, "doc long, rid long, at int, low int, high int, open boolean"), "settled")
+    with scratch(records.sparkSession):
+        settled = materialize(both_orders().mapInPandas(run, "doc long, rid long, at int, low int, high int, open boolean"), "settled", outlive=True)
     sure = settled.where("not open").drop("open").withColumn("route", F.lit("order"))
     return sure.unionByName(open_ranges(records, settled.where("open").drop("open")).withColumn("route", F.lit("open")))
 
@@ -406,9 +409,10 @@ def ranges_by_route(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = materialize(found.groupBy("gram", "span").agg(F.count("*").alias("n"), one.alias("one")).select("gram", "span", "n", "one.*"), "classes")
     several = classes.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1").select("gram")
     shared_grams = classes.join(several, "gram")
-    records = materialize(contexts(rows, shared_grams), "contexts")
+    with scratch(rows.sparkSession):
+        settled = materialize(repeated_ranges(materialize(contexts(rows, shared_grams), "contexts")), "ranges", outlive=True)
     whole = classes.where("n > 1").select("gram", "span", (F.col("at") - F.col("last")).alias("low"), (F.col("at") - F.col("first")).alias("high"), F.lit("whole").alias("route"))
-    part = repeated_ranges(records).join(shared_grams.where("n = 1").select("gram", "span", *ANCHOR), ANCHOR).select("gram", "span", "low", "high", "route")
+    part = settled.join(shared_grams.where("n = 1").select("gram", "span", *ANCHOR), ANCHOR).select("gram", "span", "low", "high", "route")
     return found, whole.unionByName(part)
 
 
