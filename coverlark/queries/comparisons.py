@@ -10,7 +10,7 @@ from ..functions.prefix import ranked
 from ..functions.state import keep
 from ..operators import balance, compare, coverage, selection
 from ..plans import sensitivity
-from .base import CUSTOMERS_SQL, FEATURES, PERCENTILES_SQL, VECTORS_SQL, customers, d2_sql, query, table, vectors
+from .base import CUSTOMERS_SQL, FEATURES, GROUPS, PERCENTILES_SQL, VECTORS_SQL, customers, d2_sql, query, table, vectors
 from .panels import DISTANCES_SQL, REPRESENTATIVES_SQL, SIZES, _panel, ladder_sql
 
 
@@ -204,12 +204,24 @@ def scale_pairs(spark, sf_dir):
     return sensitivity.scale_pairs(_scale_distances(spark, sf_dir)).withColumns({c: F.round(c, 8) for c in ("r_max", "r_mean")})
 
 
-@query()
+SWAPPED = ["s_acctbal", *[f"{family}_{k}" for family in "abc" for k in (1, 2)]]
+SWAPPED_SQL = f"""{SCALES_SQL},
+picked AS (SELECT item, grp, family, k, value FROM values_ WHERE k IN (1, 2)),
+wide AS (SELECT item, grp, s_acctbal, {', '.join(f"max(value) FILTER (family = '{c[0]}' AND k = {c[2]}) AS {c}" for c in SWAPPED[1:])} FROM picked JOIN supplier ON s_suppkey = item GROUP BY 1, 2, 3 HAVING count(*) = 6),
+long AS (SELECT item, grp, feature, value FROM wide UNPIVOT (value FOR feature IN ({', '.join(SWAPPED)}))),
+weighted AS (SELECT l.*, 1.0::DOUBLE / count(*) OVER (PARTITION BY feature, grp) / (SELECT count(DISTINCT grp) FROM wide) AS w FROM long l),
+levels AS (SELECT feature, value, sum(w) AS w FROM weighted GROUP BY ALL),
+steps AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM levels),
+placed AS (SELECT item, grp, feature, below + w / 2 AS p FROM long JOIN steps USING (feature, value))"""
+
+
+@query(f"WITH {SWAPPED_SQL} SELECT item, grp, {', '.join(f"round(max(p) FILTER (feature = '{c}'), 9) AS {c}" for c in SWAPPED)} FROM placed GROUP BY 1, 2")
 def swapped_scales(spark, sf_dir):
     values = _scale_values(spark, sf_dir)
     whole = values.where("k in (1, 2)").groupBy("item").count().where("count = 6").select("item")
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("item"), F.col("s_nationkey").alias("grp"), "s_acctbal").join(whole, "item")
-    return sensitivity.swap_scales(s, values.join(whole, "item"), "item", "grp", ["s_acctbal"], (1, 2), ["a", "b", "c"])
+    found = sensitivity.swap_scales(s, values.join(whole, "item"), "item", "grp", ["s_acctbal"], (1, 2), ["a", "b", "c"])
+    return found.select("item", "grp", *[F.round(c, 9).alias(c) for c in SWAPPED])
 
 
 @query()
@@ -231,7 +243,16 @@ def update_stability(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@query()
+SCENARIOS_SQL = f"""v AS (SELECT vec_id::VARCHAR AS item, (vec_id % {GROUPS})::VARCHAR AS grp FROM embeddings),
+sizes AS (SELECT grp, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, sha256('{selection.NAMESPACE}' || grp)) AS big FROM v GROUP BY grp),
+keyed AS (SELECT name, item, grp, n, big, sha256('scenario-v1|' || name || '|' || item) AS key FROM v JOIN sizes USING (grp), (SELECT unnest({list(sensitivity.SCENARIOS)}) AS name)),
+drawn AS (SELECT *, 'new-' || key[1:16] AS copy, row_number() OVER (PARTITION BY name ORDER BY key, item) AS place, row_number() OVER (PARTITION BY name, grp ORDER BY key, item) AS own, row_number() OVER (PARTITION BY name, n = 1 ORDER BY key, item) AS lone FROM keyed),
+changed AS (
+  SELECT name, item, CASE WHEN name = 'split_largest' AND big = 1 AND own <= 50 THEN grp || '-split' WHEN name = 'merge_singletons' AND n = 1 AND lone <= 50 THEN 'merged' ELSE grp END AS grp FROM drawn WHERE NOT (name IN ('remove', 'replace') AND place <= 50)
+  UNION ALL SELECT name, copy, CASE WHEN name = 'new_groups' THEN 'group-' || copy ELSE grp END FROM drawn WHERE (name IN ('add', 'replace', 'new_groups') AND place <= 50) OR (name = 'grow_largest' AND big <= 10 AND own <= 5))"""
+
+
+@query(f"WITH {SCENARIOS_SQL} SELECT name AS scenario, count(*) AS n_rows, count(DISTINCT item) AS items, count(DISTINCT grp) AS groups FROM changed GROUP BY 1")
 def scenario_sizes(spark, sf_dir):
     """Items, distinct items and groups of each scenario's universe."""
     items = vectors(spark, sf_dir).select("item", "grp")
