@@ -167,13 +167,13 @@ def permutation_invariance(spark, sf_dir):
 
 
 def _scale_values(spark, sf_dir):
-    """Measures of suppliers' lines at five scales (line numbers) as a long table of three families."""
-    li = table(spark, sf_dir, "lineitem").where("l_linenumber <= 5").groupBy(F.col("l_suppkey").alias("item"), F.col("l_linenumber").cast("int").alias("k")).agg(F.max("l_quantity").alias("a"), F.max("l_extendedprice").alias("b"), F.max("l_discount").alias("c"))
+    """Measures of suppliers' lines at seven scales (line numbers) as a long table of three families."""
+    li = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("item"), F.col("l_linenumber").cast("int").alias("k")).agg(F.max("l_quantity").alias("a"), F.max("l_extendedprice").alias("b"), F.max("l_discount").alias("c"))
     long = li.unpivot(["item", "k"], ["a", "b", "c"], "family", "value")
     return long.join(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("item"), F.col("s_nationkey").alias("grp")), "item")
 
 
-SCALES_SQL = """li AS (SELECT l_suppkey AS item, l_linenumber::INT AS k, max(l_quantity) AS a, max(l_extendedprice) AS b, max(l_discount) AS c FROM lineitem WHERE l_linenumber <= 5 GROUP BY 1, 2),
+SCALES_SQL = """li AS (SELECT l_suppkey AS item, l_linenumber::INT AS k, max(l_quantity) AS a, max(l_extendedprice) AS b, max(l_discount) AS c FROM lineitem GROUP BY 1, 2),
 values_ AS (SELECT u.item, s_nationkey AS grp, k, family, value FROM (SELECT * FROM li UNPIVOT (value FOR family IN (a, b, c))) u JOIN supplier ON s_suppkey = u.item),
 sizes AS (SELECT grp, count(DISTINCT item) AS n FROM values_ GROUP BY 1),
 ws AS (SELECT v.*, 1.0::DOUBLE / n / (SELECT count(*) FROM sizes) AS w FROM values_ v JOIN sizes USING (grp)),
@@ -198,7 +198,7 @@ def scale_distances(spark, sf_dir):
     return _scale_distances(spark, sf_dir).withColumn("distance", F.round("distance", 8))
 
 
-@query(f"""WITH {SCALES_SQL}, f AS (SELECT left_k AS k, right_k AS t, distance AS d FROM sd UNION ALL SELECT right_k, left_k, distance FROM sd UNION ALL SELECT unnest([1, 2, 3, 4, 5]), unnest([1, 2, 3, 4, 5]), 0)
+@query(f"""WITH {SCALES_SQL}, f AS (SELECT left_k AS k, right_k AS t, distance AS d FROM sd UNION ALL SELECT right_k, left_k, distance FROM sd UNION ALL SELECT unnest([1, 2, 3, 4, 5, 6, 7]), unnest([1, 2, 3, 4, 5, 6, 7]), 0)
 SELECT a.t AS left_k, b.t AS right_k, round(max(least(a.d, b.d)), 8) AS r_max, round(avg(least(a.d, b.d)), 8) AS r_mean FROM f a JOIN f b ON a.k = b.k AND a.t < b.t GROUP BY 1, 2""")
 def scale_pairs(spark, sf_dir):
     return sensitivity.scale_pairs(_scale_distances(spark, sf_dir)).withColumns({c: F.round(c, 8) for c in ("r_max", "r_mean")})
