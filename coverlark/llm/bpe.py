@@ -23,13 +23,13 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import only, table, text_batches, text_or_empty
+from .common import only, release, table, text_batches, text_or_empty
 
 SCAN = 128
 #: Entries of a worker's memo of white-space separated chunks and of words; when full, what the current texts don't use goes.
-MEMO = 150_000
+MEMO = 100_000
 #: Characters of text whose new words are merged together.
-BLOCK = 2_000_000
+BLOCK = 500_000
 #: Marks a special token among chunks: a character that no chunk can begin with, for it is white space.
 SPECIAL = "\n"
 NONE = 1 << 62
@@ -241,6 +241,7 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             out.insert(0, "doc_id", pdf["doc_id"])
             yield out
+        release()
 
     return only(docs, ["doc_id", "text"]).select("doc_id", text_or_empty().alias("text")).mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

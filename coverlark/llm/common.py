@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -61,6 +63,13 @@ def text_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) ->
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system, for workers outlive their tasks and several of them share an executor."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 

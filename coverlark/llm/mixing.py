@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import fresh, materialize, only, scratch, table, text_batches, text_or_empty
+from .common import fresh, materialize, only, release, scratch, table, text_batches, text_or_empty
 from .hashing import BUCKETS, blocks, word_ids
 
 TRAIN_ROWS = 3000
@@ -121,6 +121,7 @@ def memberships(docs: DataFrame, net: Softmax) -> DataFrame:
                 p += list(shared.value.posteriors(words))
                 sizes += [len(w) for w in words]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "tokens": sizes, "posteriors": p}, columns=["doc_id", "tokens", "posteriors"])
+        release()
 
     return only(docs, ["doc_id", "text"]).select("doc_id", text_or_empty().alias("text")).mapInPandas(run, "doc_id long, tokens long, posteriors array<double>")
 
@@ -254,6 +255,7 @@ def mixed(docs: DataFrame, net: Softmax, targets: dict[str, float] = TARGETS) ->
     @F.pandas_udf(T.DoubleType())
     def rate_of(text: pd.Series) -> pd.Series:
         rates = [replay(shared.value.posteriors(words), done, size) for words, _, _ in blocks(text.tolist())]
+        release()
         return pd.Series(np.concatenate(rates) if rates else np.empty(0))
 
     rate, copies, each = (fresh(docs, name) for name in ("rate", "copies", "each"))

@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import materialize, only, table, text_batches, text_or_empty
+from .common import materialize, only, release, table, text_batches, text_or_empty
 
 LABELLED_ROWS = 8000
 ROUNDS = 4
@@ -201,6 +201,7 @@ def views(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "x": [features(t, s, x) for t, s, x in zip(pdf["text"], pdf["source"], pdf["lang"], strict=True)]})
+        release()
 
     rows = only(docs, ["doc_id", "text", "source", "lang"]).select("doc_id", text_or_empty().alias("text"), "source", "lang")
     return materialize(rows.mapInPandas(run, "doc_id long, x array<float>"), "views")
@@ -299,6 +300,7 @@ def keep_good(docs: DataFrame, net: CoTrained) -> DataFrame:
     @F.pandas_udf(T.BooleanType())
     def keep(text: pd.Series, source: pd.Series, lang: pd.Series) -> pd.Series:
         x = np.array([features(t, s, x) for t, s, x in zip(text, source, lang, strict=True)], np.float64).reshape(-1, CONTENT + METADATA)
+        release()
         return pd.Series(shared.value.scores(x)[1] >= shared.value.threshold)
 
     return docs.where(keep(text_or_empty(), F.col("source"), F.col("lang")))
