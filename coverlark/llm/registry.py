@@ -2,6 +2,7 @@
 
 from .bpe import op9_bpe
 from .exact_dedup import OP6_SQL, op6_exact_dedup
+from .language import op12_language
 from .licenses import op10_licenses
 from .mixing import op7_mixing
 from .quality import op4_quality
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_bpe": op9_bpe,
     "op10_licenses": op10_licenses,
+    "op12_language": op12_language,
 }
 ORACLES = {
     "op6_exact_dedup": OP6_SQL,
