@@ -1,6 +1,7 @@
 """The queries of this folder and the SQL of those that SQL can express."""
 
 from .bpe import op9_bpe
+from .collocations import OP13_SQL, op13_collocations
 from .exact_dedup import OP6_SQL, op6_exact_dedup
 from .language import op12_language
 from .licenses import op10_licenses
@@ -24,7 +25,9 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_licenses": op10_licenses,
     "op12_language": op12_language,
+    "op13_collocations": op13_collocations,
 }
 ORACLES = {
     "op6_exact_dedup": OP6_SQL,
+    "op13_collocations": OP13_SQL,
 }
