@@ -39,6 +39,7 @@ CHARS, OWN = 400_000, 100_000
 #: Documents of more characters are learnt from only where a language has no others.
 LONGEST = 20_000
 PIECE = 512
+SPARE = 8
 #: Symbols: 0 between words, then letters of their own, letters that share a symbol, and what no text has, between documents.
 LETTERS, OTHERS, BETWEEN, SYMBOLS = 46, 16, 63, 64
 UNKNOWN = "und"
@@ -196,9 +197,12 @@ def learn(docs: DataFrame, languages: int = LANGUAGES, rows: int = ROWS, chars:
     if not counted:
         return Model()
     each = max(1, rows // len(counted))
+    # Of a language with many documents only those with the least hashes are ranked, SPARE for each that is wanted.
+    least = [(r.lang, min((1 << 63) - 1, (SPARE * each << 64) // r.n - (1 << 63))) for r in counted]
+    known = known.join(F.broadcast(docs.sparkSession.createDataFrame(least, "lang string, most long")), "lang").where("xxhash64(doc_id) <= most")
     long = F.length("text") > LONGEST
     order = Window.partitionBy("lang").orderBy(long, F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    some = known.where(F.col("lang").isin([r.lang for r in counted])).withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
+    some = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
     taken: dict[str, dict[str, None]] = {}
     for r in some.where(~long | (F.col("place") == 1)).orderBy("lang", "place").select("lang", "text").collect():
         taken.setdefault(r.lang, {})[r.text] = None

@@ -6,6 +6,7 @@ from .exact_dedup import OP6_SQL, op6_exact_dedup
 from .language import op12_language
 from .licenses import op10_licenses
 from .mixing import op7_mixing
+from .negatives import OP11_SQL, op11_negatives
 from .quality import op4_quality
 from .secrets import op8_secrets
 from .simhash import op5_simhash
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_bpe": op9_bpe,
     "op10_licenses": op10_licenses,
+    "op11_negatives": op11_negatives,
     "op12_language": op12_language,
     "op13_collocations": op13_collocations,
 }
 ORACLES = {
     "op6_exact_dedup": OP6_SQL,
+    "op11_negatives": OP11_SQL,
     "op13_collocations": OP13_SQL,
 }
