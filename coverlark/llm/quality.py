@@ -2,15 +2,21 @@
 
 The content view looks at words and characters, the metadata view at what describes the page without reading it: source,
 language, size and the layout of its lines. Each view has a logistic regression on standardised columns and their squares.
-In every round each view labels the documents that it is surest of, and these pseudo-labels train the *other* view. At
-the end each view is calibrated on labelled rows that trained neither, and the calibrated log odds are combined by a small
-logistic regression on the same rows.
-
-The pool is the whole corpus: views are computed once and written, a round counts both views' log odds in bins to find
-the surest share, and Newton steps sum gradients and Hessians of all pseudo-labelled documents in the tasks. Which round
-took a document follows from the thresholds of each round, so tasks replay them and no label table is rewritten. Only
-labelled rows are sampled: at most ``LABELLED_ROWS``, chosen by a hash of their ids (a documented bound); others are in
-the pool. Pseudo-labels together weigh at most as much as the labelled rows, so that the size of the corpus changes nothing.
+In every round each view labels those documents of a part of the pool that it is sure of, and these pseudo-labels train the
+*other* view: it moves to the minimum of its penalised log loss over its labelled and pseudo-labelled rows. A sixth of the labelled rows guards the
+exchange: a view whose log loss there would rise forgets the round and takes no more lessons, though it still teaches. At
+the end each view is calibrated on the third of the labelled rows that trained neither, and the calibrated log odds are
+combined by a small logistic regression on the same rows; views that are combined worse after the rounds than before them
+are taken as they were before.
+
+The pool is the whole corpus. Each round looks at its own part of it, by a hash of the features, so that pseudo-labels are
+not those of the oddest documents alone: there a view labels every document whose log odds it puts beyond ``SURE``. The
+pseudo-labels of a class weigh together as much as the labelled rows of that class at most, so neither the size of the
+corpus nor the share of sure documents moves the balance. Newton steps sum losses, gradients and Hessians of all
+pseudo-labelled documents in the tasks; a step that would raise the loss is halved, so no view can run away where labels
+are nearly separable. Which round took a document follows from its part, so tasks replay the teachers and no label table
+is written. Only labelled rows are sampled: at most ``LABELLED_ROWS``, chosen by a hash of their ids (a documented bound);
+others are in the pool.
 
 Every document is scored. A document is rejected when its score is below the threshold that loses at most ``LOSS`` of the
 good documents among the calibration rows.
@@ -20,7 +26,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -31,10 +37,10 @@ from .common import materialize, only, release, table, text_batches, text_or_emp
 
 LABELLED_ROWS = 8000
 ROUNDS = 4
-NEWTON = 2
-SURE_SHARE = 0.1
-#: Log odds beyond which a view is sure, and the bins of log odds in a unit.
-SURE, BINS = 2, 16
+#: Newton steps of a round at most, halved ones included, and the expected gain for each labelled row below which they end.
+STEPS, GAIN = 12, 1e-4
+#: Log odds beyond which a view is sure.
+SURE = 2.0
 LOSS = 0.002
 HASHED = 32
 #: Byte classes of UTF-8 text, by byte.
@@ -82,32 +88,55 @@ def design(z: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(z)), z, z * z])
 
 
-def gradient(d: np.ndarray, y: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gradient and Hessian of the log loss, summed over the rows of a design matrix."""
+def log_loss(d: np.ndarray, y: np.ndarray, theta: np.ndarray) -> float:
+    """Log loss, summed over the rows of a design matrix."""
+    logit = d @ theta
+    return float((np.logaddexp(0, logit) - y * logit).sum())
+
+
+def slopes(d: np.ndarray, y: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """Log loss, gradient and Hessian in one vector, summed over the rows of a design matrix."""
     p = 1 / (1 + np.exp(-np.clip(d @ theta, -30, 30)))
-    return d.T @ (p - y), (d * (p * (1 - p) + 1e-6)[:, None]).T @ d
+    return np.concatenate([[log_loss(d, y, theta)], d.T @ (p - y), ((d * (p * (1 - p))[:, None]).T @ d).ravel()])
 
 
-def newton(theta: np.ndarray, grad: np.ndarray, hess: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """One step with a ridge penalty on all but the constant."""
-    penalty = np.full(len(theta), ridge)
-    penalty[0] = 1e-6
-    return theta - np.linalg.solve(hess + np.diag(penalty), grad + penalty * theta)
+class Descent:
+    """Newton steps to the minimum of a penalised log loss, whose sums come from outside. A step that raises it is halved."""
+
+    def __init__(self, theta: np.ndarray, rows: float, ridge: float = 1.0):
+        self.theta, self.best, self.value, self.done = theta, theta, np.inf, False
+        self.least = GAIN * rows
+        self.penalty = np.full(len(theta), ridge)
+        self.penalty[0] = 1e-6
+
+    def take(self, sums: np.ndarray) -> None:
+        """Go on from the sums at ``theta``, which is then the next place to look at; ``best`` is the best place so far."""
+        k = len(self.theta)
+        value = sums[0] + (self.penalty * self.theta**2).sum() / 2
+        if value > self.value:
+            self.step = self.step / 2
+        else:
+            self.best, self.value = self.theta, value
+            grad = sums[1 : k + 1] + self.penalty * self.theta
+            self.step = -np.linalg.solve(sums[k + 1 :].reshape(k, k) + np.diag(self.penalty), grad)
+            self.expected = -grad @ self.step / 2
+        self.theta = self.best + self.step
+        self.done = self.expected < self.least or np.abs(self.step).max() < 1e-9
 
 
 def fitted(d: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Logistic regression on rows that are at hand."""
-    theta = np.zeros(d.shape[1])
-    for _ in range(15):
-        last, theta = theta, newton(theta, *gradient(d, y, theta))
-        if np.abs(theta - last).max() < 1e-5:
+    descent = Descent(np.zeros(d.shape[1]), 1e-6 * len(y))
+    for _ in range(10 * STEPS):
+        descent.take(slopes(d, y, descent.theta))
+        if descent.done:
             break
-    return theta
+    return descent.best
 
 
 @dataclass
 class Scaled:
-    """A small logistic regression with its own scale, for calibration and combination."""
+    """A small logistic regression with its own scale, for calibration and combination. Higher log odds never lower the result."""
 
     mean: np.ndarray
     scale: np.ndarray
@@ -116,10 +145,11 @@ class Scaled:
     @classmethod
     def of(cls, x: np.ndarray, y: np.ndarray) -> Scaled:
         mean, scale = x.mean(0), x.std(0) + 1e-6
-        return cls(mean, scale, fitted(design((x - mean) / scale), y))
+        theta = fitted(np.column_stack([np.ones(len(x)), (x - mean) / scale]), y)
+        return cls(mean, scale, np.append(theta[0], np.maximum(theta[1:], 0)))
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(design((x - self.mean) / self.scale) @ self.theta, -30, 30)
+        return np.clip((x - self.mean) / self.scale @ self.theta[1:] + self.theta[0], -30, 30)
 
 
 @dataclass
@@ -129,6 +159,7 @@ class CoTrained:
     thetas: list[np.ndarray] = field(default_factory=list)
     calibrate: list[Scaled] = field(default_factory=list)
     combine: Scaled | None = None
+    loss: float = np.inf
     threshold: float = 0.0
 
     def designs(self, x: np.ndarray) -> list[np.ndarray]:
@@ -148,31 +179,25 @@ class CoTrained:
         return 1 / (1 + np.exp(-each)), 1 / (1 + np.exp(-self.combine.logit(each)))
 
 
-#: A round's lesson: the teacher's theta, and the bins below and from which its labels are taken.
-Lesson = tuple[np.ndarray, int, int]
-
+#: What a pupil has been taught: the number of the part of the pool, and the teacher's theta then.
+Lesson = tuple[int, np.ndarray]
 
-def bins_of(d: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    return np.floor((np.clip(d @ theta, -30, 30) + 30) * BINS).astype(np.int64)
 
+def parts_of(x: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the pool that each row of features is in; equal rows are in one."""
+    bits = np.ascontiguousarray(x, np.float32).view(np.uint32).astype(np.uint64)
+    weights = np.arange(1, 2 * bits.shape[1], 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((bits * weights).sum(1, dtype=np.uint64) >> np.uint64(40)).astype(np.int64) % parts
 
-def taught(designs: list[np.ndarray], lessons: list[list[Lesson]]) -> list[np.ndarray]:
-    """For each pupil the pseudo-label that a row got, in the first round that took it; -1 for none."""
-    out = []
-    for pupil, own in enumerate(lessons):
-        label = np.full(len(designs[0]), -1)
-        for theta, low, high in own:
-            at = bins_of(designs[1 - pupil], theta)
-            label = np.where(label >= 0, label, np.where(at < low, 0, np.where(at >= high, 1, -1)))
-        out.append(label)
-    return out
 
-
-def cuts(counts: np.ndarray, down: int, up: int) -> tuple[int, int]:
-    """The bins below and from which lie the surest ``down`` and ``up`` rows, a last bin whole, where the view is sure."""
-    low = int(np.searchsorted(np.cumsum(counts), down)) + 1
-    high = len(counts) - 1 - int(np.searchsorted(np.cumsum(counts[::-1]), up))
-    return min(low, (30 - SURE) * BINS), max(high, (30 + SURE) * BINS + 1)
+def taught(designs: list[np.ndarray], part: np.ndarray, pupil: int, lessons: list[Lesson]) -> np.ndarray:
+    """The pseudo-label that each row has for the pupil; -1 for none."""
+    label = np.full(len(part), -1)
+    for number, theta in lessons:
+        here = np.flatnonzero(part == number)
+        logit = designs[1 - pupil][here] @ theta
+        label[here] = np.where(logit <= -SURE, 0, np.where(logit >= SURE, 1, -1))
+    return label
 
 
 def _sums(rows: DataFrame, values: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
@@ -207,10 +232,11 @@ def views(docs: DataFrame) -> DataFrame:
     return materialize(rows.mapInPandas(run, "doc_id long, x array<float>"), "views")
 
 
-def fit(seen: DataFrame, labels: DataFrame, labelled: int = LABELLED_ROWS, rounds: int = ROUNDS, share: float = SURE_SHARE, loss: float = LOSS) -> CoTrained:
+def fit(seen: DataFrame, labels: DataFrame, labelled: int = LABELLED_ROWS, rounds: int = ROUNDS, loss: float = LOSS) -> CoTrained:
     """A co-trained classifier from the rows of ``views``. Without labels of both classes it scores every document 0.5 and rejects none.
 
-    A document with several labels counts as bad if one of them says so. A third of the labelled rows calibrates.
+    A document with several labels counts as bad if one of them says so. Of six labelled rows four train, the others
+    calibrate, and one of these guards the exchange.
     """
     ids = seen.select("doc_id").where("doc_id is not null").distinct()
     known = only(labels, ["doc_id", "quality"]).where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")).join(ids, "doc_id", "left_semi")
@@ -218,62 +244,74 @@ def fit(seen: DataFrame, labels: DataFrame, labelled: int = LABELLED_ROWS, round
     rows = seen.join(some, "doc_id").toPandas()
     rows = rows.iloc[np.lexsort((rows["doc_id"], [zlib.crc32(str(i).encode()) for i in rows["doc_id"]]))]
     x, y = np.array(rows["x"].tolist(), np.float64).reshape(-1, CONTENT + METADATA), rows["quality"].to_numpy(float)
-    held = np.arange(len(y)) % 3 == 2
-    if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
+    train, guard, held = (np.isin(np.arange(len(y)) % 6, part) for part in ((0, 1, 3, 4), (2,), (2, 5)))
+    if len(set(y[train])) < 2 or len(set(y[held])) < 2:
         return CoTrained()
     moments = _sums(seen, lambda m: np.concatenate([[len(m)], m.sum(0), (m * m).sum(0)]))
     mean, square = np.split(moments[1:] / moments[0], 2)
     net = CoTrained(mean, np.sqrt(np.maximum(square - mean * mean, 0)) + 1e-6)
-    own = [(d, y[~held]) for d in net.designs(x[~held])]
+    own, guards = ([(d, y[part]) for d in net.designs(x[part])] for part in (train, guard))
     net.thetas = [fitted(*o) for o in own]
-    _exchange(net, own, seen.join(some, "doc_id", "left_anti"), rounds, share)
-    raw = [np.clip(d @ t, -30, 30) for d, t in zip(net.designs(x[held]), net.thetas, strict=True)]
-    net.calibrate = [Scaled.of(r[:, None], y[held]) for r in raw]
-    net.combine = Scaled.of(net.logits(x[held]), y[held])
+    before = replace(net, thetas=list(net.thetas))
+    _exchange(net, own, guards, seen.join(some, "doc_id", "left_anti"), rounds)
+    net = min((_calibrated(n, x[held], y[held]) for n in (net, before)), key=lambda n: n.loss)
     score = np.sort(net.scores(x[held])[1][y[held] == 1])
     net.threshold = float(min(score[int(len(score) * loss)], 0.5))
     return net
 
 
-def _exchange(net: CoTrained, own: list[tuple[np.ndarray, np.ndarray]], pool: DataFrame, rounds: int, share: float) -> None:
-    """The rounds of co-training: three jobs each, which bring bin counts, gradients and Hessians to the driver."""
-    rate, size, lessons = own[0][1].mean(), (60 * BINS + 1), [[], []]
-    sizes = [len(t) for t in net.thetas]
-    for _ in range(rounds):
-        thetas = list(net.thetas)
+def _calibrated(net: CoTrained, x: np.ndarray, y: np.ndarray) -> CoTrained:
+    """``net`` with its views calibrated and combined on these rows, and its log loss there."""
+    raw = [np.clip(d @ t, -30, 30) for d, t in zip(net.designs(x), net.thetas, strict=True)]
+    net.calibrate = [Scaled.of(r[:, None], y) for r in raw]
+    net.combine = Scaled.of(net.logits(x), y)
+    logit = net.combine.logit(net.logits(x))
+    net.loss = float((np.logaddexp(0, logit) - y * logit).sum())
+    return net
 
-        def counted(m: np.ndarray) -> np.ndarray:
-            designs = net.designs(m)
-            free = [label < 0 for label in taught(designs, lessons)]
-            return np.concatenate([np.bincount(bins_of(designs[1 - pupil], thetas[1 - pupil])[free[pupil]], minlength=size) for pupil in (0, 1)]).astype(float)
 
-        def slopes(m: np.ndarray) -> np.ndarray:
-            designs, out = net.designs(m), []
-            for d, label, theta in zip(designs, taught(designs, lessons), net.thetas, strict=True):
-                grad, hess = gradient(d[label >= 0], label[label >= 0], theta)
-                out += [[(label >= 0).sum()], grad, hess[np.triu_indices(len(theta))]]
+def _exchange(net: CoTrained, own: list[tuple[np.ndarray, np.ndarray]], guards: list[tuple[np.ndarray, np.ndarray]], pool: DataFrame, rounds: int) -> None:
+    """The rounds of co-training. Both views teach with what they know when a round begins."""
+    lessons: list[list[Lesson]] = [[], []]
+    learns = [0, 1]
+    for number in range(rounds):
+        for v in learns:
+            lessons[v].append((number, net.thetas[1 - v]))
+        for v, theta in _descended(net, own, pool, lessons, learns, rounds).items():
+            if log_loss(*guards[v], theta) > log_loss(*guards[v], net.thetas[v]):
+                lessons[v].pop()
+                learns.remove(v)
+            else:
+                net.thetas[v] = theta
+
+
+def _descended(net: CoTrained, own: list[tuple[np.ndarray, np.ndarray]], pool: DataFrame, lessons: list[list[Lesson]], pupils: list[int], parts: int) -> dict[int, np.ndarray]:
+    """The new theta of each pupil. Each job brings losses, gradients and Hessians by pupil and class to the driver."""
+    descents = {v: Descent(net.thetas[v], len(own[v][1])) for v in pupils}
+    for _ in range(STEPS):
+        moving = {v: d.theta for v, d in descents.items() if not d.done}
+        if not moving:
+            break
+
+        def summed(m: np.ndarray, moving=moving) -> np.ndarray:
+            designs, part, out = net.designs(m), parts_of(m, parts), []
+            for v, theta in moving.items():
+                label = taught(designs, part, v, lessons[v])
+                for k in (0, 1):
+                    rows = designs[v][label == k]
+                    out.append(np.append(len(rows), slopes(rows, np.full(len(rows), k), theta)))
             return np.concatenate(out)
 
-        counts = _sums(pool, counted)
-        if not len(counts):
-            return
-        for pupil, n in enumerate(np.split(counts, 2)):
-            if not lessons[pupil]:
-                whole = n.sum()
-            wanted = int(whole * share)
-            if wanted and n.sum() >= wanted:
-                lessons[pupil].append((thetas[1 - pupil], *cuts(n, max(1, int(wanted * (1 - rate))), max(1, int(wanted * rate)))))
-        for _ in range(NEWTON):
-            got, at = _sums(pool, slopes), 0
-            for v, k in enumerate(sizes):
-                taken, grad, upper = got[at], got[at + 1 : at + 1 + k], got[at + 1 + k : at + 1 + k + k * (k + 1) // 2]
-                at += 1 + k + k * (k + 1) // 2
-                hess = np.zeros((k, k))
-                hess[np.triu_indices(k)] = upper
-                hess = hess + np.triu(hess, 1).T
-                weight = min(1.0, len(own[v][1]) / max(taken, 1))
-                g, h = gradient(*own[v], net.thetas[v])
-                net.thetas[v] = newton(net.thetas[v], g + weight * grad, h + weight * hess)
+        got = _sums(pool, summed)
+        if not len(got):
+            break
+        for v, theta in moving.items():
+            sums = slopes(*own[v], theta)
+            for k in (0, 1):
+                taken, got = np.split(got, [2 + len(theta) + len(theta) ** 2])
+                sums = sums + min(1.0, (own[v][1] == k).sum() / max(taken[0], 1)) * taken[1:]
+            descents[v].take(sums)
+    return {v: d.best for v, d in descents.items()}
 
 
 def score_views(seen: DataFrame, net: CoTrained) -> DataFrame:
