@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import only, table, text_batches, text_or_empty
+from .common import materialize, only, table, text_batches, text_or_empty
 from .hashing import BUCKETS, blocks, word_ids
 
 TRAIN_ROWS = 6000
@@ -211,12 +211,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Cnn:
-    """A calibrated net. Without labels of both classes it scores every text alike."""
+    """A calibrated net with thresholds by language. Without labels of both classes it scores every text alike."""
+    net, trained = fit_net(docs, labels, limit)
+    net.thresholds = thresholds(_scored(docs, net), labels, trained) if trained else None
+    return net
+
+
+def fit_net(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> tuple[Cnn, list[int]]:
+    """A calibrated net without thresholds, and the doc_ids that trained it."""
     rows = training_rows(docs, labels, limit)
     words, toxic = [_unpacked(np.asarray(w, np.int32)) for w in rows["words"]], rows["toxic"].to_numpy()
     held = np.arange(len(rows)) % 5 == 4
     if len(set(toxic[~held])) < 2:
-        return _start(np.random.default_rng(7))
+        return _start(np.random.default_rng(7)), []
     net = train([w for w, h in zip(words, held, strict=True) if not h], toxic[~held])
     if held.any():
         scorer, logits = Scorer(net), []
@@ -225,29 +232,40 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Cnn:
             logits.append(scorer.logits(kept[k : k + 200]))
         logits = np.concatenate(logits)
         net.scale = platt(logits, toxic[held])
-    net.thresholds = thresholds(docs, labels, net, rows["doc_id"][~held].tolist())
-    return net
+    return net, rows["doc_id"][~held].tolist()
 
 
-def thresholds(docs: DataFrame, labels: DataFrame, net: Cnn, trained: list[int]) -> dict[str, float]:
-    """A threshold for each language. The driver gets counts: STEPS numbers a label and language."""
-    shared = docs.sparkSession.sparkContext.broadcast(net)
-    ids = docs.sparkSession.createDataFrame([(int(i),) for i in trained], "doc_id long")  # at most TRAIN_ROWS
-    known = usable(labels).join(F.broadcast(ids), "doc_id", "left_anti")
-    rows = only(docs, ["doc_id", "text", "lang"]).join(known, "doc_id").select(F.coalesce("lang", F.lit("")).alias("lang"), "toxic", text_or_empty().alias("text"))
+def _scored(docs: DataFrame, net: Cnn) -> DataFrame:
+    """doc_id, held_out, lang (null: empty) and score of every row of ``docs``."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)  # of a fixed size: BUCKETS x DIMENSIONS numbers
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
         for pdf in batches:
-            step = np.minimum((scorer.scores(pdf["text"].tolist()) * STEPS).astype(np.int32), STEPS - 1)
-            yield pd.DataFrame({"lang": pdf["lang"], "toxic": pdf["toxic"], "step": step}).groupby(["lang", "toxic", "step"]).size().reset_index(name="n")
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "lang": pdf["lang"], "score": scorer.scores(pdf["text"].tolist())})
+
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    rows = only(docs, ["doc_id", "text", "lang"]).select("doc_id", held.alias("held_out"), F.coalesce("lang", F.lit("")).alias("lang"), text_or_empty().alias("text"))
+    return rows.mapInPandas(run, "doc_id long, held_out boolean, lang string, score double")
 
+
+def thresholds(scored: DataFrame, labels: DataFrame, trained: list[int]) -> dict[str, float]:
+    """A threshold for each language, from the labelled documents that did not train. The driver gets counts: STEPS numbers a label and language."""
+    ids = scored.sparkSession.createDataFrame([(int(i),) for i in trained], "doc_id long")  # at most TRAIN_ROWS
+    known = usable(labels).join(F.broadcast(ids), "doc_id", "left_anti")
+    step = F.least(F.floor(F.col("score") * STEPS), F.lit(STEPS - 1)).cast("int")
     counted: dict[str, np.ndarray] = {}
-    for r in rows.mapInPandas(run, "lang string, toxic int, step int, n long").groupBy("lang", "toxic", "step").agg(F.sum("n").alias("n")).collect():
-        counted.setdefault(r["lang"], np.zeros((2, STEPS), np.int64))[r["toxic"], r["step"]] = r["n"]
+    for r in scored.select("doc_id", "lang", step.alias("step")).join(known, "doc_id").groupBy("lang", "toxic", "step").count().collect():
+        counted.setdefault(r["lang"], np.zeros((2, STEPS), np.int64))[r["toxic"], r["step"]] = r["count"]
     return {lang: best_threshold(*both) for lang, both in sorted(counted.items())}
 
 
+def _flagged(scored: DataFrame, limits: dict[str, float] | None, cut: float = CUT) -> DataFrame:
+    known = scored.sparkSession.createDataFrame([*(limits or {}).items()], "lang string, threshold double")  # a row a language that has one
+    rows = scored.join(F.broadcast(known), "lang", "left").withColumn("threshold", F.coalesce("threshold", F.lit(cut)))
+    return rows.select("doc_id", "held_out", "score", (F.col("score") >= cut).cast("int").alias("predicted"), "threshold", (F.col("score") >= F.col("threshold")).alias("flagged"))
+
+
 def score_documents(docs: DataFrame, net: Cnn, cut: float = CUT) -> DataFrame:
     """doc_id, held_out, score, predicted, threshold and flagged of every row of ``docs``.
 
@@ -255,22 +273,13 @@ def score_documents(docs: DataFrame, net: Cnn, cut: float = CUT) -> DataFrame:
     not held out. A language without a threshold uses ``cut``. A score at a threshold is flagged. Repeated rows repeat; an
     empty table gives no rows. Other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # of a fixed size: BUCKETS x DIMENSIONS numbers
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(shared.value)
-        limits = shared.value.thresholds or {}
-        for pdf in batches:
-            score = scorer.scores(pdf["text"].tolist())
-            limit = np.array([limits.get(x, cut) for x in pdf["lang"]])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": score, "predicted": (score >= cut).astype(np.int32), "threshold": limit, "flagged": score >= limit})
-
-    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
-    rows = only(docs, ["doc_id", "text", "lang"]).select("doc_id", held.alias("held_out"), "lang", text_or_empty().alias("text"))
-    return rows.mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int, threshold double, flagged boolean")
+    return _flagged(_scored(docs, net), net.thresholds, cut)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents are scored once; the thresholds come from the same scores."""
     text_batches(spark)
-    docs = table(spark, sf_dir, "documents")
-    return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    net, trained = fit_net(docs, labels)
+    scored = materialize(_scored(docs, net), "scores")
+    return _flagged(scored, thresholds(scored, labels, trained) if trained else None)
