@@ -34,10 +34,10 @@ def running_sum(df: DataFrame, by: list[str], value: str, amount: str, name: str
     return summed.withColumn(name, (F.col("_inner") + F.coalesce("_offset", zero)).cast(kind)).drop("_inner", "_offset", "_bucket")
 
 
-def ranked(df: DataFrame, number: str, order: list[str], name: str = "rank") -> DataFrame:
+def ranked(df: DataFrame, number: str, order: list[str], name: str = "rank", kind: str = "int") -> DataFrame:
     """Adds ``name``: the place of a row, from 1, in the order of ``order``, whose rows must be distinct. ``number`` rises with that order."""
     placed = keep(with_bucket(df.withColumn("_all", F.lit(0)), ["_all"], number))
     before = Window.partitionBy("_all").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("_all", "_bucket").agg(F.count("*").alias("_n")).withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n", "_all")
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    return placed.join(F.broadcast(offsets), "_bucket").withColumn(name, (F.col("_offset") + within).cast("int")).drop("_bucket", "_offset", "_all")
+    return placed.join(F.broadcast(offsets), "_bucket").withColumn(name, (F.col("_offset") + within).cast(kind)).drop("_bucket", "_offset", "_all")

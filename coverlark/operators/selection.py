@@ -8,7 +8,8 @@ from itertools import accumulate
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.keys import draw_key, item_key, member_key
+from ..functions.keys import MULTIPLIERS, PRIME, draw_key, item_key, member_key, mixed, permuted, round_key
+from ..functions.prefix import ranked
 from ..functions.state import keep
 from ..functions.vectors import exact_means, squared_distance
 
@@ -188,16 +189,49 @@ def largest_groups(df: DataFrame, group: str, n: int, namespace: str = NAMESPACE
 def random_ladders(df: DataFrame, item: str, group: str, replicates: int, size: int, seed: int = 20260824) -> DataFrame:
     """(replicate, rank, group, item): groups in a random order for each replicate, a random item of each; nested in size.
 
-    Randomness is a hash of the seed, the replicate and the id, so it depends on neither order nor partitions.
+    Groups are numbered once by a hash, and items within their group. A replicate permutes the numbers of groups by
+    arithmetic (``functions.keys.permuted``) and looks up the first ``size``, so that its cost does not grow with the table.
+    The permutation is one of a few more numbers than there are groups; those beyond them are left out, and as many more
+    places are looked at. Results depend on neither order nor partitions. Items of a group are drawn evenly up to 2 ** 31.
     """
     spark = df.sparkSession
-    reps = spark.range(replicates).select((F.col("id") + 1).cast("int").alias("replicate"))
-    key = lambda c: F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("replicate").cast("string"), F.col(c).cast("string")), 256)
-    groups = df.select(group).distinct().join(F.broadcast(reps)).withColumn("_g", key(group))
-    ordered = groups.withColumn("rank", F.row_number().over(Window.partitionBy("replicate").orderBy("_g", group))).where(F.col("rank") <= size)
-    items = ordered.select("replicate", "rank", group).join(df.select(item, group), group)
-    best = items.groupBy("replicate", "rank", group).agg(F.min(F.struct(key(item).alias("k"), item)).alias("x"))
-    return best.select("replicate", "rank", group, f"x.{item}")
+    key = lambda c: F.sha2(F.concat(F.lit(f"{seed}|"), F.col(c).cast("string")), 256)
+    share = lambda c: F.conv(F.substring(c, 1, 13), 16, 10).cast("double") / float(1 << 52)
+    sizes = df.groupBy(group).agg(F.count("*").alias("_size")).withColumn("_key", key(group)).withColumn("_number", share("_key"))
+    groups = keep(ranked(sizes, "_number", ["_key", group], "_g", "long").select(group, "_size", (F.col("_g") - 1).alias("_g")))
+    n = groups.count()
+    if not n:
+        return spark.createDataFrame([], f"replicate int, rank int, {group} {df.schema[group].dataType.simpleString()}, {item} {df.schema[item].dataType.simpleString()}")
+    items = df.select(item, group).join(groups.select(group, "_g"), group).withColumn("_key", key(item)).withColumn("_number", F.col("_g") + share("_key"))
+    items = keep(ranked(items, "_number", ["_g", "_key", item], "_i", "long").select(item, "_g", "_i"))
+    groups = groups.join(items.groupBy("_g").agg(F.min("_i").alias("_first")), "_g")
+    rows = math.isqrt(n - 1) + 1
+    columns = -(-n // rows)
+    looked = min(rows * columns, size + rows * columns - n)
+    places = spark.range(replicates * looked).select((F.floor(F.col("id") / looked) + 1).cast("int").alias("replicate"), (F.col("id") % looked).alias("_k"))
+    drawn = places.withColumn("_g", permuted(F.col("_k"), F.col("replicate"), rows, columns, seed)).where(F.col("_g") < n)
+    drawn = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("replicate").orderBy("_k"))).where(F.col("rank") <= size)
+    found = drawn.join(groups, "_g").withColumn("_i", F.col("_first") + mixed(F.col("_g"), F.col("replicate"), F.lit(round_key(seed, -1))) % F.col("_size"))
+    return found.select("replicate", "rank", group, "_i").join(items.select(item, "_i"), "_i").select("replicate", "rank", group, item)
+
+
+def random_ladders_sql(items: str, item: str, group: str, replicates: int, size: int, seed: int = 20260824) -> str:
+    """The same in SQL, as common table expressions that end with ``picks`` (replicate, rank, group, item)."""
+
+    def mix(value: str, step: int) -> str:
+        x = f"(({value} + (replicate::BIGINT * {MULTIPLIERS[1]} + {round_key(seed, step)}) % {PRIME}) % {PRIME})"
+        return f"(({x} * {x}) % {PRIME} * {MULTIPLIERS[1]} % {PRIME})"
+
+    steps = [f"s0 AS (SELECT replicate, k, k // nc AS x, k % nc AS y, n, nr, nc FROM shape, generate_series(1, {replicates}) r(replicate), LATERAL (SELECT unnest(range(0, least(nr * nc, {size} + nr * nc - n))) AS k))"]
+    for step in range(6):
+        moved = f"x, (y + {mix('x', step)}) % nc AS y" if step % 2 else f"(x + {mix('y', step)}) % nr AS x, y"
+        steps.append(f"s{step + 1} AS (SELECT replicate, k, {moved}, n, nr, nc FROM s{step})")
+    return f"""numbered AS (SELECT {group} AS grp, count(*) AS size, row_number() OVER (ORDER BY sha256('{seed}|' || {group}), {group}) - 1 AS g FROM {items} GROUP BY {group}),
+shape AS (SELECT n, nr, (n + nr - 1) // nr AS nc FROM (SELECT n, ceil(sqrt(n::DOUBLE))::BIGINT AS nr FROM (SELECT count(*) AS n FROM numbered))),
+{", ".join(steps)},
+places AS (SELECT replicate, x * nc + y AS g, row_number() OVER (PARTITION BY replicate ORDER BY k) AS rank FROM s6 WHERE x * nc + y < n),
+positions AS (SELECT {item} AS item, {group} AS grp, row_number() OVER (PARTITION BY {group} ORDER BY sha256('{seed}|' || {item}), {item}) - 1 AS place FROM {items}),
+picks AS (SELECT replicate, rank, p.grp, p.item FROM (SELECT replicate, rank, grp, {mix("g", -1)} % size AS place FROM places JOIN numbered USING (g) WHERE rank <= {size}) JOIN positions p USING (grp, place))"""
 
 
 def audit_ladder(ladder: DataFrame, item: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from fractions import Fraction
 from functools import reduce
 
 import numpy as np
@@ -46,56 +47,154 @@ def ablation(df: DataFrame, item: str, group: str, features: list[str], drops: d
     return reduce(DataFrame.unionByName, parts)
 
 
-#: Bytes of the random panels' points, which are broadcast.
+#: Bytes of random panels' points that are broadcast at a time; more panels are sent in slices of replicates.
 POINTS = 1 << 29
 BLOCK = 1024
 
 
+def _panels(df: DataFrame, item: str, ladders: DataFrame, size: int, coords: str) -> Iterator[dict[int, np.ndarray]]:
+    """The points of every random ladder by replicate, as many replicates at a time as ``POINTS`` holds."""
+    points = keep(ladders.where(F.col("rank") <= size).join(df.select(item, coords), item).select("replicate", "rank", coords))
+    shape = points.groupBy("replicate").agg(F.count("*").alias("n"), F.max(F.size(coords)).alias("d")).agg(F.max(F.col("n") * F.col("d") * 8).alias("bytes"), F.min("replicate").alias("low"), F.max("replicate").alias("high")).first()
+    if shape["bytes"] is None:
+        return
+    if shape["bytes"] > POINTS:
+        raise ValueError(f"one random panel of {shape['bytes']} bytes is not broadcast")
+    step = max(1, POINTS // max(shape["bytes"], 1))
+    for low in range(shape["low"], shape["high"] + 1, step):
+        got = points.where(F.col("replicate").between(low, low + step - 1)).toPandas().sort_values(["replicate", "rank"])
+        if len(got):
+            yield {int(r): np.array(own[coords].tolist()) for r, own in got.groupby("replicate")}
+
+
+def _distances(x: np.ndarray, panels: dict[int, np.ndarray], sizes: list[int]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Replicate, panel size and each item's distance to the panel. The least distance is carried from one size to the next."""
+    for replicate, y in panels.items():
+        low, done = np.full(len(x), np.inf), 0
+        for n in sorted(sizes):
+            for k in range(done, min(n, len(y)), 64):
+                d2 = np.zeros((len(x), len(y[k : min(k + 64, n)])))
+                for j in range(x.shape[1]):
+                    d2 += (x[:, j, None] - y[None, k : min(k + 64, n), j]) ** 2
+                low = np.minimum(low, d2.min(axis=1))
+            done = n
+            yield replicate, n, np.sqrt(low)
+
+
 def random_coverage(df: DataFrame, item: str, group: str, ladders: DataFrame, sizes: list[int], coords: str = "coords") -> DataFrame:
     """(replicate, n, group, mean_distance, max_distance, group_size) for every random ladder and panel size.
 
-    All ladders' points are broadcast, a number the caller sets and which is checked. Tasks work in blocks of items of one
-    range of groups, carry the least distance from one panel size to the next, and sum by group before anything is sent: a
-    row for each group of a block, replicate and size, not for each item.
+    The ladders' points are broadcast, a checked number at a time. Tasks work in blocks of items of one range of groups and
+    sum by group before anything is sent: a row for each group of a block, replicate and size, not for each item.
     """
-    points = ladders.where(F.col("rank") <= max(sizes)).join(df.select(item, coords), item).select("replicate", "rank", coords)
-    shape = points.agg(F.count("*").alias("n"), F.max(F.size(coords)).alias("d")).first()
-    if shape["n"] * (shape["d"] or 0) * 8 > POINTS:
-        raise ValueError(f"random panels of {shape['n']} points are not broadcast")
-    got = points.toPandas().sort_values(["replicate", "rank"])
-    shared = df.sparkSession.sparkContext.broadcast({r: np.array(own[coords].tolist()) for r, own in got.groupby("replicate")})
     kind = df.schema[group].dataType.simpleString()
-    order = sorted(sizes)
+    dealt = df.select(item, group, coords).repartitionByRange(group, item).sortWithinPartitions(group).select(group, coords)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), BLOCK):
-                part = pdf.iloc[at : at + BLOCK]
-                x = np.array(part[coords].tolist())
-                names, start = np.unique(part[group].to_numpy(), return_index=True)
-                count = np.diff(start, append=len(part))
-                for replicate, y in shared.value.items():
-                    low, done = np.full(len(x), np.inf), 0
-                    for n in order:
-                        for k in range(done, min(n, len(y)), 64):
-                            d2 = np.zeros((len(x), len(y[k : min(k + 64, n)])))
-                            for j in range(x.shape[1]):
-                                d2 += (x[:, j, None] - y[None, k : min(k + 64, n), j]) ** 2
-                            low = np.minimum(low, d2.min(axis=1))
-                        done = n
-                        distance = np.sqrt(low)
-                        yield pd.DataFrame({"replicate": replicate, "n": n, group: names, "total": np.add.reduceat(distance, start), "most": np.maximum.reduceat(distance, start), "count": count})
+    def sums_of(panels: dict[int, np.ndarray]) -> DataFrame:
+        shared = df.sparkSession.sparkContext.broadcast(panels)
 
-    dealt = df.select(item, group, coords).repartitionByRange(group, item).sortWithinPartitions(group).select(group, coords)
-    sums = dealt.mapInPandas(run, f"replicate int, n int, {group} {kind}, total double, most double, count long")
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for at in range(0, len(pdf), BLOCK):
+                    part = pdf.iloc[at : at + BLOCK]
+                    names, start = np.unique(part[group].to_numpy(), return_index=True)
+                    count = np.diff(start, append=len(part))
+                    found = [(replicate, n, np.add.reduceat(distance, start), np.maximum.reduceat(distance, start)) for replicate, n, distance in _distances(np.array(part[coords].tolist()), shared.value, sizes)]
+                    replicate, n, total, most = zip(*found, strict=True)
+                    each = {"replicate": np.repeat(replicate, len(names)), "n": np.repeat(n, len(names)), "total": np.concatenate(total), "most": np.concatenate(most)}
+                    yield pd.DataFrame({**each, group: np.tile(names, len(found)), "count": np.tile(count, len(found))})
+
+        return dealt.mapInPandas(run, f"replicate int, n int, {group} {kind}, total double, most double, count long")
+
+    none = df.sparkSession.createDataFrame([], f"replicate int, n int, {group} {kind}, total double, most double, count long")
+    sums = reduce(DataFrame.unionByName, map(sums_of, _panels(df, item, ladders, max(sizes), coords)), none)
     found = sums.groupBy("replicate", "n", group).agg(F.sum("total").alias("_t"), F.max("most").alias("max_distance"), F.sum("count").alias("group_size"))
     return found.select("replicate", "n", group, (F.col("_t") / F.col("group_size")).alias("mean_distance"), "max_distance", "group_size")
 
 
-def random_metrics(statistics: DataFrame) -> DataFrame:
-    """(replicate, n) and eight numbers of each random panel, as in ``coverage_summary``; its two quantiles over items are left out."""
+#: The bits of a distance, from the left, that are known after each pass of a weighted selection.
+PASSES = (17, 29, 64)
+#: Weights are whole multiples of 2 ** -PLACES, rounded down.
+PLACES = 120
+QUANTILES = {"weighted_median": Fraction(1, 2), "weighted_p95": Fraction(19, 20)}
+
+
+def random_quantiles(df: DataFrame, item: str, group: str, ladders: DataFrame, sizes: list[int], at: dict[str, Fraction] = QUANTILES, coords: str = "coords") -> DataFrame:
+    """(replicate, n, names of ``at``): balanced weighted quantiles of the distances to every random panel, without interpolation.
+
+    A weighted selection by bits: a pass counts items by the leading bits of their distance and by the size of their group,
+    only within the bracket that the passes before left to a quantile, and the bracket narrows to those bits in which the
+    cumulative weight reaches it. The third pass leaves one distance. Tasks count before they send: no row stands for an
+    item, replicate and size. An item weighs 1 / its group's size; rounding takes less than 2 ** -``PLACES`` for
+    each item from a cumulative weight, and one that is within 2 ** -60 of a quantile reaches it. The driver holds a bracket for each replicate, size and name.
+    """
+    spark, names = df.sparkSession, [*at]
+    counted = df.groupBy(group).agg(F.count("*").alias("_size"))
+    groups = counted.count()
+    weighted = keep(df.join(counted, group).select(coords, "_size").repartitionByRange("_size", coords).sortWithinPartitions("_size"))
+    rows: list[tuple] = []
+    for panels in _panels(df, item, ladders, max(sizes), coords):
+        brackets: dict[tuple[int, int, int], tuple[int, int]] = {}
+        for known, bits in zip((0, *PASSES), PASSES, strict=False):
+            brackets = _narrowed(weighted, panels, sizes, coords, brackets, known, bits, groups, [at[name] for name in names])
+        for replicate in panels:
+            for n in sorted(set(sizes)):
+                if all((replicate, n, q) in brackets for q in range(len(names))):
+                    rows.append((replicate, n, *(float(np.int64(brackets[replicate, n, q][0]).view(np.float64)) for q in range(len(names)))))
+    return spark.createDataFrame(rows, "replicate int, n int, " + ", ".join(f"{name} double" for name in names))
+
+
+def _narrowed(weighted: DataFrame, panels: dict[int, np.ndarray], sizes: list[int], coords: str, brackets: dict, known: int, bits: int, groups: int, at: list[Fraction]) -> dict:
+    """(replicate, n, number of the quantile) -> (its leading ``bits`` bits, weight below them), from those with ``known`` bits."""
+    shared = weighted.sparkSession.sparkContext.broadcast((panels, brackets))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        panels, brackets = shared.value
+        for pdf in batches:
+            for start in range(0, len(pdf), BLOCK):
+                part = pdf.iloc[start : start + BLOCK]
+                group_sizes, size = np.unique(part["_size"].to_numpy(), return_inverse=True)
+                out = []
+                for replicate, n, distance in _distances(np.array(part[coords].tolist()), panels, sizes):
+                    key = distance.view(np.int64)
+                    for q in range(len(at)) if known else (-1,):
+                        inside = np.arange(len(key)) if q < 0 else np.flatnonzero(key >> (64 - known) == brackets[replicate, n, q][0])
+                        prefix, where = np.unique(key[inside] >> (64 - bits), return_inverse=True)
+                        count = np.bincount(where * len(group_sizes) + size[inside], minlength=len(prefix) * len(group_sizes))
+                        filled = np.flatnonzero(count)
+                        out.append((replicate, n, q, len(filled), prefix[filled // len(group_sizes)], group_sizes[filled % len(group_sizes)], count[filled]))
+                replicate, n, q, rows, prefix, own, count = zip(*out, strict=True)
+                yield pd.DataFrame({**{c: np.repeat(v, rows) for c, v in (("replicate", replicate), ("n", n), ("q", q))}, "prefix": np.concatenate(prefix), "size": np.concatenate(own), "count": np.concatenate(count)})
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Of one replicate the first prefix of each size and quantile whose cumulative weight reaches the quantile."""
+        brackets, replicate, out = shared.value[1], int(pdf["replicate"].iloc[0]), []
+        unit = {int(s): (1 << PLACES) // int(s) for s in pdf["size"].unique()}
+        rows = pdf.sort_values(["n", "q", "prefix"], ignore_index=True)
+        n, q, prefix, size, count = (rows[c].tolist() for c in ("n", "q", "prefix", "size", "count"))
+        starts = [k for k in range(len(n)) if not k or (n[k], q[k]) != (n[k - 1], q[k - 1])]
+        for start, end in zip(starts, [*starts[1:], len(n)], strict=True):
+            for number in range(len(at)) if q[start] < 0 else (q[start],):
+                below = total = brackets[replicate, n[start], number][1] if q[start] >= 0 else 0
+                for k in range(start, end):
+                    if k > start and prefix[k] != prefix[k - 1]:
+                        below = total
+                    total += count[k] * unit[size[k]]
+                    if (k + 1 == end or prefix[k + 1] != prefix[k]) and (total + (1 << 60)) * at[number].denominator >= at[number].numerator * (groups << PLACES):
+                        out.append((replicate, n[start], number, prefix[k], str(below)))
+                        break
+        return pd.DataFrame(out, columns=["replicate", "n", "q", "prefix", "below"])
+
+    counts = weighted.mapInPandas(run, "replicate int, n int, q int, prefix long, size long, count long")
+    counts = counts.groupBy("replicate", "n", "q", "prefix", "size").agg(F.sum("count").alias("count"))
+    chosen = counts.groupBy("replicate").applyInPandas(choose, "replicate int, n int, q int, prefix long, below string")
+    return {(r["replicate"], r["n"], r["q"]): (r["prefix"], int(r["below"])) for r in chosen.collect()}
+
+
+def random_metrics(statistics: DataFrame, quantiles: DataFrame) -> DataFrame:
+    """(replicate, n) and the ten numbers of each random panel, as in ``coverage_summary``, from ``random_coverage`` and ``random_quantiles``."""
     disc = lambda q, c: F.expr(f"percentile_disc({q}) within group (order by {c})")
-    return statistics.groupBy("replicate", "n").agg(
+    by_group = statistics.groupBy("replicate", "n").agg(
         F.avg("mean_distance").alias("weighted_mean"),
         F.max("max_distance").alias("unweighted_max"),
         disc(0.5, "mean_distance").alias("median_group_mean"),
@@ -105,6 +204,7 @@ def random_metrics(statistics: DataFrame) -> DataFrame:
         disc(0.95, "max_distance").alias("p95_group_max"),
         F.max("max_distance").alias("max_group_max"),
     )
+    return by_group.join(quantiles, ["replicate", "n"])
 
 
 def scale_percentiles(values: DataFrame, item: str, group: str) -> DataFrame:

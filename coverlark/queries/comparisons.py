@@ -92,20 +92,21 @@ def group_abundance(spark, sf_dir):
     return compare.abundance(_two_ladders(spark, sf_dir)[0].withColumn("grp", F.col("item") % 7), "grp", SIZES)
 
 
-RANDOM_SQL = f"""{VECTORS_SQL}, reps AS (SELECT unnest(generate_series(1, 200)) AS replicate),
-g AS (SELECT DISTINCT replicate, grp FROM vectors, reps),
-o AS (SELECT replicate, grp, row_number() OVER (PARTITION BY replicate ORDER BY sha256('20260824|' || replicate || '|' || grp), grp) AS rank FROM g),
-picks AS (SELECT o.replicate, o.rank, arg_min(v.item, sha256('20260824|' || o.replicate || '|' || v.item)) AS item FROM o JOIN vectors v ON v.grp = o.grp WHERE rank <= 20 GROUP BY 1, 2),
+RANDOM_SQL = f"""{VECTORS_SQL}, {selection.random_ladders_sql("vectors", "item", "grp", 200, 20)},
 rd AS (SELECT replicate, n, v.item, v.grp, sqrt(min({d2_sql('v.c', 'p.c')})) AS distance FROM vectors v, (SELECT k.replicate, k.rank, x.c FROM picks k JOIN vectors x ON x.item = k.item) p, (SELECT unnest({SIZES}) AS n) WHERE p.rank <= n GROUP BY ALL),
-metric AS (SELECT replicate, n, avg(m) AS weighted_mean, max(x) AS unweighted_max, quantile_disc(m, 0.5) AS median_group_mean, quantile_disc(m, 0.95) AS p95_group_mean, max(m) AS max_group_mean,
-  quantile_disc(x, 0.5) AS median_group_max, quantile_disc(x, 0.95) AS p95_group_max, max(x) AS max_group_max FROM (SELECT replicate, n, grp, avg(distance) AS m, max(distance) AS x FROM rd GROUP BY ALL) GROUP BY ALL)"""
-RANDOM_METRICS = ["weighted_mean", "unweighted_max", "median_group_mean", "p95_group_mean", "max_group_mean", "median_group_max", "p95_group_max", "max_group_max"]
+gs AS (SELECT grp, count(*) AS size FROM vectors GROUP BY 1),
+cumulative AS (SELECT replicate, n, distance, sum(1.0::DOUBLE / size) OVER (PARTITION BY replicate, n ORDER BY distance) / (SELECT count(*) FROM gs) AS share FROM rd JOIN gs USING (grp)),
+weighted AS (SELECT replicate, n, min(distance) FILTER (share >= 0.5 - 1e-12) AS weighted_median, min(distance) FILTER (share >= 0.95 - 1e-12) AS weighted_p95 FROM cumulative GROUP BY 1, 2),
+by_group AS (SELECT replicate, n, avg(m) AS weighted_mean, max(x) AS unweighted_max, quantile_disc(m, 0.5) AS median_group_mean, quantile_disc(m, 0.95) AS p95_group_mean, max(m) AS max_group_mean,
+  quantile_disc(x, 0.5) AS median_group_max, quantile_disc(x, 0.95) AS p95_group_max, max(x) AS max_group_max FROM (SELECT replicate, n, grp, avg(distance) AS m, max(distance) AS x FROM rd GROUP BY ALL) GROUP BY ALL),
+metric AS (SELECT * FROM by_group JOIN weighted USING (replicate, n))"""
+RANDOM_METRICS = ["weighted_mean", "weighted_median", "weighted_p95", "unweighted_max", "median_group_mean", "p95_group_mean", "max_group_mean", "median_group_max", "p95_group_max", "max_group_max"]
 
 
 def _random(spark, sf_dir):
     items = vectors(spark, sf_dir)
     ladders = selection.random_ladders(items, "item", "grp", 200, 20)
-    return sensitivity.random_metrics(sensitivity.random_coverage(items, "item", "grp", ladders, SIZES))
+    return sensitivity.random_metrics(sensitivity.random_coverage(items, "item", "grp", ladders, SIZES), sensitivity.random_quantiles(items, "item", "grp", ladders, SIZES))
 
 
 @query(f"WITH {RANDOM_SQL} SELECT replicate, n, {', '.join(f'round({m}, 8) AS {m}' for m in RANDOM_METRICS)} FROM metric")
@@ -119,7 +120,7 @@ def random_summary(spark, sf_dir):
 
 
 @query(f"""WITH {RANDOM_SQL}, {DISTANCES_SQL.replace(VECTORS_SQL + ",", "")}, own AS (SELECT n, avg(m) AS weighted_mean FROM (SELECT n, grp, avg(distance) AS m FROM distances GROUP BY 1, 2) GROUP BY 1)
-SELECT own.n, round(own.weighted_mean, 8) AS weighted_mean, 1 + count(*) FILTER (metric.weighted_mean < own.weighted_mean) AS empirical_rank FROM own JOIN metric USING (n) GROUP BY own.n, own.weighted_mean""".replace("reps AS (SELECT unnest(generate_series(1, 200)) AS replicate)", "draws AS (SELECT unnest(generate_series(1, 200)) AS replicate)").replace("FROM vectors, reps)", "FROM vectors, draws)"))
+SELECT own.n, round(own.weighted_mean, 8) AS weighted_mean, 1 + count(*) FILTER (metric.weighted_mean < own.weighted_mean) AS empirical_rank FROM own JOIN metric USING (n) GROUP BY own.n, own.weighted_mean""")
 def empirical_rank(spark, sf_dir):
     items = vectors(spark, sf_dir)
     d = coverage.nearest_panel_distance(items, _panel(spark, sf_dir), "item", SIZES).join(items.select("item", "grp"), "item")
@@ -127,6 +128,19 @@ def empirical_rank(spark, sf_dir):
     return compare.empirical_rank(own, _random(spark, sf_dir), ["n"], "weighted_mean").withColumn("weighted_mean", F.round("weighted_mean", 8))
 
 
+@query(f"""WITH {RANDOM_SQL}, {DISTANCES_SQL.replace(VECTORS_SQL + ",", "")},
+own_share AS (SELECT n, distance, sum(1.0::DOUBLE / size) OVER (PARTITION BY n ORDER BY distance) / (SELECT count(*) FROM gs) AS share FROM distances JOIN gs USING (grp)),
+own AS (SELECT n, min(distance) FILTER (share >= 0.95 - 1e-12) AS weighted_p95 FROM own_share GROUP BY 1)
+SELECT own.n, round(own.weighted_p95, 8) AS weighted_p95, 1 + count(*) FILTER (metric.weighted_p95 < own.weighted_p95) AS empirical_rank FROM own JOIN metric USING (n) GROUP BY own.n, own.weighted_p95""")
+def empirical_rank_p95(spark, sf_dir):
+    """The place of a panel among random ones by its weighted 95th percentile, for each size."""
+    items = vectors(spark, sf_dir)
+    d = coverage.nearest_panel_distance(items, _panel(spark, sf_dir), "item", SIZES).join(items.select("item", "grp"), "item")
+    own = coverage.balanced_quantile(d, "grp", "n", "distance", 0.95, "weighted_p95")
+    randoms = sensitivity.random_quantiles(items, "item", "grp", selection.random_ladders(items, "item", "grp", 200, 20), SIZES)
+    return compare.empirical_rank(own, randoms, ["n"], "weighted_p95").withColumn("weighted_p95", F.round("weighted_p95", 8))
+
+
 @query("""WITH s AS (SELECT o_orderpriority AS n, avg(o_totalprice) FILTER (o_orderstatus = 'F') AS a, avg(o_totalprice) FILTER (o_orderstatus = 'O') AS b FROM orders GROUP BY 1),
 c AS (SELECT count(*) AS n_sizes, count(*) FILTER (a < b) AS left_lower, count(*) FILTER (a > b) AS right_lower FROM s)
 SELECT *, CASE WHEN left_lower = n_sizes THEN 'LEFT_LOWER_AT_ALL' WHEN right_lower = n_sizes THEN 'RIGHT_LOWER_AT_ALL' WHEN left_lower = 0 AND right_lower = 0 THEN 'TIE_AT_ALL' ELSE 'NOT_UNIFORMLY_ORDERED' END AS status FROM c""")

@@ -189,12 +189,11 @@ def balanced_weighted_quantile(spark, sf_dir):
     return coverage.balanced_quantile(rows, "grp", "one", "o_totalprice", 0.95, "price")
 
 
-@query(f"""WITH g AS (SELECT DISTINCT c_nationkey AS grp, r.replicate FROM customer, (SELECT unnest(generate_series(1, 1000)) AS replicate) r),
-o AS (SELECT replicate, grp, row_number() OVER (PARTITION BY replicate ORDER BY sha256('20260824|' || replicate || '|' || grp), grp) AS rank FROM g)
-SELECT o.replicate, o.rank, o.grp, arg_min(c_custkey, sha256('20260824|' || o.replicate || '|' || c_custkey)) AS item
-FROM o JOIN customer ON c_nationkey = o.grp WHERE rank <= 500 GROUP BY 1, 2, 3""")
+@query(f"WITH {selection.random_ladders_sql('orders', 'o_orderkey', 'o_custkey', 1000, 500)} SELECT * FROM picks")
 def random_group_ladders(spark, sf_dir):
-    return selection.random_ladders(customers(spark, sf_dir).select("item", "grp"), "item", "grp", replicates=1000, size=500)
+    """Orders by customer: a thousand ladders of five hundred customers."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("item"), F.col("o_custkey").alias("grp"))
+    return selection.random_ladders(orders, "item", "grp", replicates=1000, size=500)
 
 
 @query("SELECT c_custkey AS item FROM customer ORDER BY sha256('ns|add|' || c_custkey), 1 LIMIT 100")

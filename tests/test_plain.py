@@ -3,7 +3,9 @@
 import hashlib
 import math
 import random
+from collections import Counter
 from fractions import Fraction
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -202,3 +204,64 @@ def test_ablation_and_swapped_scales(spark):
     share = lambda j, c: sum((2 if o[2][j] < c[j] else 1 if o[2][j] == c[j] else 0) / sizes[o[1]] / len(sizes) for o in rows) / 2
     for i, _, c in rows:
         assert [swapped[i][x] for x in ("z", "a_1", "a_3", "b_1", "b_3")] == pytest.approx([share(2, c), share(0, c), share(0, c), share(1, c), share(1, c)])
+
+
+def plain_quantile(distances, groups, q):
+    """The least distance with at least the share ``q`` of the weight, in exact fractions."""
+    sizes = Counter(groups)
+    total, reached = Fraction(0), q * len(sizes)
+    for d, g in sorted(zip(distances, groups, strict=True)):
+        total += Fraction(1, sizes[g])
+        if total >= reached:
+            return d
+    raise AssertionError
+
+
+@pytest.mark.parametrize(("points", "coarse"), [(1 << 29, False), (200, True)])
+def test_random_quantiles_by_a_plain_version(spark, monkeypatch, points, coarse):
+    """With ties and distances of 0, with panels in one slice and in several, and with blocks smaller than a task."""
+    monkeypatch.setattr(sensitivity, "POINTS", points)
+    rows = universe(9, coarse, 150, 7)
+    df = spark.createDataFrame(rows, "item string, grp string, coords array<double>").repartition(3)
+    ladders = selection.random_ladders(df, "item", "grp", 5, 6)
+    sizes, at = [1, 3, 6, 50], sensitivity.QUANTILES | {"all": Fraction(1), "third": Fraction(1, 3)}
+    got = {(r.replicate, r.n): r for r in sensitivity.random_quantiles(df, "item", "grp", ladders, sizes, at).collect()}
+    by, panels = {i: c for i, _, c in rows}, {}
+    for r in ladders.collect():
+        panels.setdefault(r.replicate, []).append((r["rank"], by[r.item]))
+    assert set(got) == {(r, n) for r in panels for n in sizes}
+    for replicate, panel in panels.items():
+        for n in sizes:
+            near = [math.sqrt(min(reduce(lambda s, x: s + (x[0] - x[1]) * (x[0] - x[1]), zip(c, p, strict=True), 0.0) for k, p in panel if k <= n)) for _, _, c in rows]
+            for name, q in at.items():
+                assert got[replicate, n][name] == plain_quantile(near, [g for _, g, _ in rows], q), (replicate, n, name)
+    means = sensitivity.random_coverage(df, "item", "grp", ladders, sizes)
+    assert means.count() == 5 * 4 * len({g for _, g, _ in rows}) and sensitivity.random_metrics(means, sensitivity.random_quantiles(df, "item", "grp", ladders, sizes)).count() == 20
+
+
+def test_no_random_panels(spark):
+    df = spark.createDataFrame([], "item string, grp string, coords array<double>")
+    ladders = spark.createDataFrame([], "replicate int, rank int, grp string, item string")
+    assert sensitivity.random_quantiles(df, "item", "grp", ladders, [1]).count() == 0 and sensitivity.random_coverage(df, "item", "grp", ladders, [1]).count() == 0
+
+
+def test_random_ladders_are_permutations_and_nest(spark):
+    rows = universe(4, False, 300, 40)
+    df = frame(spark, rows)
+    groups = {i: g for i, g, _ in rows}
+    n = len(set(groups.values()))
+    long = selection.random_ladders(df, "item", "grp", 30, 100).collect()
+    assert len(long) == 30 * n
+    by = {}
+    for r in long:
+        assert groups[r.item] == r.grp
+        by.setdefault(r.replicate, {})[r["rank"]] = (r.grp, r.item)
+    assert all(sorted(own) == [*range(1, n + 1)] and len({g for g, _ in own.values()}) == n for own in by.values())
+    assert len({tuple(own[k][0] for k in range(1, n + 1)) for own in by.values()}) == 30
+    short = selection.random_ladders(df.repartition(7), "item", "grp", 30, 5).collect()
+    assert len(short) == 150 and all(by[r.replicate][r["rank"]] == (r.grp, r.item) for r in short)
+    firsts, drawn = Counter(own[1][0] for own in by.values()), Counter(i for own in by.values() for _, i in own.values())
+    assert max(firsts.values()) <= 8 and len(drawn) > 0.7 * len(rows)
+    assert selection.random_ladders(df.where("false"), "item", "grp", 3, 5).count() == 0
+    one = selection.random_ladders(df.where("item = 'i0'"), "item", "grp", 2, 5).collect()
+    assert [(r["rank"], r.item) for r in one] == [(1, one[0].item)] * 2
