@@ -6,8 +6,8 @@ whether it could be drawn uniformly from that alphabet, chi-squared over all its
 alphabet's middle, and serial correlation of neighbours. The least p-value counts three times over.
 
 A secret looks random, so a high p-value speaks for it. How often ordinary text reaches it is measured, not assumed:
-every document gives one string of each length band, cut from its letters and digits outside all candidates at a place
-chosen by a hash, and these go through the same tests. A candidate's level is the share of such strings of its band and
+every document gives one string of each length band that has a candidate, cut from its letters and digits outside all
+candidates at a place chosen by a hash, and these go through the same tests. A candidate's level is the share of such strings of its band and
 encoding (of its band, where an encoding has under ``LEAST_ORDINARY``) that look at least as random. Benjamini-Hochberg
 on these levels, by length band, encoding and origin, decides which are called random, so that at most ``FALSE_RATE`` of
 them are ordinary. Short strings need high p-values, for much ordinary text reaches low ones; long strings need little.
@@ -162,11 +162,15 @@ def _p_value(x: Column) -> dict[str, Column]:
     return {name: x[name] for name in ("start", "end", "origin", "name", "band", "id")} | {"p": F.least(F.lit(1.0), 3 * F.least(p_chi, p_runs, p_serial))}
 
 
-def _ordinary(plain: str) -> Column:
-    """One string of each length band from the letters and digits of ``plain``, at places chosen by a hash."""
+#: The tests of a string, step by step.
+BATTERY = (_encoding, _symbols, _values, _counted, _sums, _p_value)
+
+
+def _ordinary(plain: str, bands: list[int]) -> Column:
+    """One string of each of the length bands from the letters and digits of ``plain``, at places chosen by a hash."""
     size = F.char_length(plain)
     cut = lambda n: F.substr(F.col(plain), 1 + F.pmod(F.xxhash64(plain, F.lit(n)), F.greatest(size - n + 1, F.lit(1))).cast("int"), F.lit(n))
-    strings = [F.when(size >= n, F.struct(F.lit(0).alias("start"), F.lit(n).alias("end"), cut(n).alias("hit"), F.lit("ordinary").alias("origin"))) for n in (SHORTEST, *LENGTH_BANDS)]
+    strings = [F.when(size >= n, F.struct(F.lit(0).alias("start"), F.lit(n).alias("end"), cut(n).alias("hit"), F.lit("ordinary").alias("origin"))) for n in [(SHORTEST, *LENGTH_BANDS)[b] for b in bands]]
     return F.filter(F.array(*strings), lambda s: s.isNotNull())
 
 
@@ -185,12 +189,20 @@ def scan(docs: DataFrame) -> DataFrame:
             F.when(there, F.regexp_extract_all(text, F.lit(p), F.lit(group))).alias(f"{kind}_value"),
         ]
     rows = rows.select("doc_id", "text", *[f"{kind}_any" for kind in patterns], *split)
-    plain = F.regexp_replace(F.when(F.col("loose_any"), F.array_join("loose_gap", " ")).otherwise(text), "[^A-Za-z0-9]+", "")
-    rows = rows.select("doc_id", plain.alias("plain"), *[_spans(kind, least).alias(kind) for kind, (_, _, least) in patterns.items()])
+    rows = rows.select("doc_id", *[_spans(kind, least).alias(kind) for kind, (_, _, least) in patterns.items()])
     taken = lambda s: F.exists(F.concat(*[F.col(k) for k in KINDS]), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     of = lambda array, origin: F.transform(array, lambda s: F.struct(s["start"], s["end"], s["hit"], F.lit(origin).alias("origin")))
-    strings = F.concat(*[of(F.col(kind), kind) for kind in KINDS], of(F.filter("loose", lambda s: ~taken(s)), "random"), _ordinary("plain"))
-    return rows.select("doc_id", *KINDS, _then(strings, _encoding, _symbols, _values, _counted, _sums, _p_value).alias("tested"))
+    strings = F.concat(*[of(F.col(kind), kind) for kind in KINDS], of(F.filter("loose", lambda s: ~taken(s)), "random"))
+    return rows.select("doc_id", *KINDS, _then(strings, *BATTERY).alias("tested"))
+
+
+def ordinary_strings(docs: DataFrame, bands: list[int]) -> DataFrame:
+    """tested, as of ``scan``, of strings of the length bands from each text outside all loose runs."""
+    text = F.col("text")
+    rows = only(docs, ["text"]).select(text_or_empty().alias("text"))
+    outside = F.when(text.rlike(LOOSE), F.array_join(F.split(text, LOOSE, -1), " ")).otherwise(text)
+    rows = rows.select(F.regexp_replace(outside, "[^A-Za-z0-9]+", "").alias("plain"))
+    return rows.select(_then(_ordinary("plain", bands), *BATTERY).alias("tested"))
 
 
 def least_bin(own: list[int], ordinary: list[int], false_rate: float = FALSE_RATE) -> int | None:
@@ -212,15 +224,24 @@ def _bin(p: str) -> Column:
     return F.least(F.floor(F.col(p) * BINS), F.lit(BINS - 1)).cast("int")
 
 
-def least_bins(scanned: DataFrame, false_rate: float = FALSE_RATE) -> dict[str, int]:
-    """By ``origin/encoding/band`` the bin of p-values from which on a string is called random; families without one are left out.
-
-    A string that occurs often counts once.
-    """
-    x = scanned.select(F.explode("tested").alias("x")).select("x.origin", "x.name", "x.band", "x.id", _bin("x.p").alias("bin"))
+def _counts(scanned: DataFrame) -> dict[tuple[str, str, int], list[int]]:
+    """By origin, encoding and band how many distinct strings have their p-value in each bin."""
+    # Not explode, for which the planner adds a filter that works out the whole array once more.
+    x = scanned.select(F.explode_outer("tested").alias("x")).where("x is not null").select("x.origin", "x.name", "x.band", "x.id", _bin("x.p").alias("bin"))
     counts: dict[tuple[str, str, int], list[int]] = {}
     for origin, name, band, at, n in x.distinct().groupBy("origin", "name", "band", "bin").count().collect():
         counts.setdefault((origin, name, band), [0] * BINS)[at] += n
+    return counts
+
+
+def least_bins(scanned: DataFrame, docs: DataFrame, false_rate: float = FALSE_RATE) -> dict[str, int]:
+    """By ``origin/encoding/band`` the bin of p-values from which on a string is called random; families without one are left out.
+
+    A string that occurs often counts once. Ordinary strings are drawn from ``docs`` for the bands that have a candidate, and for no others.
+    """
+    counts = _counts(scanned)
+    if bands := sorted({band for _, _, band in counts}):
+        counts |= _counts(ordinary_strings(docs, bands))
     ordinary = {(name, band): n for (origin, name, band), n in counts.items() if origin == "ordinary"}
     of_band: dict[int, list[int]] = {}
     for (_, band), n in ordinary.items():
@@ -246,7 +267,7 @@ def find_secrets(docs: DataFrame, false_rate: float = FALSE_RATE) -> DataFrame:
     false-discovery control. An empty table gives no rows.
     """
     scanned = materialize(scan(docs), "secrets")
-    limit = least_bins(scanned, false_rate)
+    limit = least_bins(scanned, docs, false_rate)
     known = F.create_map(*[F.lit(x) for pair in limit.items() for x in pair]) if limit else F.lit(None).cast("map<string,int>")
 
     def judged(s: Column) -> Column:
@@ -257,7 +278,7 @@ def find_secrets(docs: DataFrame, false_rate: float = FALSE_RATE) -> DataFrame:
         return F.struct(s["start"], rank.alias("rank"), place.alias("said"), F.concat_ws(":", place, s["name"], F.format_string("%.6f", s["p"]), called.cast("int").cast("string")).alias("test"), called.alias("called"))
 
     joined = lambda array, name: F.array_join(F.transform(F.array_sort(array), lambda s: s[name]), ",")
-    judgements = F.transform(F.filter("tested", lambda s: s["origin"] != "ordinary"), judged)
+    judgements = F.transform("tested", judged)
     rows = scanned.select("doc_id", *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS], judgements.alias("_tested"))
     is_base = lambda s: s["rank"] < len(KINDS)
     counted = lambda f: F.size(F.filter("_tested", f)).cast("long")
