@@ -12,6 +12,7 @@ from ..functions.keys import MULTIPLIERS, PRIME, draw_key, item_key, member_key,
 from ..functions.prefix import ranked
 from ..functions.state import keep
 from ..functions.vectors import exact_means, squared_distance
+from .checks import BadInput
 
 NAMESPACE = "panel-v1|"
 
@@ -31,6 +32,14 @@ def _distance(a, b) -> float:
     return total
 
 
+def _once(df: DataFrame, item: str) -> int:
+    """How many rows there are; refuses null and repeated ids."""
+    rows, ids = df.agg(F.count("*"), F.count_distinct(item)).first()
+    if rows != ids:
+        raise BadInput(f"{rows} rows have {ids} different {item}")
+    return rows
+
+
 def maximin_ladder(df: DataFrame, item: str, coords: str = "coords", size: int | None = None, namespace: str = NAMESPACE, batch: int = 256) -> DataFrame:
     """(rank, item, score): the item nearest the centroid first, then always the one farthest from all chosen so far.
 
@@ -41,7 +50,7 @@ def maximin_ladder(df: DataFrame, item: str, coords: str = "coords", size: int |
     """
     spark = df.sparkSession
     state = keep(df.select(item, F.col(coords).alias("coords"), item_key(item, namespace).alias("tie")))
-    n = state.count()
+    n = _once(state, item)
     size = n if size is None else min(size, n)
     schema = f"rank int, {item} {df.schema[item].dataType.simpleString()}, score double"
     if not n:
@@ -192,7 +201,7 @@ def random_ladders(df: DataFrame, item: str, group: str, replicates: int, size:
     Groups are numbered once by a hash, and items within their group. A replicate permutes the numbers of groups by
     arithmetic (``functions.keys.permuted``) and looks up the first ``size``, so that its cost does not grow with the table.
     The permutation is one of a few more numbers than there are groups; those beyond them are left out, and as many more
-    places are looked at. Results depend on neither order nor partitions. Items of a group are drawn evenly up to 2 ** 31.
+    places are looked at. Repeated ids are refused. Results depend on neither order nor partitions. Items of a group are drawn evenly up to 2 ** 31.
     """
     spark = df.sparkSession
     key = lambda c: F.sha2(F.concat(F.lit(f"{seed}|"), F.col(c).cast("string")), 256)
@@ -204,6 +213,7 @@ def random_ladders(df: DataFrame, item: str, group: str, replicates: int, size:
         return spark.createDataFrame([], f"replicate int, rank int, {group} {df.schema[group].dataType.simpleString()}, {item} {df.schema[item].dataType.simpleString()}")
     items = df.select(item, group).join(groups.select(group, "_g"), group).withColumn("_key", key(item)).withColumn("_number", F.col("_g") + share("_key"))
     items = keep(ranked(items, "_number", ["_g", "_key", item], "_i", "long").select(item, "_g", "_i"))
+    _once(items, item)
     groups = groups.join(items.groupBy("_g").agg(F.min("_i").alias("_first")), "_g")
     rows = math.isqrt(n - 1) + 1
     columns = -(-n // rows)

@@ -164,3 +164,9 @@ CASE WHEN n.status <> 'PASS' THEN n.status ELSE a.status END AS reason, CASE WHE
 def taxonomy_resolution(spark, sf_dir):
     items, merged, deleted, nodes = _tree(spark, sf_dir)
     return taxonomy.resolve(items, "item", "tax", merged, deleted, nodes)
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer")
+def checked_table(spark, sf_dir):
+    """Customers read under a schema, refused if a key is missing or repeated or a balance is not finite."""
+    return scans.read_checked(spark, f"{sf_dir}/customer.parquet", "c_custkey long, c_acctbal double", ["c_custkey"], ["c_acctbal"])

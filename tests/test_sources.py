@@ -1,6 +1,7 @@
 import pytest
 
-from coverlark.operators import kmers, taxonomy
+from coverlark.operators import kmers, selection, taxonomy
+from coverlark.operators.checks import BadInput
 from coverlark.sources import scans, sinks
 
 
@@ -48,3 +49,22 @@ def test_merged_chains(spark):
     merged = spark.createDataFrame([(2, 3), (3, 4), (4, 1), (8, 9), (9, 8)], "old long, new long")
     got = {r.id: (r.current, r.status) for r in taxonomy.normalize_ids(ids, merged, spark.createDataFrame([(7,)], "id long"), spark.createDataFrame([(1,)], "id long")).collect()}
     assert got == {1: (1, "PASS"), 2: (1, "PASS"), 3: (1, "PASS"), 7: (None, "DELETED"), 8: (None, "MERGED_CYCLE"), 9: (None, "MERGED_CYCLE"), 10: (None, "MISSING")}
+
+
+def test_checked_reading_refuses_bad_tables(spark, tmp_path):
+    schema = "item string, value double"
+    for name, rows in {"good": [("a", 1.0), ("b", 2.0)], "repeated": [("a", 1.0), ("a", 2.0)], "infinite": [("a", float("inf"))], "null": [(None, 1.0)]}.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}")
+    assert scans.read_checked(spark, f"{tmp_path}/good", schema, ["item"], ["value"], 2).count() == 2
+    for name, rows in (("repeated", None), ("infinite", None), ("null", None), ("good", 3)):
+        with pytest.raises(BadInput):
+            scans.read_checked(spark, f"{tmp_path}/{name}", schema, ["item"], ["value"], rows)
+
+
+def test_ladders_refuse_repeated_and_null_ids(spark):
+    for ids in (["a", "b", "a"], ["a", None, "b"]):
+        df = spark.createDataFrame([(i, f"g{k}", [float(k)]) for k, i in enumerate(ids)], "item string, grp string, coords array<double>")
+        with pytest.raises(BadInput):
+            selection.maximin_ladder(df, "item", size=2)
+        with pytest.raises(BadInput):
+            selection.random_ladders(df, "item", "grp", 2, 2)
