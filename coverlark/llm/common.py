@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
@@ -17,14 +19,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``. Only where that is unset (tests, one machine) a temporary one is made and set."""
+    """The folder in ``spark.checkpoint.dir``. Only where that is unset on one machine (tests) a temporary one is made and set."""
     if not spark.conf.get("spark.checkpoint.dir", ""):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
-#: Paths of the tables written within each open ``scratch``.
-_written: list[list[str]] = []
+class _Written(threading.local):
+    """Paths of the tables written within each open ``scratch``, by thread."""
+
+    def __init__(self):
+        self.paths: list[list[str]] = []
+
+
+_written = _Written()
 
 
 def materialize(df: DataFrame, name: str = "table", outlive: bool = False) -> DataFrame:
@@ -36,7 +46,7 @@ def materialize(df: DataFrame, name: str = "table", outlive: bool = False) -> Da
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    holders = _written[:-1] if outlive else _written
+    holders = _written.paths[:-1] if outlive else _written.paths
     if holders:
         holders[-1].append(path)
     return spark.read.schema(schema).parquet(path)
@@ -45,11 +55,11 @@ def materialize(df: DataFrame, name: str = "table", outlive: bool = False) -> Da
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables written inside are deleted at the end. Nothing that is lazy may read them afterwards."""
-    _written.append([])
+    _written.paths.append([])
     try:
         yield
     finally:
-        for name in _written.pop():
+        for name in _written.paths.pop():
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -49,11 +49,17 @@ def test_stages_take_nulls_repeats_and_clashing_columns(spark, tmp_path):
     docs = docs.withColumns({"rate": F.lit("r"), "_rate": F.lit(1), "copies": F.lit(2), "node": F.lit("n"), "x": F.lit(3), "keep_id": F.lit(4)})
     none = docs.where("false")
     kept = docs
+    # The row without an id is a very long odd text, which the classifier may reject; the stage must follow its decision.
+    seen = quality.views(docs)
+    judged = quality.score_views(seen, quality.fit(seen, labels)).where("doc_id is null and kept").count()
     for name, stage in P.STAGES[:-1]:
         kept = P.materialize(stage(spark, kept, str(tmp_path)), "stage")
         none = stage(spark, none, str(tmp_path))
         assert kept.columns == docs.columns and none.columns == docs.columns and none.count() == 0, name
-        assert kept.where("doc_id is null").count() == 1 and kept.where("rate = 'r' and copies = 2 and keep_id = 4").count() == kept.count(), name
+        assert kept.where("doc_id is null").count() == (judged if name == "quality classifier" else 1), name
+        if name == "quality classifier" and not judged:
+            kept = kept.unionByName(docs.where("doc_id is null"))
+        assert kept.where("rate = 'r' and copies = 2 and keep_id = 4").count() == kept.count(), name
         if name != "mixing":
             assert kept.where("doc_id = 1").count() == (2 if name == "quality classifier" else 1), name
     assert P.tokens(spark, none, "").count() == 0 and P.tokens(spark, kept, "").count() == kept.count()
