@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from fractions import Fraction
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -18,69 +15,57 @@ def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
 
-class ExactSum:
-    """Exact sums of doubles, place by place: whole numbers over powers of two."""
-
-    def __init__(self, size: int):
-        self.totals, self.shifts, self.n = [0] * size, [0] * size, 0
-
-    def add(self, values) -> None:
-        for k, x in enumerate(values):
-            a, b = float(x).as_integer_ratio()
-            self._add(k, a, b.bit_length() - 1)
-        self.n += 1
-
-    def _add(self, k: int, a: int, shift: int) -> None:
-        more = shift - self.shifts[k]
-        if more > 0:
-            self.totals[k], self.shifts[k] = self.totals[k] << more, shift
-        self.totals[k] += a << max(0, -more)
+#: A double is taken as a whole number of units of its band, which spans this many binary exponents, and cut into limbs.
+BAND, SLACK, LIMB, LIMBS = 32, 4, 23, 4
+#: The least band: its unit is below the least double.
+LOWEST = -32
 
-    def merge(self, said, n: int) -> None:
-        for k, text in enumerate(said):
-            a, shift = text.split("/")
-            self._add(k, int(a, 16), int(shift))
-        self.n += n
 
-    def said(self) -> list[str]:
-        return [f"{t:x}/{s}" for t, s in zip(self.totals, self.shifts, strict=True)]
+def _unit(band: int) -> int:
+    """The binary exponent of a band's unit: 53 bits below the band's least exponent, and a little more for a logarithm that is a hair off."""
+    return BAND * band - 52 - SLACK
 
 
 def exact_means(df: DataFrame, by: list[str], values: str, name: str) -> DataFrame:
     """(by, name): the means of arrays of doubles, place by place, each rounded once from its exact sum, whatever the order.
 
-    A task sends one row for each key that it has seen, and rows of a key meet in two stages, so that no row gathers a large
-    group.
+    A value is a whole number of units of its band of exponents, of at most 92 bits. Its four limbs of 23 bits are summed as
+    long numbers by key, place and band, so that tasks add up before anything moves and 2 ** 40 values of a key can't
+    overflow. A key then has at most 65 rows a place; these alone are put together and divided. An array that is null
+    or empty and a value that is null or not finite fail; arrays of a key have the same length. Without rows and ``by`` there is no row.
     """
-    kinds = "".join(f"{c} {df.schema[c].dataType.simpleString()}, " for c in by)
-    schema = f"{kinds}_totals array<string>, _n long"
-
-    def summed(take: Callable[[ExactSum, tuple], None]) -> Callable:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            sums: dict[tuple, ExactSum] = {}
-            for pdf in batches:
-                for row in pdf.itertuples(index=False):
-                    key = row[: len(by)]
-                    if key not in sums:
-                        sums[key] = ExactSum(len(row[len(by)]))
-                    take(sums[key], row[len(by) :])
-            yield pd.DataFrame([(*key, s.said(), s.n) for key, s in sums.items()], columns=[*by, "_totals", "_n"])
-
-        return run
+    x = F.col("_x")
+    sound = F.when(F.abs(x) < float("inf"), x).otherwise(F.raise_error(F.lit("an exact mean needs finite values")).cast("double"))
+    long = df.select(*by, F.posexplode_outer(F.col(values).cast("array<double>")).alias("_place", "_x")).withColumn("_x", sound)
+    band = F.greatest(F.coalesce(F.floor(F.log2(F.abs(x)) / BAND), F.lit(0)), F.lit(LOWEST)).cast("int")
+    # half of the scale at a time, for a power of two above 2 ** 1023 is no double
+    halves = F.array(*[F.lit(2.0 ** (-_unit(b) // 2)) for b in range(LOWEST, 34)])
+    half = F.element_at(halves, F.col("_band") - LOWEST + 1)
+    rest = long.withColumn("_band", band).withColumn("_half", half).withColumn("_rest", F.abs(x) * F.col("_half") * F.col("_half"))
+    limbs = []
+    for k in reversed(range(LIMBS)):
+        limb = F.floor(F.col("_rest") / 2.0 ** (LIMB * k))
+        rest = rest.withColumn(f"_l{k}", limb).withColumn("_rest", F.col("_rest") - F.col(f"_l{k}") * 2.0 ** (LIMB * k))
+        limbs.append(F.sum(F.when(x < 0, -F.col(f"_l{k}")).otherwise(F.col(f"_l{k}"))).alias(f"_l{k}"))
+    bands = rest.groupBy(*by, "_place", "_band").agg(*limbs, F.count("*").alias("_n"))
+    parts = bands.groupBy(*by).agg(F.collect_list(F.struct("_place", "_band", "_n", *[f"_l{k}" for k in range(LIMBS)])).alias("_parts"))
+    if not by:
+        parts = parts.where(F.size("_parts") > 0)
+    fields = [F.col("_parts")[f].alias(f) for f in ("_place", "_band", "_n", *[f"_l{k}" for k in range(LIMBS)])]
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def divided(totals: pd.Series, n: pd.Series) -> pd.Series:
-        def mean(text: str, k: int) -> float:
-            a, shift = text.split("/")
-            return float(Fraction(int(a, 16), int(k) << int(shift)))
-
-        return pd.Series([[mean(t, k) for t in row] for row, k in zip(totals, n, strict=True)])
-
-    added = summed(lambda s, row: s.merge(*row))
-    sent = df.select(*by, F.col(values).cast("array<double>").alias("_values")).mapInPandas(summed(lambda s, row: s.add(row[0])), schema)
-    near = sent.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(32))).repartition("_salt", *by).drop("_salt").mapInPandas(added, schema)
-    whole = (near.repartition(*by) if by else near.coalesce(1)).mapInPandas(added, schema)
-    return whole.select(*by, divided("_totals", "_n").alias(name))
+    def divided(places: pd.Series, bands: pd.Series, counts: pd.Series, *limbs: pd.Series) -> pd.Series:
+        out = []
+        for place, band, n, *cut in zip(places, bands, counts, *limbs, strict=True):
+            totals, rows = [0] * (max(place) + 1), [0] * (max(place) + 1)
+            for p, b, m, *own in zip(place, band, n, *cut, strict=True):
+                totals[p] += sum(int(v) << (LIMB * k) for k, v in enumerate(own)) << (BAND * (int(b) - LOWEST))
+                rows[p] += int(m)
+            low = -_unit(LOWEST)
+            out.append([t / (m << low) for t, m in zip(totals, rows, strict=True)])  # whole numbers divide with one rounding
+        return pd.Series(out)
+
+    return parts.select(*by, divided(*fields).alias(name))
 
 
 def same_binary(a: Column, b: Column) -> Column:

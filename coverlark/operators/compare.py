@@ -55,13 +55,17 @@ def average_ranks(df: DataFrame, item: str, features: list[str]) -> DataFrame:
 
 
 def spearman(df: DataFrame, item: str, features: list[str]) -> DataFrame:
-    """(left_feature, right_feature, correlation) of every pair of features; a constant feature fails."""
+    """(left_feature, right_feature, correlation) of every pair of features; a constant feature fails.
+
+    An item sends its ranks once for each pair, which tasks sum before anything moves: a task sends one row a pair.
+    """
     ranks = average_ranks(df, item, features).groupBy(item).pivot("feature", features).agg(F.first("rank"))
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i:]]
-    row = ranks.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)], *[F.count_distinct(f).alias(f"n{i}") for i, f in enumerate(features)])
-    varies = lambda f: F.col(f"n{features.index(f)}") > 1
-    checked = [F.when(varies(a) & varies(b), F.col(f"c{i}")).otherwise(F.raise_error(F.lit(f"constant: {a} or {b}")).cast("double")) for i, (a, b) in enumerate(pairs)]
-    return row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("left_feature"), F.lit(b).alias("right_feature"), c.alias("correlation")) for (a, b), c in zip(pairs, checked, strict=True)])).alias("x")).select("x.*")
+    each = F.explode(F.array(*[F.struct(F.lit(a).alias("left_feature"), F.lit(b).alias("right_feature"), F.col(a).alias("x"), F.col(b).alias("y")) for a, b in pairs]))
+    summed = ranks.select(each.alias("p")).select("p.*").groupBy("left_feature", "right_feature")
+    found = summed.agg(F.covar_pop("x", "y").alias("_both"), F.sqrt(F.var_pop("x") * F.var_pop("y")).alias("_each"), ((F.min("x") < F.max("x")) & (F.min("y") < F.max("y"))).alias("_vary"))
+    constant = F.raise_error(F.concat(F.lit("constant: "), "left_feature", F.lit(" or "), "right_feature")).cast("double")
+    return found.select("left_feature", "right_feature", F.when(F.col("_vary"), F.col("_both") / F.col("_each")).otherwise(constant).alias("correlation"))
 
 
 def overlap(left: DataFrame, right: DataFrame, item: str, sizes: list[int]) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.keys import MULTIPLIERS, PRIME, draw_key, item_key, member_key, mixed, permuted, round_key
@@ -25,10 +27,11 @@ def representatives(df: DataFrame, item: str, group: str, coords: str = "coords"
     return near.groupBy(group).agg(F.min("x").alias("x")).select(group, f"x.{item}", f"x.{coords}", "x.tie", "x.d2")
 
 
-def _distance(a, b) -> float:
-    total = 0.0
-    for x, y in zip(a, b, strict=True):
-        total += (x - y) * (x - y)
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances of rows from a point, summed from the first feature to the last, as in the table."""
+    total = np.zeros(len(x))
+    for k in range(x.shape[1]):
+        total += (x[:, k] - y[k]) * (x[:, k] - y[k])
     return total
 
 
@@ -40,16 +43,48 @@ def _once(df: DataFrame, item: str) -> int:
     return rows
 
 
-def maximin_ladder(df: DataFrame, item: str, coords: str = "coords", size: int | None = None, namespace: str = NAMESPACE, batch: int = 256) -> DataFrame:
+def _nearer(state: DataFrame, picked: list, new: int) -> DataFrame:
+    """``state`` (coords, d2, near and others) with each item's squared distance to the nearest pick, and that pick's number.
+
+    ``picked`` has all picks' coordinates, and those from number ``new`` on have not been looked at yet. Items near one pick
+    form a cell around it. By the triangle inequality a pick that lies at least twice as far from the cell's centre as an item
+    does can't be nearer to that item, so only items beyond half that distance are compared with it; most cells have none.
+    """
+    picks = np.array(picked, float)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = {n: batch.schema.get_field_index(n) for n in ("coords", "d2", "near")}
+            x = batch.column(at["coords"]).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            low = np.array(batch.column(at["d2"]))
+            near = np.array(batch.column(at["near"]))
+            cells = np.union1d(near, np.arange(new, len(picks)))
+            centers, cell = picks[cells], np.searchsorted(cells, near)
+            for k in range(new, len(picks)):
+                rows = np.flatnonzero(np.isinf(low) | (_distances(centers, picks[k])[cell] < low * (4 * (1 + 1e-9))))
+                found = _distances(x[rows], picks[k])
+                less = found < low[rows]
+                low[rows[less]] = found[less]
+                cell[rows[less]] = len(cells) - len(picks) + k
+            columns = list(batch.columns)
+            columns[at["d2"]], columns[at["near"]] = pa.array(low), pa.array(cells[cell].astype(np.int32))
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return state.mapInArrow(run, state.schema)
+
+
+def maximin_ladder(df: DataFrame, item: str, coords: str = "coords", size: int | None = None, namespace: str = NAMESPACE, batch: int = 1024) -> DataFrame:
     """(rank, item, score): the item nearest the centroid first, then always the one farthest from all chosen so far.
 
-    A pass over the data updates every item's squared distance to the nearest chosen item against the last batch alone
-    (broadcast: at most ``batch`` items), and brings the ``batch`` + 1 farthest to the driver. Picks among them are exact as
-    long as the best of them beats what the last of them had before, for distances only fall. ``size`` bounds what the
-    driver holds; without it the ladder is complete.
+    A pass over the data updates every item's squared distance to the nearest chosen item against the last picks alone,
+    and of these against the few that can be nearer (``_nearer``). It brings the ``batch`` + 1 farthest to the driver. Picks
+    among them are exact as long as the best of them beats what the last of them had before, for distances only fall.
+    ``size`` bounds what the driver holds; without it the ladder is complete.
     """
     spark = df.sparkSession
-    state = keep(df.select(item, F.col(coords).alias("coords"), item_key(item, namespace).alias("tie")))
+    state = keep(df.select(item, F.col(coords).cast("array<double>").alias("coords"), item_key(item, namespace).alias("tie"), F.lit(float("inf")).alias("d2"), F.lit(0).alias("near")))
     n = _once(state, item)
     size = n if size is None else min(size, n)
     schema = f"rank int, {item} {df.schema[item].dataType.simpleString()}, score double"
@@ -57,27 +92,25 @@ def maximin_ladder(df: DataFrame, item: str, coords: str = "coords", size: int |
         return spark.createDataFrame([], schema)
     center = exact_means(state, [], "coords", "c").first()["c"]
     to_center = squared_distance(F.col("coords"), F.array(*[F.lit(float(x)) for x in center]))
-    first = state.select(to_center.alias("d2"), "tie", item, "coords").orderBy("d2", "tie").first()
-    ladder = [(1, first[item], first["d2"])]
-    chosen = [(first[item], list(first["coords"]))]
-    state = state.withColumn("d2", F.lit(float("inf")))
+    first = state.select(to_center.alias("to_center"), "tie", item, "coords").orderBy("to_center", "tie").first()
+    ladder = [(1, first[item], first["to_center"])]
+    picked, seen = [list(first["coords"])], 0
     while len(ladder) < size:
-        new = spark.createDataFrame([([list(c) for _, c in chosen], [i for i, _ in chosen])], f"_near array<array<double>>, _ids array<{df.schema[item].dataType.simpleString()}>")
-        least = F.aggregate("_near", F.col("d2"), lambda s, c: F.least(s, squared_distance(F.col("coords"), c)))
-        state = keep(state.join(F.broadcast(new)).where(~F.array_contains("_ids", F.col(item))).select(item, "coords", "tie", least.alias("d2")))
-        top = state.orderBy(F.desc("d2"), "tie").limit(batch + 1).collect()
+        before, state = state, keep(_nearer(state.where(~F.col(item).isin([i for _, i, _ in ladder[seen:]])), picked, seen))
+        seen = len(picked)
+        top = state.orderBy(F.desc("d2"), "tie").limit(batch + 1).select(item, "coords", "tie", "d2").collect()
+        before.unpersist()
         bound = (-top[batch]["d2"], top[batch]["tie"]) if len(top) > batch else None
-        open_ = [[-r["d2"], r["tie"], r[item], list(r["coords"])] for r in top[:batch]]
-        chosen = []
-        while open_ and len(ladder) < size:
-            best = min(open_, key=lambda x: (x[0], x[1]))
-            if bound is not None and (best[0], best[1]) > bound:
+        top = top[:batch]
+        x, low, ties = np.array([r["coords"] for r in top]), np.array([r["d2"] for r in top]), [r["tie"] for r in top]
+        while len(ladder) < size and low.max() >= 0:
+            best = min(np.flatnonzero(low == low.max()).tolist(), key=ties.__getitem__)
+            if bound is not None and (-low[best], ties[best]) > bound:
                 break
-            open_.remove(best)
-            chosen.append((best[2], best[3]))
-            ladder.append((len(ladder) + 1, best[2], -best[0]))
-            for x in open_:
-                x[0] = max(x[0], -_distance(x[3], best[3]))
+            ladder.append((len(ladder) + 1, top[best][item], float(low[best])))
+            picked.append(list(top[best]["coords"]))
+            low = np.minimum(low, _distances(x, x[best]))
+            low[best] = -1.0  # taken, and stays the least
     return spark.createDataFrame(ladder, schema)
 
 
@@ -92,11 +125,15 @@ def _point(values) -> Column:
     return F.array(*[F.lit(float(x)) for x in values])
 
 
-def _first_group(state: DataFrame, groups: list, item: str, group: str, namespace: str):
-    """Of equally good groups the one whose key, made from all its members, is least. Keys are made for these groups alone."""
-    if len(groups) == 1:
-        return groups[0]
-    keys = state.where(F.col(group).isin(groups)).groupBy(group).agg(member_key(item, namespace).alias("key"))
+def _first_group(state: DataFrame, level: DataFrame, item: str, group: str, namespace: str):
+    """Of the groups in the table ``level``, which are equally good, the one whose key, made from all its members, is least.
+
+    Keys are made for these groups alone, and none for a group by itself. Only the least comes to the driver.
+    """
+    few = level.select(group).limit(2).collect()
+    if len(few) == 1:
+        return few[0][group]
+    keys = state.join(level.select(group), group).groupBy(group).agg(member_key(item, namespace).alias("key"))
     return keys.orderBy("key").first()[group]
 
 
@@ -115,41 +152,45 @@ def residual_ladder(df: DataFrame, item: str, group: str, coords: str = "coords"
     spark = df.sparkSession
     kinds = {c: df.schema[c].dataType.simpleString() for c in (item, group)}
     schema = f"rank int, {item} {kinds[item]}, {group} {kinds[group]}, score double"
-    state = keep(df.select(item, group, F.col(coords).cast("array<double>").alias("coords"), item_key(item, namespace).alias("tie"), F.lit(float("inf")).alias("d2"), F.lit(True).alias("open")))
+    state = keep(df.select(item, group, F.col(coords).cast("array<double>").alias("coords"), item_key(item, namespace).alias("tie"), F.lit(float("inf")).alias("d2"), F.lit(0).alias("near"), F.lit(True).alias("open")))
     centers = keep(exact_means(state, [group], "coords", "center"))
     middle = exact_means(centers, [], "center", "c").first()
     if middle is None:
         return spark.createDataFrame([], schema)
     to_middle = lambda c: squared_distance(F.col(c), _point(middle["c"]))
     near = centers.select(group, to_middle("center").alias("d2"))
-    tied = near.join(F.broadcast(near.agg(F.min("d2").alias("d2"))), "d2")
-    first_group = _first_group(state, [r[group] for r in tied.collect()], item, group, namespace)
+    first_group = _first_group(state, near.where(F.col("d2") == near.agg(F.min("d2")).first()[0]), item, group, namespace)
+    largest = state.groupBy(group).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    near_by = max(1e-12, largest * 2.0**-51)  # how far a mean of doubles may be from the exact one
     first = state.where(F.col(group) == F.lit(first_group)).orderBy(to_middle("coords"), "tie").first()
     ladder = [(1, first[item], first_group, 0.0)]
     chosen = [(first[item], list(first["coords"]))]
+    picked: list = []
     while len(ladder) < size:
-        new = spark.createDataFrame([([c for _, c in chosen], [i for i, _ in chosen])], f"_near array<array<double>>, _ids array<{kinds[item]}>")
-        least = F.aggregate("_near", F.col("d2"), lambda s, c: F.least(s, squared_distance(F.col("coords"), c)))
-        state = keep(state.join(F.broadcast(new)).select(item, group, "coords", "tie", least.alias("d2"), (F.col("open") & ~F.array_contains("_ids", F.col(item))).alias("open")))
+        still = F.col("open") & ~F.col(item).isin([i for i, _ in chosen])
+        seen, picked = len(picked), picked + [c for _, c in chosen]
+        before, state = state, keep(_nearer(state.withColumn("open", still), picked, seen))
         means = state.groupBy(group).agg(F.avg("d2").alias("mean"), F.count("*").alias("n"), F.max("open").alias("any")).where("any")
         top = means.orderBy(F.desc("mean")).limit(257).collect()
+        before.unpersist()
         if not top:
             break
         fits = [k for k, total in enumerate(accumulate(r["n"] for r in top), 1) if total <= held and k <= 256]
         bound = top[len(fits)]["mean"] if len(fits) < len(top) else None
-        close = lambda a, b: abs(a - b) <= 1e-12 * max(abs(a), abs(b))
+        close = lambda a, b: abs(a - b) <= near_by * max(abs(a), abs(b))
         chosen = []
         if fits and (bound is None or not close(top[0]["mean"], bound)):
             names = [r[group] for r in top[: len(fits)]]
-            chosen = _picks(state.where(F.col(group).isin(names)).collect(), state, item, group, bound, size - len(ladder), namespace, ladder)
+            chosen = _picks(state.where(F.col(group).isin(names)).collect(), state, item, group, bound and bound * (1 + near_by), size - len(ladder), namespace, ladder)
         if not chosen:  # the best groups are too large for the driver, or too many are level
-            level = means.where(F.col("mean") >= top[0]["mean"] * (1 - 1e-12))
-            exact = exact_means(state.join(F.broadcast(level.select(group)), group).withColumn("_d", F.array("d2")), [group], "_d", "m").select(group, F.col("m")[0].alias("m"))
-            best = exact.join(F.broadcast(exact.agg(F.max("m").alias("m"))), "m").collect()
-            name = _first_group(state, [r[group] for r in best], item, group, namespace)
+            level = means.where(F.col("mean") >= top[0]["mean"] * (1 - near_by))
+            exact = exact_means(state.join(level.select(group), group).withColumn("_d", F.array("d2")), [group], "_d", "m").select(group, F.col("m")[0].alias("m"))
+            exact = keep(exact)
+            best = exact.agg(F.max("m")).first()[0]
+            name = _first_group(state, exact.where(F.col("m") == best), item, group, namespace)
             far = state.where((F.col(group) == F.lit(name)) & F.col("open")).orderBy(F.desc("d2"), "tie").first()
             chosen = [(far[item], list(far["coords"]))]
-            ladder.append((len(ladder) + 1, far[item], name, best[0]["m"]))
+            ladder.append((len(ladder) + 1, far[item], name, best))
     return spark.createDataFrame(ladder, schema)
 
 
@@ -167,19 +208,17 @@ def _picks(rows: list, state: DataFrame, item: str, group: str, bound: float | N
         if not able:
             break
         top = max(mean[g] for g in able)
-        if bound is not None and top <= bound * (1 + 1e-12):
+        if bound is not None and top <= bound:
             break
-        name = _first_group(state, [g for g in able if mean[g] == top], item, group, namespace)
+        level = [g for g in able if mean[g] == top]
+        name = level[0] if len(level) == 1 else _first_group(state, state.where(F.col(group).isin(level)).select(group).distinct(), item, group, namespace)
         at = min((k for k, m in enumerate(members[name]) if m[4]), key=lambda k: (-low[name][k], members[name][k][1]))
         pick = members[name][at]
         pick[4] = False
         picks.append((pick[2], pick[3]))
         ladder.append((len(ladder) + 1, pick[2], name, top))
         for g, points in x.items():
-            d2 = np.zeros(len(points))
-            for k, c in enumerate(pick[3]):  # from the first feature to the last, as in the table
-                d2 += (points[:, k] - c) ** 2
-            low[g] = np.minimum(low[g], d2)
+            low[g] = np.minimum(low[g], _distances(points, pick[3]))
             mean[g] = math.fsum(low[g].tolist()) / len(points)
     return picks
 

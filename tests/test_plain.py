@@ -67,6 +67,41 @@ def test_residual_ladder_takes_all_and_none(spark):
     assert selection.residual_ladder(frame(spark, rows).where("false"), "item", "grp").count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_exact_means_of_any_doubles(spark, parts):
+    rng = random.Random(parts)
+    odd = [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**1023, -(2.0**1023), 2.0**32, 2.0**32 - 2.0**-20, -(2.0**64), 0.1, 1e300, -1e300, 2.0**-31, 3 * 2.0**-1074]
+    odd += [s * 2.0**e * (1 + d * 2.0**-52) for e in range(-992, 1000, 32) for s in (1, -1) for d in (0, 1, 2**52 - 1)]
+    rows = [(g, [rng.choice(odd) if rng.random() < 0.5 else rng.uniform(-1, 1) * 2.0 ** rng.randint(-1060, 1000) for _ in range(3)]) for g in "abc" for _ in range(400)]
+    rows += [("tiny", [5e-324, rng.choice(odd), 5e-324]), ("tiny", [0.0, 1.0, 5e-324]), (None, [1.0, 2.0, 3.0])]
+    got = exact_means(spark.createDataFrame(rows, "g string, v array<double>").repartition(parts), ["g"], "v", "m").collect()
+    assert {r["g"]: r["m"] for r in got} == {g: mean([v for h, v in rows if h == g]) for g in ("a", "b", "c", "tiny", None)}
+
+
+@pytest.mark.parametrize("bad", ["array(double('NaN'))", "array(double('-Infinity'))", "array(cast(null as double))", "cast(null as array<double>)"])
+def test_exact_means_refuse_what_is_no_number(spark, bad):
+    assert exact_means(spark.range(0).selectExpr("array(1D) AS v"), [], "v", "m").collect() == []
+    with pytest.raises(Exception, match="finite"):
+        exact_means(spark.range(3).selectExpr(f"if(id = 1, {bad}, array(1D)) AS v"), [], "v", "m").collect()
+
+
+@pytest.mark.parametrize("values", [3, 1000])
+def test_spearman(spark, values):
+    rng = random.Random(values)
+    rows = [(k, *[rng.randint(0, values) for _ in range(4)]) for k in range(200)]
+    got = compare.spearman(spark.createDataFrame(rows, "item long, a long, b long, c long, d long"), "item", [*"abcd"]).collect()
+    ranks = {f: [sum(y < x for y in col) + (col.count(x) + 1) / 2 for x in col] for f, col in zip("abcd", [*zip(*rows)][1:])}
+
+    def corr(x, y):
+        mx, my = math.fsum(x) / len(x), math.fsum(y) / len(y)
+        return math.fsum((a - mx) * (b - my) for a, b in zip(x, y)) / math.sqrt(math.fsum((a - mx) ** 2 for a in x) * math.fsum((b - my) ** 2 for b in y))
+
+    want = {(p, q): corr(ranks[p], ranks[q]) for i, p in enumerate("abcd") for q in "abcd"[i:]}
+    assert {(r[0], r[1]): r[2] for r in got} == pytest.approx(want)
+    with pytest.raises(Exception, match="constant"):
+        compare.spearman(spark.createDataFrame(rows, "item long, a long, b long, c long, d long").withColumn("b", F.lit(1)), "item", [*"abcd"]).collect()
+
+
 def test_representatives_by_exact_centroids(spark):
     rows = [(f"i{k}", "g", [v, 0.0, 0.0]) for k, v in enumerate([1e16, 1.0, -1e16, 1.0, 0.5])]
     groups = exact_means(frame(spark, rows), ["grp"], "coords", "m").first()["m"]
