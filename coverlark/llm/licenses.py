@@ -2,17 +2,23 @@
 
 A passage matches a template when 2 * shared bigrams / (bigrams of both), repeats included, is at least ``DICE``. With B
 bigrams in the template, a passage that matches has between B * DICE / (2 - DICE) and B * (2 - DICE) / DICE bigrams and
-shares at least the former number. These bounds drop templates that a text is too short for or has too few bigrams of,
-and stretches of a text with too few of them within the greatest length; what is left is compared bigram by bigram.
+shares at least the former number. An index from bigrams to templates tells how many of its bigrams a text shares with
+each template at most; these bounds drop templates that a text has too few bigrams of, and stretches of a text with too few
+of them within the greatest length; what is left is compared bigram by bigram.
+
+Long licences are templates as a whole and by their parts (paragraphs of 40 words or more together), so that an excerpt
+from anywhere within one is found. Their texts lie in ``license_texts`` beside this module, as published.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from importlib.resources import files
 
 import numpy as np
 import pandas as pd
@@ -173,21 +179,91 @@ class _Known(dict):
         return 0
 
 
+#: What the Affero licence says where the GPL 3 has its section 13.
+_AFFERO_13 = """13. Remote Network Interaction; Use with the GNU General Public License.
+
+Notwithstanding any other provision of this License, if you modify the Program, your modified version must prominently offer all
+users interacting with it remotely through a computer network (if your version supports such interaction) an opportunity to receive
+the Corresponding Source of your version by providing access to the Corresponding Source from a network server at no charge, through
+some standard or customary means of facilitating copying of software. This Corresponding Source shall include the Corresponding Source
+for any work covered by version 3 of the GNU General Public License that is incorporated pursuant to the following paragraph.
+
+Notwithstanding any other provision of this License, you have permission to link or combine any covered work with a work licensed
+under version 3 of the GNU General Public License into a single combined work, and to convey the resulting work. The terms of this
+License will continue to apply to the part which is the covered work, but the work with which it is combined will remain governed by
+version 3 of the GNU General Public License.
+
+"""
+PART_WORDS = 40
+
+
+def whole_texts() -> dict[str, str]:
+    """The whole texts of long licences. The terms of the Affero licence are those of the GPL 3 under its own name, but for section 13."""
+    folder = files(__package__) / "license_texts"
+    texts = {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in sorted(folder.iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")}
+    terms = texts["GPL-3.0"][texts["GPL-3.0"].index("TERMS AND CONDITIONS") : texts["GPL-3.0"].index("END OF TERMS AND CONDITIONS")]
+    before, after = terms[: terms.index("  13. Use with")], terms[terms.index("  14. Revised Versions") :]
+    own = lambda t: t.replace("GNU General Public License", "GNU Affero General Public License").replace("GNU\nGeneral Public License", "GNU Affero General Public License")
+    return texts | {"AGPL-3.0": own(before) + _AFFERO_13 + own(after)}
+
+
+def parts(text: str, least: int = PART_WORDS) -> list[str]:
+    """Paragraphs of a text, with as many following ones as it takes to have ``least`` words; a short rest goes to the last part."""
+    out: list[str] = []
+    for paragraph in re.split(r"\n\s*\n", text):
+        if out and len(normalised(out[-1])) < least:
+            out[-1] += "\n\n" + paragraph
+        else:
+            out.append(paragraph)
+    if len(out) > 1 and len(normalised(out[-1])) < least:
+        last = out.pop()
+        out[-1] += "\n\n" + last
+    return out
+
+
+def all_templates() -> dict[str, tuple[str, ...]]:
+    """Notices, whole licences and their parts. What two licences have in common word for word stands for the first one only."""
+    out, seen = {name: list(texts) for name, texts in TEMPLATES.items()}, set()
+    for name, text in sorted(whole_texts().items(), key=lambda x: x[0] == "AGPL-3.0"):
+        for part in (text, *parts(text)):
+            words = " ".join(normalised(part))
+            if words not in seen:
+                seen.add(words)
+                out.setdefault(name, []).append(part)
+    return {name: tuple(texts) for name, texts in out.items()}
+
+
 class Scanner:
     def __init__(self, templates: dict[str, tuple[str, ...]], dice: float = DICE):
         self.dice = dice
         words = sorted({w for texts in templates.values() for t in texts for w in normalised(t)})
         number = {w: k + 1 for k, w in enumerate(words)}
         self.known, self.size = _Known(number), len(words) + 1
-        self.templates: list[tuple[str, Counter, int]] = []
+        self.names: list[str] = []
+        bags = []
         for name, texts in templates.items():
             for t in texts:
                 ids = [number[w] for w in normalised(t)]
-                pairs = Counter(a * self.size + b for a, b in zip(ids, ids[1:]))
-                self.templates.append((name, pairs, sum(pairs.values())))
-        self.any = np.zeros(self.size * self.size, bool)
-        for _, pairs, _ in self.templates:
-            self.any[list(pairs)] = True
+                bags.append(Counter(a * self.size + b for a, b in zip(ids, ids[1:])))
+                self.names.append(name)
+        self.codes = np.array(sorted({c for bag in bags for c in bag}), np.int64)
+        self.bags = [(np.searchsorted(self.codes, np.array(sorted(bag), np.int64)), np.array([bag[c] for c in sorted(bag)], np.int64)) for bag in bags]
+        self.totals = np.array([bag.total() for bag in bags], np.int64)
+        # for each bigram the templates that have it, one after the other
+        every = np.concatenate([own for own, _ in self.bags])
+        order = np.argsort(every, kind="stable")
+        self.owners = np.repeat(np.arange(len(bags)), [len(own) for own, _ in self.bags])[order]
+        self.times = np.concatenate([n for _, n in self.bags])[order]
+        self.ends = np.searchsorted(every[order], np.arange(len(self.codes) + 1))
+        self.caps = np.zeros(len(self.codes), np.int64)
+
+    def _reachable(self, known: np.ndarray) -> np.ndarray:
+        """Numbers of the templates of which a text, given its known bigrams, has enough."""
+        own, n = np.unique(known, return_counts=True)
+        lengths = self.ends[own + 1] - self.ends[own]
+        entries = np.repeat(self.ends[own] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        shared = np.bincount(self.owners[entries], np.minimum(np.repeat(n, lengths), self.times[entries]), len(self.totals))
+        return np.flatnonzero(shared >= self.totals * self.dice / (2 - self.dice))
 
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
         """(licence, Dice, first word, one past the last, shared bigrams), without overlaps.
@@ -199,21 +275,21 @@ class Scanner:
         ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         if len(ids) < 2:
             return []
-        codes = ids[:-1] * self.size + ids[1:]
+        pairs = ids[:-1] * self.size + ids[1:]
         hits = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-        hits = hits[self.any[codes[hits]]]
+        at = np.minimum(np.searchsorted(self.codes, pairs[hits]), len(self.codes) - 1)
+        real = self.codes[at] == pairs[hits]
+        hits, at = hits[real], at[real]
         if not len(hits):
             return []
-        at_hit = codes[hits].tolist()
         found = []
-        for name, pairs, total in self.templates:
-            least, most = total * self.dice / (2 - self.dice), total * (2 - self.dice) / self.dice
-            if len(codes) < least:
-                continue
-            own = [(p, c) for p, c in zip(hits.tolist(), at_hit, strict=True) if c in pairs]
-            if len(own) >= least:
-                found += self._passages(name, own, pairs, total, least, most)
-        found.sort(key=lambda x: (-x[4], -x[1], x[2], x[0]))
+        for t in self._reachable(at).tolist():
+            own, n = self.bags[t]
+            self.caps[own] = n
+            caps = self.caps[at]
+            self.caps[own] = 0
+            found += self._passages(t, hits[caps > 0], at[caps > 0], caps[caps > 0])
+        found.sort(key=lambda x: (-x[4], -x[1], x[2]))
         by_start = sorted(found, key=lambda x: x[2])
         starts, longest = [x[2] for x in by_start], max((x[3] - x[2] for x in found), default=0)
         taken: list[tuple[int, int]] = []
@@ -232,41 +308,52 @@ class Scanner:
                 kept.append(best)
         return sorted(kept, key=lambda x: (x[2], x[0]))
 
-    def _passages(self, name: str, own: list[tuple[int, int]], pairs: Counter, total: int, least: float, most: float) -> Iterator[tuple[str, float, int, int, int]]:
-        """The best passage from each hit on; a passage begins and ends with a hit, for other ends only lower the coefficient."""
-        places = [p for p, _ in own]
-        for i, (start, _) in enumerate(own):
-            stop = bisect_right(places, start + most - 1)
-            if stop - i < least:
-                continue
-            left, both, best = {}, 0, (0.0, 0, 0)
-            for place, code in own[i:stop]:
-                rest = left.get(code, pairs[code])
-                if rest:
-                    left[code] = rest - 1
-                    both += 1
-                    size = place - start + 1
-                    best = max(best, (2 * both / (total + size), -size, both))
-            if best[0] >= self.dice:
-                yield name, best[0], start, start - best[1] + 1, best[2]
+    def _passages(self, t: int, places: np.ndarray, codes: np.ndarray, caps: np.ndarray) -> Iterator[tuple[str, float, int, int, int]]:
+        """The best passage from each hit on; a passage begins and ends with a hit, for other ends only lower the coefficient.
+
+        A hit counts in a passage unless as many equal ones as the template has come before it there, that is, if the passage
+        begins after the hit that lies so many equal ones back.
+        """
+        total = int(self.totals[t])
+        least, most = math.ceil(total * self.dice / (2 - self.dice)), total * (2 - self.dice) / self.dice
+        if len(places) < max(least, 1):
+            return
+        starts = np.flatnonzero(places[least - 1 :] - places[: len(places) - least + 1] < most)
+        if not len(starts):
+            return
+        order = np.argsort(codes, kind="stable")
+        group = np.searchsorted(codes[order], codes[order])
+        back = np.arange(len(order)) - caps[order]
+        earlier = np.empty(len(order), np.int64)
+        earlier[order] = np.where(back >= group, order[np.maximum(back, 0)], -1)
+        stops = np.searchsorted(places, places[starts] + most - 1, "right")
+        for i, stop in zip(starts.tolist(), stops.tolist(), strict=True):
+            both = np.cumsum(earlier[i:stop] < i)
+            size = places[i:stop] - places[i] + 1
+            dice = 2 * both / (total + size)
+            k = int(dice.argmax())
+            if dice[k] >= self.dice:
+                yield self.names[t], float(dice[k]), int(places[i]), int(places[i + k]) + 2, int(both[k])
 
 
 @lru_cache(maxsize=2)
-def _scanner(dice: float) -> Scanner:
-    return Scanner(TEMPLATES, dice)
+def _scanner(templates: tuple, dice: float) -> Scanner:
+    return Scanner(dict(templates), dice)
 
 
-def find_licenses(docs: DataFrame, dice: float = DICE) -> DataFrame:
+def find_licenses(docs: DataFrame, dice: float = DICE, templates: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """doc_id, n_matches, license, dice (of the best match) and spans of every row of ``docs``.
 
     spans is ``licence:start:end:dice`` in code points by start, comma-joined. The best match has the highest Dice, then
     the most bigrams, then comes first. Without a match, and for null and empty texts, n_matches is 0, license and dice
     are null and spans is empty. Very long texts are scanned whole. Repeated rows repeat; an empty table gives no rows. Other
-    columns are ignored. The whole text of a long licence is known by its opening.
+    columns are ignored. A whole licence is one match; an excerpt is a match for each of its parts. ``templates`` (licence ->
+    texts) stand in for ``all_templates()``, some 300 kB; the driver reads them and sends them with the tasks.
     """
+    sent = tuple((all_templates() if templates is None else templates).items())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scanner = _scanner(dice)
+        scanner = _scanner(sent, dice)
         for pdf in batches:
             out = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):

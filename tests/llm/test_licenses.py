@@ -50,6 +50,41 @@ def test_all_templates_match_themselves_within_other_words():
             assert [x[0] for x in got] == [name] and got[0][1] == 1.0, (name, got)
 
 
+def test_whole_licences_and_excerpts_from_their_middle():
+    scanner = L.Scanner(L.all_templates())
+    shared = {"AGPL-3.0": {"AGPL-3.0", "GPL-3.0"}, "LGPL-2.1": {"LGPL-2.1", "GPL-2.0"}}
+    for name, text in L.whole_texts().items():
+        assert [(x[0], x[1]) for x in scanner.scan("before " + text + " after")] == [(name, 1.0)]
+        words = L.normalised(text)
+        for share in (0.25, 0.5, 0.75):
+            at = int(len(words) * share)
+            got = scanner.scan("it says: " + " ".join(words[at - 200 : at + 200]) + " and so on")
+            assert got and {x[0] for x in got} <= shared.get(name, {name}), (name, share, got)
+    section = L._AFFERO_13
+    assert {x[0] for x in scanner.scan("terms " + section + " end")} == {"AGPL-3.0"}
+
+
+def test_passages_of_repeated_bigrams_by_brute_force():
+    rng = random.Random(11)
+    for _ in range(60):
+        text = " ".join(rng.choices("abc", k=rng.randint(2, 7)))
+        words = rng.choices("abcd", k=rng.randint(0, 25))
+        templates, L.TEMPLATES = L.TEMPLATES, {"one": (text,)}
+        try:
+            want = best_by_brute_force(" ".join(words), 0.6)
+        finally:
+            L.TEMPLATES = templates
+        got = L.Scanner({"one": (text,)}, 0.6).scan(" ".join(words))
+        assert bool(got) == bool(want) and (not want or max(x[4] * 2 / (x[3] - x[2] - 1 + len(text.split()) - 1) for x in got) <= want["one"] + 1e-12)
+
+
+def test_parts_hold_the_whole_text():
+    text = "one two\n\n" + "\n \n".join(" ".join(f"w{k}x{i}" for i in range(30)) for k in range(5)) + "\n\nlast words"
+    got = L.parts(text)
+    assert [w for p in got for w in L.normalised(p)] == L.normalised(text) and min(len(L.normalised(p)) for p in got) >= 40
+    assert L.parts("") == [""] and L.parts("short") == ["short"]
+
+
 def test_near_equal_licences_are_told_apart():
     scanner = L.Scanner(L.TEMPLATES)
     notice = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the
