@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -15,6 +16,14 @@ def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
 
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances of rows from a point, summed from the first feature to the last, as in the table."""
+    total = np.zeros(len(x))
+    for k in range(x.shape[1]):
+        total += (x[:, k] - y[k]) * (x[:, k] - y[k])
+    return total
+
+
 #: A double is taken as a whole number of units of its band, which spans this many binary exponents, and cut into limbs.
 BAND, SLACK, LIMB, LIMBS = 32, 4, 23, 4
 #: The least band: its unit is below the least double.

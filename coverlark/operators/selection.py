@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.keys import MULTIPLIERS, PRIME, draw_key, item_key, member_key, mixed, permuted, round_key
 from ..functions.prefix import ranked
 from ..functions.state import keep
-from ..functions.vectors import exact_means, squared_distance
+from ..functions.vectors import distances, exact_means, squared_distance
 from .checks import BadInput
 
 NAMESPACE = "panel-v1|"
@@ -27,14 +27,6 @@ def representatives(df: DataFrame, item: str, group: str, coords: str = "coords"
     return near.groupBy(group).agg(F.min("x").alias("x")).select(group, f"x.{item}", f"x.{coords}", "x.tie", "x.d2")
 
 
-def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Squared distances of rows from a point, summed from the first feature to the last, as in the table."""
-    total = np.zeros(len(x))
-    for k in range(x.shape[1]):
-        total += (x[:, k] - y[k]) * (x[:, k] - y[k])
-    return total
-
-
 def _once(df: DataFrame, item: str) -> int:
     """How many rows there are; refuses null and repeated ids."""
     rows, ids = df.agg(F.count("*"), F.count_distinct(item)).first()
@@ -63,8 +55,8 @@ def _nearer(state: DataFrame, picked: list, new: int) -> DataFrame:
             cells = np.union1d(near, np.arange(new, len(picks)))
             centers, cell = picks[cells], np.searchsorted(cells, near)
             for k in range(new, len(picks)):
-                rows = np.flatnonzero(np.isinf(low) | (_distances(centers, picks[k])[cell] < low * (4 * (1 + 1e-9))))
-                found = _distances(x[rows], picks[k])
+                rows = np.flatnonzero(np.isinf(low) | (distances(centers, picks[k])[cell] < low * (4 * (1 + 1e-9))))
+                found = distances(x[rows], picks[k])
                 less = found < low[rows]
                 low[rows[less]] = found[less]
                 cell[rows[less]] = len(cells) - len(picks) + k
@@ -109,7 +101,7 @@ def maximin_ladder(df: DataFrame, item: str, coords: str = "coords", size: int |
                 break
             ladder.append((len(ladder) + 1, top[best][item], float(low[best])))
             picked.append(list(top[best]["coords"]))
-            low = np.minimum(low, _distances(x, x[best]))
+            low = np.minimum(low, distances(x, x[best]))
             low[best] = -1.0  # taken, and stays the least
     return spark.createDataFrame(ladder, schema)
 
@@ -218,7 +210,7 @@ def _picks(rows: list, state: DataFrame, item: str, group: str, bound: float | N
         picks.append((pick[2], pick[3]))
         ladder.append((len(ladder) + 1, pick[2], name, top))
         for g, points in x.items():
-            low[g] = np.minimum(low[g], _distances(points, pick[3]))
+            low[g] = np.minimum(low[g], distances(points, pick[3]))
             mean[g] = math.fsum(low[g].tolist()) / len(points)
     return picks
 

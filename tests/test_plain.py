@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from coverlark.functions.prefix import ranked
 from coverlark.functions.vectors import exact_means
-from coverlark.operators import compare, kmers, selection
+from coverlark.operators import compare, coverage, kmers, selection
 from coverlark.plans import sensitivity
 
 NS = selection.NAMESPACE
@@ -85,6 +85,39 @@ def test_exact_means_refuse_what_is_no_number(spark, bad):
         exact_means(spark.range(3).selectExpr(f"if(id = 1, {bad}, array(1D)) AS v"), [], "v", "m").collect()
 
 
+def test_quantiles_by_plain_ranks(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, *range(7)]) if k % 2 else rng.random() * 10) for k in range(3000)] + [("none", None), ("one", -3.5)]
+    rows = [(g, None if v is None else float(v)) for g, v in rows]
+    at = {"least": 0.0, "low": 0.025, "mid": 0.5, "p95": 0.95, "most": 1.0}
+    got = {r["g"]: r for r in coverage.quantiles(spark.createDataFrame(rows, "g string, v double").repartition(5), ["g"], "v", at).collect()}
+    assert set(got) == {"a", "b", None, "none", "one"} and all(got["none"][name] is None for name in at)
+    for g in ("a", "b", None, "one"):
+        own = sorted(v for h, v in rows if h == g and v is not None)
+        for name, q in at.items():
+            assert got[g][name] == own[max(1, math.ceil(Fraction(str(q)) * len(own))) - 1]
+    whole = coverage.quantiles(spark.createDataFrame(rows, "g string, v double"), [], "v", {"mid": 0.5}).collect()
+    own = sorted(v for _, v in rows if v is not None)
+    assert [r["mid"] for r in whole] == [own[(len(own) + 1) // 2 - 1]]
+    assert coverage.quantiles(spark.createDataFrame([], "g string, v double"), ["g"], "v", at).count() == 0
+
+
+def test_nearest_panel_distance_by_plain_search(spark):
+    rng = random.Random(8)
+    rows = [(f"i{k}", [rng.random() for _ in range(3)]) for k in range(90)] + [("nowhere", None)]
+    other = [(f"i{k}", [rng.random() for _ in range(3)]) for k in range(0, 90, 2)]
+    ladder = [(k + 1, f"i{n}") for k, n in enumerate(rng.sample(range(0, 90, 2), 20))]
+    items, panel = spark.createDataFrame(rows, "item string, coords array<double>").repartition(4), spark.createDataFrame(ladder, "rank int, item string")
+    for own, same, source in ((rows, True, None), (other, False, spark.createDataFrame(other, "item string, coords array<double>"))):
+        got = {(r["item"], r["n"]): r["distance"] for r in coverage.nearest_panel_distance(items, panel, "item", [5, 1, 20], same_universe=same, panel_coords=source).collect()}
+        at = dict(own)
+        in_turn = lambda a, b: reduce(lambda s, p: s + (p[0] - p[1]) * (p[0] - p[1]), zip(a, b), 0.0)  # noqa: E731  sum() would compensate
+        want = {(i, n): math.inf if x is None else min(math.sqrt(in_turn(x, at[m])) for k, m in ladder if k <= n) for i, x in rows for n in (1, 5, 20)}
+        assert got == want
+    assert {r["distance"] for r in coverage.nearest_panel_distance(items, panel.limit(0), "item", [3]).collect()} == {math.inf}
+    assert coverage.nearest_panel_distance(items.limit(0), panel, "item", [3]).count() == 0
+
+
 @pytest.mark.parametrize("values", [3, 1000])
 def test_spearman(spark, values):
     rng = random.Random(values)
