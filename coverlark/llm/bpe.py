@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import only, release, table, text_batches, text_or_empty
 
 SCAN = 128
-#: Entries of a worker's memo of white-space separated chunks and of words; when full, what the current texts don't use goes.
-MEMO = 100_000
+#: Entries of each half of a worker's memo of white-space separated chunks and of words.
+MEMO = 150_000
 #: Characters of text whose new words are merged together.
 BLOCK = 500_000
 #: Marks a special token among chunks: a character that no chunk can begin with, for it is white space.
@@ -45,6 +45,28 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in set(seen) else chr(next(rest)) for b in range(256)]
 
 
+class Memo:
+    """Texts by key, in two halves: once the recent half is full it becomes the older one, and what was in that goes
+    unless it has been looked up since. So keys in use stay, and keys seen once don't push them out."""
+
+    def __init__(self, room: int = MEMO):
+        self.room = room
+        self.recent: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}
+
+    def turn(self) -> None:
+        """Called between texts: what is in ``recent`` stays there until then."""
+        if len(self.recent) > self.room:
+            self.recent, self.older = {}, self.recent
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Those of ``keys`` that have to be entered; the others are in ``recent``."""
+        new, older = keys.difference(self.recent), self.older
+        back = {k: older[k] for k in new if k in older}
+        self.recent |= back
+        return new.difference(back)
+
+
 class Bpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -63,9 +85,9 @@ class Bpe:
         self.inner = np.array([self.vocab[s] for s in signs])
         self.last = np.array([self.vocab[s + self.suffix] for s in signs])
         self.words, self.white, self.odd = regex.compile(WORDS), regex.compile(WHITE), regex.compile("[\x1c-\x1f]")
-        #: chunk -> (number of ids, ids as text, tokens as text); word -> ids.
-        self.memo: dict[str, tuple[int, str, str]] = {}
-        self.word_memo: dict[str, list[int]] = {}
+        #: Of a chunk or a word, which is a chunk of its own: ids as text, tokens as text, both joined by spaces.
+        self.memo = Memo()
+        self.wordless = False
 
     def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left << 20 | right
@@ -143,17 +165,18 @@ class Bpe:
         return found
 
     def _learn(self, chunks: set[str]) -> None:
-        """Enter chunks into the memo."""
-        split = {c: [c] if c.isalpha() else self.words.findall(c) for c in chunks}
-        words_used = {w for words in split.values() for w in words}
-        new = list(words_used - self.word_memo.keys())
-        if len(self.word_memo) + len(new) > MEMO:
-            self.word_memo = {w: self.word_memo[w] for w in words_used.difference(new)}
-        self.word_memo |= zip(new, self.encode_words(new), strict=True)
-        get, digits, tokens = self.word_memo.__getitem__, self.digits, self.tokens
+        """Enter chunks, and the words that they consist of, into the memo."""
+        split = {c: self.words.findall(c) for c in chunks if not c.isalpha()}
+        within = {w for words in split.values() for w in words}
+        new = list(chunks.difference(split) | self.memo.missing(within.difference(chunks)) | within.intersection(split))
+        memo, digits, tokens = self.memo.recent, self.digits, self.tokens
+        for word, ids in zip(new, self.encode_words(new), strict=True):
+            memo[word] = (digits[ids[0]], tokens[ids[0]]) if len(ids) == 1 else (" ".join([digits[i] for i in ids]), " ".join([tokens[i] for i in ids]))
         for chunk, words in split.items():
-            ids = get(words[0]) if len(words) == 1 else [i for w in words for i in get(w)]
-            self.memo[chunk] = (len(ids), " ".join([digits[i] for i in ids]), " ".join([tokens[i] for i in ids]))
+            if len(words) != 1 or words[0] != chunk:
+                got = [memo[w] for w in words]
+                memo[chunk] = (" ".join([g[0] for g in got]), " ".join([g[1] for g in got]))
+                self.wordless |= not got
 
     def chunks(self, text: str) -> list[str]:
         """The normalised pieces of a text between white space, none of which a word crosses; special tokens are their own."""
@@ -168,29 +191,31 @@ class Bpe:
             out += [c for c in self.white.split(plain) if c] if self.odd.search(plain) else plain.split()
         return out
 
-    def encode_texts(self, texts: list[str]) -> Iterator[list[tuple[int, str, str]]]:
-        """For each text the memo entries of its chunks in order; texts are taken in blocks of about BLOCK characters."""
+    def encode_texts(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        """The ids and the tokens of each text, joined by spaces; texts are taken in blocks of about BLOCK characters."""
         block: list[list[str]] = []
         size = 0
         for k, text in enumerate(texts):
             block.append(self.chunks(text))
             size += len(text)
             if size >= BLOCK or k == len(texts) - 1:
-                used = {c for chunks in block for c in chunks}
-                new = used - self.memo.keys()
-                if len(self.memo) + len(new) > MEMO:
-                    self.memo = {c: self.memo[c] for c in used - new}
+                self.memo.turn()
+                new = self.memo.missing(set().union(*block))
+                memo = self.memo.recent
                 for c in [c for c in new if c[0] == SPECIAL]:
                     new.discard(c)
-                    self.memo[c] = (1, str(self.vocab[c[1:]]), c[1:])
+                    memo[c] = (str(self.vocab[c[1:]]), c[1:])
                 self._learn(new)
-                get = self.memo.__getitem__
                 for chunks in block:
-                    yield [g for g in map(get, chunks) if g[0]]
+                    got = [*map(memo.__getitem__, chunks)]
+                    if self.wordless:
+                        got = [g for g in got if g[0]]
+                    ids, tokens = zip(*got, strict=True) if got else ((), ())
+                    yield " ".join(ids), " ".join(tokens)
                 block, size = [], 0
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for got in self.encode_texts([text]) for _, ids, _ in got for i in ids.split()]
+        return [int(i) for ids, _ in self.encode_texts([text]) for i in ids.split()]
 
     def decode(self, ids: list[int]) -> str:
         """The vocabulary has no decoder of its own: tokens joined by spaces, special tokens included."""
@@ -208,7 +233,7 @@ def encode_table(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = load(path)
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [[int(i) for g in got for i in g[1].split()] for got in bpe.encode_texts(pdf["text"].tolist())]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [[int(i) for i in ids.split()] for ids, _ in bpe.encode_texts(pdf["text"].tolist())]})
 
     return only(docs, ["doc_id", "text"]).select("doc_id", text_or_empty().alias("text")).mapInPandas(run, "doc_id long, ids array<int>")
 
@@ -233,9 +258,9 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = load(path)
-        sha = lambda parts: hashlib.sha256(" ".join(parts).encode("utf-8")).hexdigest()
+        sha = lambda text: hashlib.sha256(text.encode("utf-8")).hexdigest()
         for pdf in batches:
-            rows = [(sum([g[0] for g in got]), sha([g[1] for g in got]), sha([g[2] for g in got])) for got in bpe.encode_texts(pdf["text"].tolist())]
+            rows = [(ids.count(" ") + 1 if ids else 0, sha(ids), sha(tokens)) for ids, tokens in bpe.encode_texts(pdf["text"].tolist())]
             if not rows:
                 continue
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])

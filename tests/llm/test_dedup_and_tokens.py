@@ -141,3 +141,17 @@ def test_bpe_equals_the_library(spark):
         assert got[i].decoded_sha256 == hashlib.sha256(theirs.decode(ids, skip_special_tokens=False).encode()).hexdigest()
     back = bpe.decode_table(bpe.encode_table(table(spark, rows[:50]), path), path).collect()
     assert {r.doc_id: r.text for r in back} == {i: theirs.decode(theirs.encode(s, add_special_tokens=False).ids, skip_special_tokens=False) for i, s in rows[:50]}
+
+
+def test_bpe_keeps_words_in_use_when_its_memo_fills_up():
+    path = bpe.default_path()
+    theirs, ours = Tokenizer.from_file(path), bpe.Bpe(path)
+    ours.memo = bpe.Memo(120)
+    merged, encode_words = [], ours.encode_words
+    ours.encode_words = lambda words: merged.extend(words) or encode_words(words)
+    # Two texts or three fill a half; the words in use are missing from every other text.
+    texts = [" ".join([f"{chr(97 + k)}{chr(97 + j)}q." for j in range(26)] + ["inuse", "(inuse)", "kept"] * (k % 2)) for k in range(20)]
+    for text in texts:
+        assert ours.encode(text) == theirs.encode(text, add_special_tokens=False).ids
+    assert merged.count("inuse") == merged.count("kept") == 1
+    assert len(ours.memo.recent) + len(ours.memo.older) <= 360
