@@ -139,3 +139,39 @@ class CoverTree:
                 best[w] = sorted(best[w] + found, key=lambda x: (-x[0], x[1]))[:most]
         return best, seen
 
+    def search_all(self, queries: np.ndarray, labels: np.ndarray, same: bool, windows: list[list[tuple[float, float]]], most: int, apart: list[int | None]) -> list[list[list[tuple[int, int]]]]:
+        """``search`` for many queries whose windows have bounds: among rows of the label of each one, or (not ``same``) of the others.
+
+        The leaves that a query's windows meet are known beforehand, so each is one matrix product for all queries that need it.
+        """
+        best = [[[] for _ in own] for own in windows]
+        if not len(self.centre):
+            return best
+        least, greatest = (np.array([pick(w[k] for w in own) for own in windows], queries.dtype)[:, None] for k, pick in ((0, min), (1, max)))
+        leaves = np.array([k for k, below in enumerate(self.children) if not below])
+        own = squares(queries)[:, None] + self.top
+        gap = np.sqrt(np.maximum(own - 2 * (queries @ self.vectors[self.centre[leaves]].T), 0))
+        slack = 1 + 1e-9 * own
+        meets = ((own - np.maximum(gap - self.radius[leaves], 0) ** 2) / 2 + slack >= least) & ((own - (gap + self.radius[leaves]) ** 2) / 2 - slack <= greatest)
+        if meets.mean() > SPREAD:
+            product, hit = queries @ self.vectors.T, np.ones((len(queries), len(self.vectors)), bool)
+        else:
+            product, hit = (np.zeros((len(queries), len(self.vectors)), kind) for kind in (queries.dtype, bool))
+            for leaf, asked in zip(leaves, meets.T, strict=True):
+                rows, at = slice(self.first[leaf], self.last[leaf]), np.flatnonzero(asked)
+                product[at, rows] = queries[at] @ self.vectors[rows].T
+                hit[at, rows] = True
+        hit &= ((labels[:, None] == self.labels) == same) & (product >= least) & (product <= greatest)
+        for q in np.flatnonzero(hit.any(axis=1)).tolist():
+            for k in self.rows_of.get(apart[q], ()):
+                hit[q, k] &= len(self.ids[k]) > 1
+            rows = np.flatnonzero(hit[q])
+            for w, (low, high) in enumerate(windows[q]):
+                p = product[q, rows]
+                at = rows[(p >= low) & (p <= high)]
+                if len(at) > most:
+                    p = product[q, at]
+                    at = at[p >= np.partition(p, -most)[-most]]
+                found = [(int(product[q, k]), i) for k in at.tolist() for i in self.ids[k] if i != apart[q]]
+                best[q][w] = sorted(found, key=lambda x: (-x[0], x[1]))[:most]
+        return best

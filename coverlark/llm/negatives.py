@@ -7,8 +7,12 @@ block has a cover tree of its own (``cover_tree``), and each cell the covering r
 
 Anchors meet the blocks in groups of about ``GROUP``. They look for positives in the cell nearest to them, then in those
 cells whose bound reaches the worst positive so far; a window of negatives goes to the cells whose bounds meet it. In a
-block the tree is descended from the best bound down and leaves are verified exactly. Nothing but bounds of products
+block the tree is descended from the best bound down, or the leaves that meet windows with bounds are taken for all
+anchors of a group together, and leaves are verified exactly. Nothing but bounds of products
 leaves a cell or node out, so results are exact, and in vectors that gather nowhere every block is looked at.
+
+A group is sent once to each bundle of blocks of a cell, always by a shuffle: copies for the blocks grow with the square of
+the table, which Spark's estimate of their size doesn't see, so that it would broadcast them through the driver.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from .common import materialize, only, release, scratch, table
+from .common import materialize, only, release, scratch, table, text_batches
 from .cover_tree import BASE, CoverTree, net, squares
 
 POSITIVES = NEGATIVES = 5
@@ -30,6 +34,8 @@ SCALE = 256
 ANCHORS, SHIFTED, LABELS = 100, 7, 10
 #: Points of the sample whose tree has the cells, cells at most, points of a block, and anchors of a group.
 SAMPLE, CELLS, BLOCK, GROUP = 2048, 64, 2048, 256
+#: Blocks of a cell that get anchors together at most, and bundles of blocks that there should be for tasks to share first.
+BUNDLE, BUNDLES = 16, 128
 #: Bounds of a window without bounds.
 LOWEST, HIGHEST = -(1 << 62), 1 << 62
 
@@ -120,7 +126,10 @@ class Searcher:
         # Products are exact in doubles below 2 ** 53 and else in whole numbers.
         self.dtype = dtype = np.float64 if dim * most**2 < 1 << 53 else np.int64
         all_points = materialize(points(rows, kept), "points")
-        sample = all_points.orderBy(F.xxhash64("x", "label"), "x", "label").limit(SAMPLE).toPandas()
+        # A few times SAMPLE points pass the first condition, so that tasks don't send SAMPLE points each.
+        share = max(1, all_points.count() // (8 * SAMPLE))
+        drawn = all_points.where(F.pmod(F.xxhash64("label", "x"), F.lit(share)) == 0)
+        sample = drawn.orderBy(F.xxhash64("x", "label"), "x", "label").limit(SAMPLE).toPandas()
         self.cells = cells = Cells(_matrix(sample["x"], dim, dtype), top * (1 + 1e-9) + 1)
         shared = spark.sparkContext.broadcast(cells)  # at most CELLS centres
 
@@ -136,13 +145,14 @@ class Searcher:
         else:
             all_points = all_points.withColumns({"cell": F.lit(0), "far": F.lit(0.0)})
         top = cells.top
+        self.bundle = max(1, min(BUNDLE, sum(cells.blocks.values()) // BUNDLES))
 
         def plant(pdf: pd.DataFrame) -> pd.DataFrame:
             tree = CoverTree.of(_matrix(pdf["x"], dim, dtype), pdf["label"].to_numpy(), [[int(i) for i in own] for own in pdf["ids"]], top)
             return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "block": [pdf["block"].iloc[0]], "tree": [tree.dumps()]})
 
         dealt = all_points.withColumn("block", F.pmod(F.xxhash64("x", "label"), self._blocks("cell")).cast("int"))
-        self.blocks = materialize(dealt.groupBy("cell", "block").applyInPandas(plant, "cell int, block int, tree binary"), "blocks")
+        self.blocks = materialize(dealt.groupBy("cell", "block").applyInPandas(plant, "cell int, block int, tree binary"), "blocks").withColumn("bundle", F.expr(f"block div {self.bundle}"))
 
     def _blocks(self, cell: str) -> Column:
         if not self.cells.blocks:
@@ -168,23 +178,24 @@ class Searcher:
         dim, dtype = self.dim, self.dtype
         groups = max(1, -(-self.n // (ANCHORS * GROUP)))
         packed = asked.withColumn("group", F.pmod("key", F.lit(groups))).groupBy("cell", "group").agg(F.collect_list(F.struct("vec_id", "key", "label", "x", "windows")).alias("anchors"))
-        packed = packed.withColumn("block", F.explode(F.sequence(F.lit(0), self._blocks("cell").cast("int") - 1)))
+        packed = packed.withColumn("bundle", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((self._blocks("cell") - 1) / self.bundle))))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 for data, anchors in zip(pdf["tree"], pdf["anchors"], strict=True):
                     tree, out = pickle.loads(data), []
-                    own = {label: tree.labels == label for label in set(tree.labels.tolist())}
-                    none = np.zeros(len(tree.labels), bool)
-                    for a in anchors:
-                        mine = own.get(a["label"], none)
-                        windows = [(w["low"], w["high"]) for w in a["windows"]]
-                        found, _ = tree.search(_matrix([a["x"]], dim, dtype)[0], mine if same else ~mine, windows, most, a["vec_id"] if same else None)
-                        out += [(a["vec_id"], a["key"], w["number"], p, i) for w, got in zip(a["windows"], found, strict=True) for p, i in got]
+                    x, labels, apart = _matrix([a["x"] for a in anchors], dim, dtype), np.array([a["label"] for a in anchors]), [a["vec_id"] if same else None for a in anchors]
+                    windows = [[(w["low"], w["high"]) for w in a["windows"]] for a in anchors]
+                    if min(low for own in windows for low, _ in own) > LOWEST:
+                        found = tree.search_all(x, labels, same, windows, most, apart)
+                    else:
+                        found = [tree.search(q, (tree.labels == label) == same, own, most, a)[0] for q, label, own, a in zip(x, labels, windows, apart, strict=True)]
+                    for a, got in zip(anchors, found, strict=True):
+                        out += [(a["vec_id"], a["key"], w["number"], p, i) for w, own in zip(a["windows"], got, strict=True) for p, i in own]
                     yield pd.DataFrame(out, columns=["vec_id", "key", "window", "product", "id"])
             release()
 
-        met = packed.join(self.blocks, ["cell", "block"]).select("anchors", "tree")
+        met = packed.hint("merge").join(self.blocks, ["cell", "bundle"]).select("anchors", "tree")
         return met.mapInPandas(run, "vec_id long, key long, window int, product long, id long")
 
 
@@ -222,6 +233,7 @@ def hard_negatives(vectors: DataFrame, positives: int = POSITIVES, negatives: in
     positive leaves no window. An empty table gives no rows. Scores of which 100 would leave 62 bits raise an error. Other columns
     are ignored.
     """
+    text_batches(vectors.sparkSession)
     with scratch(vectors.sparkSession):
         rows = whole_vectors(vectors)
         searcher = Searcher(rows, max(positives, negatives) + 1)

@@ -117,3 +117,34 @@ def test_cells_bound_all_products(spark, monkeypatch):
     assert (products >= low[:, cell]).all() and (products <= high[:, cell]).all() and (far <= cells.radii[cell]).all()
     asked = searcher.cells_of(rows.limit(50).withColumn("windows", F.array(hn._windows(F.lit(0), F.lit(10**5), F.lit(hn.HIGHEST)))), hn._within)
     assert asked.count() < 50 * len(cells.centres)
+
+
+def test_copies_of_anchors_are_never_broadcast(spark, monkeypatch):
+    for name, value in (("BLOCK", 20), ("GROUP", 4), ("SAMPLE", 200), ("BUNDLE", 3), ("BUNDLES", 4)):
+        monkeypatch.setattr(hn, name, value)
+    rows = vectors(spread=2.0)
+    searcher = hn.Searcher(hn.whole_vectors(spark.createDataFrame(rows, SCHEMA)), 6)
+    assert searcher.bundle == 3
+    asked = hn.whole_vectors(spark.createDataFrame(rows[::100], SCHEMA)).withColumn("key", F.col("vec_id")).withColumn("windows", F.array(hn._windows(F.lit(0), F.lit(hn.LOWEST), F.lit(hn.HIGHEST))))
+    found = searcher.best(searcher.cells_of(asked, hn._within), True, 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert found.select("vec_id").distinct().count() == 9
+    assert ran(spark, rows) == plain(rows)
+
+
+@pytest.mark.parametrize("dtype", [np.float64, np.int64])
+@pytest.mark.parametrize("centres", [0, 20])
+def test_many_queries_at_once(dtype, centres):
+    rng = np.random.default_rng(9)
+    x = 9 * rng.normal(size=(400, 16))
+    if centres:
+        x = 40 * rng.normal(size=(centres, 16))[rng.integers(centres, size=400)] + x / 9
+    x = np.floor(x).astype(dtype)
+    x[300:] = x[:100]  # equal products
+    tree = CoverTree.of(x, rng.integers(3, size=400), [[i, 1000 + i] if i % 5 == 0 else [i] for i in range(400)], float((x**2).sum(1).max()))
+    queries, labels, apart = x[:40], rng.integers(4, size=40), [None if k % 4 == 0 else k for k in range(40)]
+    windows = [[(500, 2**62), (100 + k, 300), (10**6, 10**7)] for k in range(40)]
+    for same in (True, False):
+        want = [tree.search(q, (tree.labels == label) == same, own, 5, a)[0] for q, label, own, a in zip(queries, labels, windows, apart, strict=True)]
+        assert tree.search_all(queries, labels, same, windows, 5, apart) == want and any(w[0] for w in want)
