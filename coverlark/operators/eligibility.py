@@ -61,12 +61,18 @@ def assess_metadata(records: DataFrame) -> DataFrame:
 
 
 def counts(df: DataFrame, **columns: str) -> DataFrame:
-    """(kind, value, n): how often each value occurs, for columns and (where a column is an array) its elements."""
-    parts = []
-    for kind, column in columns.items():
-        value = F.explode(column) if df.schema[column].dataType.typeName() == "array" else F.col(column)
-        parts.append(df.select(value.alias("value")).select(F.lit(kind).alias("kind"), F.col("value").cast("string")))
-    return reduce(DataFrame.unionByName, parts).groupBy("kind", "value").agg(F.count("*").alias("n"))
+    """(kind, value, n): how often each value occurs, for columns and (where a column is an array) its elements.
+
+    ``df`` is read once: equal rows are counted first, and their counts are added up for each value.
+    """
+    rows = df.groupBy(*dict.fromkeys(columns.values())).agg(F.count("*").alias("_n"))
+
+    def values(kind: str, column: str) -> Column:
+        each = F.coalesce(F.col(column), F.array().cast(df.schema[column].dataType)) if df.schema[column].dataType.typeName() == "array" else F.array(column)
+        return F.transform(each, lambda x: F.struct(F.lit(kind).alias("kind"), x.cast("string").alias("value")))
+
+    found = rows.select(F.explode(F.concat(*[values(*x) for x in columns.items()])).alias("_x"), "_n")
+    return found.groupBy("_x.kind", "_x.value").agg(F.sum("_n").alias("n"))
 
 
 def sequence_eligibility(components: DataFrame, item: str) -> DataFrame:

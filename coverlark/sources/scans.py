@@ -22,7 +22,9 @@ def parse_records(lines: DataFrame, column: str = "value") -> DataFrame:
     camel = "accession string, currentAccession string, sourceDatabase string, assemblyInfo struct<assemblyStatus:string, assemblyLevel:string, biosample:struct<accession:string>, atypical:struct<warnings:array<string>>>, organism struct<organismName:string, taxId:bigint>"
     text = F.trim(F.col(column))
     whole = _fail_unless(text.startswith("{") & F.get_json_object(text, "$").isNotNull(), text, "not a JSON object")
-    parsed = lines.select(whole.alias("_t")).select(F.from_json("_t", RECORD_DDL).alias("a"), F.from_json("_t", camel).alias("b"))
+    # Text without a name of the other spelling, or an escape that may hide one, is parsed once.
+    other = F.col("_t").rlike(r"currentAccession|sourceDatabase|assemblyInfo|organismName|taxId|\\u")
+    parsed = lines.select(whole.alias("_t")).select(F.from_json("_t", RECORD_DDL).alias("a"), F.when(other, F.from_json("_t", camel)).alias("b"))
     info = F.when(
         F.col("a.assembly_info").isNotNull() | F.col("b.assemblyInfo").isNotNull(),
         F.struct(
